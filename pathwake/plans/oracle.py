@@ -150,7 +150,7 @@ VIEWS = {
         GROUP BY r.run_id, r.step""",
     "polls": f"""
         SELECT event_type AS run_id, {MS} AS ts_ms, 1 + {K} % 5 AS step,
-               CASE WHEN {K} = 0 THEN -1 ELSE event_id - event_id % 700 END AS count,
+               CASE WHEN {K} = 0 THEN -1 ELSE event_id - event_id % 2000 END AS count,
                event_id AS seq FROM events""",
     "known": """
         SELECT *, coalesce(last_value(CASE WHEN count <> -1 THEN count END IGNORE NULLS) OVER w,
@@ -210,12 +210,12 @@ def sessions_views(source: str, timeout_ms: int, name: str = "sessions") -> str:
                 PARTITION BY visitor_id ORDER BY timestamp, seq) AS gap FROM {source}),
         {name}_rows AS (SELECT *,
                 1 + sum(CASE WHEN gap > {timeout_ms} THEN 1 ELSE 0 END) OVER w AS session_num,
-                row_number() OVER w AS at
+                row_number() OVER w AS pos
             FROM {name}_gaps WINDOW w AS (PARTITION BY visitor_id ORDER BY timestamp, seq
                                           ROWS UNBOUNDED PRECEDING)),
         {name}_lists AS (SELECT visitor_id, session_num, {listed('view')} AS items_viewed,
                 {listed('addtocart')} AS items_carted, {listed('transaction')} AS items_purchased
-            FROM (SELECT visitor_id, session_num, event, item_id, min(at) AS first_at
+            FROM (SELECT visitor_id, session_num, event, item_id, min(pos) AS first_at
                   FROM {name}_rows GROUP BY visitor_id, session_num, event, item_id)
             GROUP BY visitor_id, session_num),
         {name} AS (SELECT r.visitor_id || '_' || r.session_num AS session_id, r.visitor_id,
@@ -514,9 +514,9 @@ def oracle_sql() -> dict[str, str]:
     sql["idle_gap"] = f"""{_with(*_LOOP_VIEWS)}
         SELECT group_id, instance, batch_id, round(idle_ms, 4) AS idle_ms FROM gaps"""
     sql["stage_trend_rolling"] = f"""{_with(*_LOOP_VIEWS, 'slopes')}
-        SELECT group_id, instance, batch_id, round(pg_events_slope, 6) AS pg_events_slope,
-            round(valkey_slope, 6) AS valkey_slope,
-            round(pg_sessions_slope, 6) AS pg_sessions_slope FROM slopes"""
+        SELECT group_id, instance, batch_id, round(pg_events_slope, 6) + 0 AS pg_events_slope,
+            round(valkey_slope, 6) + 0 AS valkey_slope,
+            round(pg_sessions_slope, 6) + 0 AS pg_sessions_slope FROM slopes"""
     for name, limit in (("stage_trends", 0.5), ("stage_trends_sensitive", 0.02)):
         sql[name] = f"""{_with(*_LOOP_VIEWS, 'tail_slopes')}
             SELECT group_id, instance, stage, round(slope, 6) AS slope, first_ms, last_ms

@@ -171,7 +171,7 @@ def count_samples(spark: SparkSession, directory: str) -> DataFrame:
     """Polled counts of a run; a failed poll reads -1, and counts stand still at times."""
     return table(spark, directory, "events").selectExpr(
         "event_type AS run_id", f"{MS} AS ts_ms", f"1 + {K} % 5 AS step",
-        f"CASE WHEN {K} = 0 THEN -1 ELSE event_id - event_id % 700 END AS count",
+        f"CASE WHEN {K} = 0 THEN -1 ELSE event_id - event_id % 2000 END AS count",
         "event_id AS seq",
     )
 
