@@ -17,6 +17,8 @@ MAX_POLL_INTERVAL_MS = 300_000
 PERIOD_MS = 30_000
 
 READER = ["group_id", "instance"]
+# Short blocks keep the running sums small, and with them their rounding errors.
+SLOPE_BLOCK_ROWS = 2_000
 
 
 def _stage_ms() -> Column:
@@ -56,37 +58,49 @@ def _idle(window) -> Column:
 
 def idle_gap(batches: DataFrame, block: int = BLOCK_ROWS) -> DataFrame:
     """Idle time before each batch of a reader."""
-    positioned = with_position(batches, READER, ["batch_id"])
-    gaps = over_recent_rows(positioned, READER, lambda w: {"idle_ms": _idle(w)}, 1, block)
-    return gaps.select(*READER, "batch_id", "idle_ms")
-
+    return _with_idle(batches, block).select(*READER, "batch_id", "idle_ms")
 
-def _slope(stage: str, window) -> Column:
-    """Regression of the stage time on the batch number over the latest batches."""
-    frame = window.rowsBetween(1 - WINDOW_BATCHES, 0)
-    return F.coalesce(F.regr_slope(f"{stage}_ms", "position").over(frame), F.lit(0.0))
 
-
-def _with_slopes_and_idle(batches: DataFrame, block: int) -> DataFrame:
+def _with_idle(batches: DataFrame, block: int) -> DataFrame:
     positioned = with_position(batches, READER, ["batch_id"])
+    return over_recent_rows(
+        positioned, READER, lambda df, w: df.withColumn("idle_ms", _idle(w)), 1, block
+    )
 
-    def columns(window):
-        slopes = {f"{stage}_slope": _slope(stage, window) for stage in STAGES}
-        return {**slopes, "idle_ms": _idle(window)}
-
-    return over_recent_rows(positioned, READER, columns, WINDOW_BATCHES, block)
 
+def _add_slopes(df: DataFrame, window) -> DataFrame:
+    """Least-squares slope of each stage time over the latest batches, 0 for a single one.
 
-def stage_trend_rolling(batches: DataFrame, block: int = BLOCK_ROWS) -> DataFrame:
+    With evenly spaced x the slope needs two sums over the window, each the difference of two
+    running sums; the work per row does not depend on the window length.
+    """
+    running = window.rowsBetween(W.unboundedPreceding, 0)
+    row, n = F.row_number().over(window), F.least(F.col("position") + 1, F.lit(WINDOW_BATCHES))
+    df = df.withColumns({"_row": row, "_n": n.cast("double")})
+    sums = {}
+    for stage in STAGES:
+        sums[f"_y_{stage}"] = F.sum(f"{stage}_ms").over(running)
+        sums[f"_xy_{stage}"] = F.sum(F.col("_row") * F.col(f"{stage}_ms")).over(running)
+    df = df.withColumns(sums)
+
+    def inside(name: str) -> Column:
+        return F.col(name) - F.lag(name, WINDOW_BATCHES, 0.0).over(window)
+
+    middle = F.col("_row") - (F.col("_n") - 1) / 2
+    weight = F.col("_n") * (F.col("_n") * F.col("_n") - 1) / 12
+    slopes = {
+        f"{stage}_slope": F.when(
+            F.col("_n") < 2, F.lit(0.0)
+        ).otherwise((inside(f"_xy_{stage}") - middle * inside(f"_y_{stage}")) / weight)
+        for stage in STAGES
+    }
+    return df.withColumns(slopes).drop("_row", "_n", *sums)
+
+
+def stage_trend_rolling(batches: DataFrame, block: int = SLOPE_BLOCK_ROWS) -> DataFrame:
     """Slope of every stage at each batch over the latest 100 batches."""
     positioned = with_position(batches, READER, ["batch_id"])
-    rolled = over_recent_rows(
-        positioned,
-        READER,
-        lambda w: {f"{stage}_slope": _slope(stage, w) for stage in STAGES},
-        WINDOW_BATCHES,
-        block,
-    )
+    rolled = over_recent_rows(positioned, READER, _add_slopes, WINDOW_BATCHES, block)
     return rolled.select(*READER, "batch_id", *[f"{stage}_slope" for stage in STAGES])
 
 
@@ -153,7 +167,7 @@ def batch_indicators(
     rebalances: DataFrame | None = None,
     period_ms: int = PERIOD_MS,
     max_poll_ms: int = MAX_POLL_INTERVAL_MS,
-    block: int = BLOCK_ROWS,
+    block: int = SLOPE_BLOCK_ROWS,
 ) -> DataFrame:
     """Indicators per reader and period: the samples :func:`backpressure_report` takes.
 
@@ -161,9 +175,13 @@ def batch_indicators(
     over the 300 seconds up to it.
     """
     period = F.floor(F.col("end_ms") / period_ms).cast("bigint")
-    rows = _with_slopes_and_idle(batches, block).withColumns(
-        {"period": period, "bottleneck": _bottleneck()}
-    )
+    rows = over_recent_rows(
+        with_position(batches, READER, ["batch_id"]),
+        READER,
+        lambda df, w: _add_slopes(df, w).withColumn("idle_ms", _idle(w)),
+        WINDOW_BATCHES,
+        block,
+    ).withColumns({"period": period, "bottleneck": _bottleneck()})
     result = rows.groupBy(*READER, "period").agg(
         F.count("*").alias("loops"),
         F.avg(_fill()).alias("fill_ratio"),
@@ -204,8 +222,7 @@ def batch_summary(
     Headroom is the idle share of the loop in percent. A period counts as ``period_ms``
     long; a lifetime lasts from the start of the first loop to the end of the last.
     """
-    positioned = with_position(batches, READER, ["batch_id"])
-    rows = over_recent_rows(positioned, READER, lambda w: {"idle_ms": _idle(w)}, 1, block)
+    rows = _with_idle(batches, block)
     keys = list(READER)
     if period_ms is None:
         span = F.max("end_ms") - F.min(F.col("end_ms") - _loop_ms())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pathwake.functions.columns import event_time
 from pathwake.operators.ordering import BLOCK_ROWS, over_recent_rows, running, with_position
+from pathwake.runtime import stored
 
 SAMPLE_SECONDS = 5
 STALL_POLLS = 30
@@ -105,13 +106,35 @@ def ramp_latest_run(samples: DataFrame) -> DataFrame:
     return samples.filter(F.col("run_id") == newest.scalar())
 
 
-def _known_counts(polls: DataFrame, block: int) -> DataFrame:
-    """Polls in order of step and time; ``known`` is the last count that was read (0 before)."""
+def _with_known_counts(polls: DataFrame, block: int) -> DataFrame:
+    """Polls in order of step and time.
+
+    ``known`` is the last count that was read (0 before the first), ``before`` the one known
+    at the poll before, ``step_before`` that poll's step, ``read_polls`` the number of polls
+    read so far.
+    """
     keys = ["run_id"]
+    read = F.col("count") != -1
     positioned = with_position(polls, keys, ["step", "ts_ms", "seq"])
-    good = F.when(F.col("count") != -1, F.col("count"))
-    filled = running(positioned, keys, "known", good, "last", block)
-    return filled.withColumn("known", F.coalesce("known", F.lit(0)))
+    known = running(
+        positioned,
+        keys,
+        {
+            "known": ("last", F.when(read, F.col("count"))),
+            "read_polls": ("sum", F.when(read, 1).otherwise(0)),
+        },
+        block,
+    ).withColumn("known", F.coalesce("known", F.lit(0)))
+
+    def add(df, window):
+        return df.withColumns(
+            {
+                "before": F.coalesce(F.lag("known").over(window), F.lit(0)),
+                "step_before": F.lag("step").over(window),
+            }
+        )
+
+    return over_recent_rows(known, keys, add, 1, block)
 
 
 def sample_throughput(
@@ -123,16 +146,7 @@ def sample_throughput(
     baseline and is left out.
     """
     gained = F.floor((F.col("known") - F.col("before")) / seconds).cast("bigint")
-    rows = over_recent_rows(
-        _known_counts(polls, block),
-        ["run_id"],
-        lambda w: {
-            "before": F.coalesce(F.lag("known").over(w), F.lit(0)),
-            "step_before": F.lag("step").over(w),
-        },
-        1,
-        block,
-    )
+    rows = _with_known_counts(polls, block)
     return rows.filter(F.col("step_before") == F.col("step")).select(
         "run_id", "step", "seq", F.greatest(F.lit(0), gained).alias("throughput")
     )
@@ -146,22 +160,16 @@ def stall_detection(
     A failed poll neither counts as standing still nor ends a standstill. ``stalled`` holds
     from ``stall_polls`` unchanged polls on.
     """
-    keys = ["run_id"]
-    rows = over_recent_rows(
-        _known_counts(polls, block),
-        keys,
-        lambda w: {"before": F.coalesce(F.lag("known").over(w), F.lit(0))},
-        1,
-        block,
-    )
-    read = F.col("count") != -1
-    still = F.when(read & (F.col("known") == F.col("before")), 1).otherwise(0)
-    moved = read & (F.col("known") != F.col("before"))
-    rows = running(rows, keys, "still_polls", still, "sum", block)
-    rows = running(
-        rows, keys, "at_move", F.when(moved, F.col("still_polls")), "last", block
+    moved = (F.col("count") != -1) & (F.col("known") != F.col("before"))
+    rows = stored(
+        _with_known_counts(polls, block).select(
+            "run_id", "seq", "position", "known", "read_polls", moved.alias("moved")
+        ),
+        "polls",
     )
-    unchanged = F.col("still_polls") - F.coalesce(F.col("at_move"), F.lit(0))
+    last_move = F.when(F.col("moved"), F.col("read_polls"))
+    rows = running(rows, ["run_id"], {"at_move": ("last", last_move)}, block)
+    unchanged = F.col("read_polls") - F.coalesce(F.col("at_move"), F.lit(0))
     share = F.bround(F.col("known") / F.lit(limit) * 100).cast("bigint")
     percent = F.least(F.lit(100), share) if limit > 0 else F.lit(0)
     return rows.select(

@@ -150,16 +150,18 @@ def lag_trend_rolling(samples: DataFrame, rows: int = 24, block: int = BLOCK_ROW
     """Trend class at each sample over the ``rows`` latest samples of its group."""
     positioned = with_position(total_lags(samples), ["group_id"], ["ts"])
 
-    def columns(window):
+    def fit(df, window):
         frame = window.rowsBetween(1 - rows, 0)
-        return {
-            "samples": F.count("*").over(frame),
-            "spread": F.max("ts").over(frame) > F.min("ts").over(frame),
-            "slope": F.regr_slope("total", "ts").over(frame),
-            "mean": F.avg("total").over(frame),
-        }
+        return df.withColumns(
+            {
+                "samples": F.count("*").over(frame),
+                "spread": F.max("ts").over(frame) > F.min("ts").over(frame),
+                "slope": F.regr_slope("total", "ts").over(frame),
+                "mean": F.avg("total").over(frame),
+            }
+        )
 
-    rolled = over_recent_rows(positioned, ["group_id"], columns, rows, block)
+    rolled = over_recent_rows(positioned, ["group_id"], fit, rows, block)
     return rolled.select("group_id", "ts", "total", _class().alias("trend"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathwake.schemas import EVENT, REQUIRED_FIELDS
@@ -46,7 +46,7 @@ def decode_messages(messages: DataFrame, strict: bool = False) -> DataFrame:
     parsed = F.from_json("value", layout, options)
     # JSON that is readable but not an object yields no field at all.
     broken = F.coalesce(F.col("e.corrupt"), F.when(~_is_object("value"), F.col("value")))
-    return messages.select(*kept, parsed.alias("e")).select(
+    return _computed_once(messages, "e", parsed).select(
         *kept, *[F.col(f"e.{c}").alias(c) for c in EVENT_FIELDS], broken.alias("corrupt")
     )
 
@@ -59,33 +59,40 @@ def unwrap_messages(messages: DataFrame) -> DataFrame:
     """Event objects from messages that hold them directly, under ``value`` or under ``data``.
 
     A branch counts only when it is an object. Messages lacking a required field are dropped;
-    a field that is present with a JSON null passes.
+    a field that is present with a JSON null passes. The text is parsed once.
     """
-    text = F.col("value")
-    inner = F.get_json_object(text, "$.value")
-    outer = F.get_json_object(text, "$.data")
-    body = F.when(_object_text(inner), inner).when(_object_text(outer), outer).otherwise(text)
-    required = F.array(*[F.lit(name) for name in REQUIRED_FIELDS])
-    missing = F.array_except(required, F.json_object_keys("body"))
+
+    def as_object(variant: Column) -> Column:
+        return variant.try_cast("map<string,variant>")  # null unless it is an object
+
+    whole = as_object(F.try_parse_json("value"))
+    inner, outer = as_object(F.col("whole")["value"]), as_object(F.col("whole")["data"])
+    complete = F.lit(True)
+    for name in REQUIRED_FIELDS:
+        complete = complete & F.map_contains_key("body", name)
+    parsed = _computed_once(messages, "whole", whole)
     return (
-        messages.filter(_is_object("value"))
-        .withColumn("body", body)
-        .filter(F.size(missing) == 0)
-        .withColumn("e", F.from_json("body", EVENT))
+        _computed_once(parsed, "body", F.coalesce(inner, outer, F.col("whole")))
+        .filter(complete)
         .select(
             *[c for c in messages.columns if c not in ("value", "timestamp")],
-            *[F.col(f"e.{c}").alias(c) for c in EVENT_FIELDS],
+            *[F.col("body")[f.name].try_cast(f.dataType).alias(f.name) for f in EVENT],
         )
     )
 
 
+def _computed_once(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """Add a costly column that later filters use.
+
+    A plain column would be computed again in every filter moved below it; the output of a
+    generator is not.
+    """
+    return df.select("*", F.explode(F.array(column)).alias(name))
+
+
 def _ddl() -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EVENT)
 
 
-def _is_object(column: str):
+def _is_object(column: str) -> Column:
     return F.coalesce(F.json_object_keys(column).isNotNull(), F.lit(False))
-
-
-def _object_text(text):
-    return F.coalesce(F.json_object_keys(text).isNotNull(), F.lit(False))

@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pathwake.runtime import BROADCAST_ROWS, stored
 
-BLOCK_ROWS = 1_000_000
+BLOCK_ROWS = 100_000
 _SLOT_BITS = 33  # monotonically_increasing_id keeps the row number in its lower 33 bits
 
 
@@ -37,13 +37,14 @@ def with_position(
     )
     laid = laid.withColumn("_part", F.shiftright("_row", _SLOT_BITS))
     sizes = laid.groupBy(*keys, "_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_at"))
-    # One row per partition and group present in it: the earlier partitions of a group.
-    # Without keys that is one row per partition of the layout.
-    before = W.partitionBy(*[F.col(k) for k in keys]) if keys else W.partitionBy(F.lit(0))
+    # One row per group and partition it lies in; the window adds up the earlier partitions.
+    before = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
     before = before.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     skipped = F.coalesce(F.sum("_n").over(before), F.lit(0))
     starts = sizes.select(*keys, "_part", (skipped - F.col("_at")).alias("_shift"))
-    starts = _small(stored(starts, "starts"))
+    # Without keys there are as many rows as partitions; groups have to be counted.
+    if not keys or starts.count() <= BROADCAST_ROWS:
+        starts = F.broadcast(starts)
     return (
         _join(laid, starts, [*keys, "_part"])
         .withColumn(name, F.col("_row") + F.col("_shift"))
@@ -54,16 +55,16 @@ def with_position(
 def over_recent_rows(
     positioned: DataFrame,
     keys: list[str],
-    columns: Callable[[W], dict[str, Column]],
+    add: Callable[[DataFrame, WindowSpec], DataFrame],
     rows: int,
     block: int = BLOCK_ROWS,
     name: str = "position",
 ) -> DataFrame:
     """Window columns that look back at most ``rows`` rows.
 
-    ``columns`` maps a window (partitioned and ordered, no frame) to named expressions. The
-    last ``rows`` rows of each block are repeated in front of the next one, and the copies
-    dropped again.
+    ``add`` adds them, given the rows and a window that is partitioned and ordered. The last
+    ``rows`` rows of each block are repeated in front of the next one, and the copies dropped
+    again.
     """
     block = max(block, rows)
     home = F.floor(F.col(name) / block).cast("bigint")
@@ -71,43 +72,46 @@ def over_recent_rows(
     blocks = F.when(carried, F.array(home, home + 1)).otherwise(F.array(home))
     window = W.partitionBy(*keys, "_block").orderBy(name)
     spread = positioned.withColumn("_block", F.explode(blocks))
-    return spread.withColumns(columns(window)).filter(F.col("_block") == home).drop("_block")
+    return add(spread, window).filter(F.col("_block") == home).drop("_block")
 
 
 def running(
     positioned: DataFrame,
     keys: list[str],
-    name: str,
-    value: Column,
-    how: str,
+    values: dict[str, tuple[str, Column]],
     block: int = BLOCK_ROWS,
     position: str = "position",
 ) -> DataFrame:
-    """Running ``sum``, or ``last`` value that is not null, up to and including each row."""
-    rows = positioned.withColumn("_value", value).withColumn(
-        "_block", F.floor(F.col(position) / block).cast("bigint")
-    )
+    """Running aggregates up to and including each row.
+
+    ``values`` maps a name to ``("sum", column)`` or ``("last", column)``, the latter being
+    the last value that is not null. ``positioned`` is read twice: for the totals of the
+    blocks, and for the rows, which take over the totals of all earlier blocks.
+    """
+    home = F.floor(F.col(position) / block).cast("bigint")
+    rows = positioned.withColumn("_block", home)
     inside = W.partitionBy(*keys, "_block").orderBy(position).rowsBetween(W.unboundedPreceding, 0)
     earlier = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    if how == "sum":
-        local = F.coalesce(F.sum("_value").over(inside), F.lit(0))
-        per_block = F.sum("_value")
-        carry = F.coalesce(F.sum("_total").over(earlier), F.lit(0))
-        combined = F.col("_local") + F.col("_carry")
-    elif how == "last":
-        local = F.last("_value", ignorenulls=True).over(inside)
-        per_block = F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(position)))
-        carry = F.last("_total", ignorenulls=True).over(earlier)
-        combined = F.coalesce("_local", "_carry")
-    else:
-        raise ValueError(f"unknown running aggregate: {how}")
-    totals = rows.groupBy(*keys, "_block").agg(per_block.alias("_total"))
-    carries = totals.select(*keys, "_block", carry.alias("_carry"))
-    return (
-        _join(rows.withColumn("_local", local), carries, [*keys, "_block"])
-        .withColumn(name, combined)
-        .drop("_value", "_block", "_local", "_carry")
-    )
+    totals, carries, local, combined = [], [], {}, {}
+    for name, (how, value) in values.items():
+        total, carry = f"_total_{name}", f"_carry_{name}"
+        if how == "sum":
+            totals.append(F.sum(value).alias(total))
+            carries.append(F.sum(total).over(earlier).alias(carry))
+            local[name] = F.coalesce(F.sum(value).over(inside), F.lit(0))
+            combined[name] = F.col(name) + F.coalesce(F.col(carry), F.lit(0))
+        elif how == "last":
+            at = F.when(value.isNotNull(), F.col(position))
+            totals.append(F.max_by(value, at).alias(total))
+            carries.append(F.last(total, ignorenulls=True).over(earlier).alias(carry))
+            local[name] = F.last(value, ignorenulls=True).over(inside)
+            combined[name] = F.coalesce(F.col(name), F.col(carry))
+        else:
+            raise ValueError(f"unknown running aggregate: {how}")
+    per_block = rows.groupBy(*keys, "_block").agg(*totals)
+    before = per_block.select(*keys, "_block", *carries)
+    joined = _join(rows.withColumns(local), before, [*keys, "_block"])
+    return joined.withColumns(combined).drop("_block", *[f"_carry_{name}" for name in values])
 
 
 def _join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -118,8 +122,3 @@ def _join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     for k in on:
         match = match & left[k].eqNullSafe(right[f"_r_{k}"])
     return left.join(right, match).drop(*[f"_r_{k}" for k in on])
-
-
-def _small(table: DataFrame) -> DataFrame:
-    """Broadcast hint for a stored table if its row count allows it."""
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table

@@ -78,21 +78,25 @@ def insert_events(batch: DataFrame, batch_id: int, path: str) -> None:
     spark = batch.sparkSession
     if "seq" not in batch.columns:
         batch = batch.withColumn("seq", F.lit(0).cast("bigint"))
-    dated = batch.withColumn("event_date", F.to_date(event_time(F.col("timestamp"))))
-    days = [r.event_date for r in dated.select("event_date").distinct()
-            .limit(MAX_LISTED_DATES + 1).collect()]
-    stored = read_events(spark, path).filter(F.col("batch_id") != batch_id)
-    if len(days) <= MAX_LISTED_DATES:
-        stored = stored.filter(F.col("event_date").isin(days))
-    fresh = insert_new_events(batch, stored).select(*EVENT.names)
-    (
-        fresh.withColumn("event_date", F.to_date(event_time(F.col("timestamp"))))
-        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch_id")
-        .parquet(path)
-    )
+    date = F.to_date(event_time(F.col("timestamp")))
+    batch = batch.select(*EVENT.names, "seq").persist()
+    try:
+        dates = batch.select(date.alias("d")).distinct().limit(MAX_LISTED_DATES + 1).collect()
+        stored = read_events(spark, path).filter(F.col("batch_id") != batch_id)
+        if len(dates) <= MAX_LISTED_DATES:
+            stored = stored.filter(F.col("event_date").isin([r.d for r in dates]))
+        fresh = insert_new_events(batch, stored).select(
+            *EVENT.names, date.alias("event_date"), F.lit(batch_id).cast("bigint").alias("batch_id")
+        )
+        (
+            fresh.hint("rebalance", "event_date")  # few files a date; a large date is split
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("event_date", "batch_id")
+            .parquet(path)
+        )
+    finally:
+        batch.unpersist()
 
 
 def log_sessions(sessions: DataFrame, batch_id: int, path: str) -> None:

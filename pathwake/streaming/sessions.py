@@ -7,9 +7,11 @@ visitor sends over is then bounded by slots and items instead of events.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -25,6 +27,9 @@ COMBINED = (
 _KEYS = ["visitor_id", "slot", "event", "item_id"]
 _NAMES = STATE.names
 
+# Ship the functions of this module with the query: workers then need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per Arrow batch, one row per visitor, slot, event and item.
