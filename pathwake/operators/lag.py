@@ -33,7 +33,7 @@ def consumer_lag(
 def live_lag(positions: DataFrame, end: DataFrame) -> DataFrame:
     """Lag of a running reader. Null where position or end offset is unknown."""
     known = F.when(
-        F.col("committed") >= 0,
+        (F.col("committed") >= 0) & F.col("end_offset").isNotNull(),
         F.greatest(F.lit(0), F.col("end_offset") - F.col("committed")),
     )
     return positions.join(end, ["topic", "part"], "left").select(
