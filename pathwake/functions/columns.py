@@ -74,3 +74,9 @@ def now_or_latest(df: DataFrame, column: str, now: int | None) -> Column:
     if now is not None:
         return F.lit(now).cast("bigint")
     return df.select(F.max(column).alias("latest")).scalar()
+
+
+def json_rows(report: DataFrame) -> DataFrame:
+    """A report as JSON text, one object per row, unknown values as null."""
+    fields = F.struct(*report.columns)
+    return report.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias("json"))

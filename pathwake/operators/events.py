@@ -81,8 +81,15 @@ def batch_visitors(events: DataFrame) -> DataFrame:
 
 
 def index_documents(events: DataFrame) -> DataFrame:
-    """Search documents by ``doc_id``; of equal ids the last written stays."""
-    documents = events.select(
+    """Search documents by ``doc_id``; of equal ids the last written stays.
+
+    The id is made of the event key, so copies are combined on the key and the text columns
+    are only built for the rows that remain.
+    """
+    latest = events.groupBy(*EVENT_KEY).agg(
+        F.max_by("transaction_id", "seq").alias("transaction_id")
+    )
+    return latest.select(
         document_id().alias("doc_id"),
         iso_text(F.col("timestamp")).alias("event_time"),
         "timestamp",
@@ -90,10 +97,4 @@ def index_documents(events: DataFrame) -> DataFrame:
         "event",
         "item_id",
         "transaction_id",
-        "seq",
-    )
-    # The id determines every column except the transaction, so only that is chosen by order.
-    same = ["doc_id", "event_time", "timestamp", "visitor_id", "event", "item_id"]
-    return documents.groupBy(*same).agg(
-        F.max_by("transaction_id", "seq").alias("transaction_id")
     )

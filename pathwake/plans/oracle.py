@@ -395,6 +395,12 @@ def oracle_sql() -> dict[str, str]:
 
     sql["funnel_metrics"] = _funnel(1800000)
     sql["funnel_metrics_12h"] = _funnel(43200000)
+    fields = ", ".join(f"'{c}': {c}" for c in (
+        "sessions", "cart_sessions", "purchase_sessions", "total_purchases", "conversion_rate",
+        "cart_abandonment", "avg_items_per_purchase"))
+    sql["funnel_json"] = f"""SELECT '{{' || string_agg('"' || time_window || '":' ||
+            CAST(to_json({{{fields}}}) AS VARCHAR), ',' ORDER BY time_window) || '}}' AS json
+        FROM ({_funnel(1800000)})"""
     sql["conversion_funnel"] = f"""{_with(*_CLICKS)}
         SELECT date_trunc('day', make_timestamp(timestamp * 1000))::TIMESTAMP AS day,
             count(DISTINCT visitor_id) AS unique_visitors,

@@ -6,7 +6,7 @@ same batch wrote, so a replayed batch changes nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,12 +142,20 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def publish(messages: DataFrame, options: dict[str, str] | None = None, path: str | None = None):
-    """Write message rows to a broker (``options``) or to a folder (``path``)."""
+def publish(
+    messages: DataFrame, options: dict[str, str] | None = None, path: str | None = None
+) -> int:
+    """Write message rows to a broker (``options``) or to a folder (``path``).
+
+    Returns the number of messages, counted while they are written.
+    """
+    counter = Observation("published")
+    counted = messages.observe(counter, F.count(F.lit(1)).alias("messages"))
     if path is not None:
-        messages.write.mode("append").parquet(path)
+        counted.write.mode("append").parquet(path)
     else:
-        messages.select("key", "value", "topic").write.format("kafka").options(**options).save()
+        counted.select("key", "value", "topic").write.format("kafka").options(**options).save()
+    return counter.get["messages"]
 
 
 def append_results(path: str, first: DataFrame, *more: DataFrame) -> None:

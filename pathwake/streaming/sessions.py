@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -172,6 +172,12 @@ def stream_sessions(
     )
 
 
+def stored_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Current session of every visitor, read from the checkpoint of a session stream."""
+    store = spark.read.format("statestore").option("stateVarName", "session").load(checkpoint)
+    return store.select("value.*").select(*_NAMES)
+
+
 def stream_dedup(events: DataFrame, late_after: str = "1 day") -> DataFrame:
     """First row per event key; keys are remembered for ``late_after`` of event time."""
     timed = events.withColumn("event_time", event_time(F.col("timestamp")))

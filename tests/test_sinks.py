@@ -2,6 +2,7 @@ import datetime
 
 import pytest
 
+from pathwake.functions.columns import json_rows
 from pathwake.operators import replay, sessions
 from pathwake.operators.events import normalize_events
 from pathwake.schemas import SESSION_TABLE
@@ -104,3 +105,14 @@ def test_tables_are_created_once_and_reset(spark):
     K.reset_tables(spark, "shop")
     assert spark.table("shop.item_metrics").count() == 0
     assert spark.table("shop.sessions").schema.names == SESSION_TABLE.names
+
+
+def test_publishing_counts_messages(spark, tmp_path):
+    sent = spark.range(7).selectExpr("CAST(id AS STRING) AS key", "'{}' AS value")
+    assert K.publish(sent, path=f"{tmp_path}/out") == 7
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 7
+
+
+def test_report_as_json(spark):
+    report = spark.createDataFrame([("g", None)], "group_id string, consumer_lag long")
+    assert json_rows(report).first().json == '{"group_id":"g","consumer_lag":null}'

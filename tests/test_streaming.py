@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from pathwake.operators import messages as M
 from pathwake.operators import sessions as S
 from pathwake.sinks import tables as K
+from pathwake.operators import batches, lag
+from pathwake.streaming import progress
 from pathwake.streaming import source as streams
 from pathwake.streaming import tables as stream_tables
-from pathwake.streaming.sessions import stream_sessions
+from pathwake.streaming.sessions import stored_state, stream_sessions
 from tests.fold import fold, random_events
 
 COLUMNS = "timestamp long, visitor_id long, event string, item_id long, seq long"
@@ -32,7 +34,7 @@ class Stream:
         sessions = stream_sessions(events, self.timeout, **self.options)
         writer = stream_tables.to_sink(
             sessions, lambda b, i: emitted.extend(r.asDict() for r in b.collect()))
-        streams.run_available(writer, f"{self.base}/checkpoint")
+        self.query = streams.run_available(writer, f"{self.base}/checkpoint")
         return emitted
 
 
@@ -114,3 +116,27 @@ def test_continuous_run(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert spark.table("continuous").count() == 5
+
+
+def test_state_and_measurements_of_a_stream(spark, tmp_path):
+    rows = sorted(random_events(7, n=80), key=lambda e: (e[0], e[4]))
+    stream = Stream(spark, tmp_path)
+    stream.run(rows)
+    state = stored_state(spark, f"{tmp_path}/checkpoint")
+    want = S.latest_state(S.sessionize(spark.createDataFrame(rows, COLUMNS), 1000))
+    assert state.exceptAll(want).count() == want.exceptAll(state).count() == 0
+    assert S.active_sessions(state, F.lit(0), 1).first()[0] == want.count()
+    measured = progress.batch_metrics(spark, stream.query, "sessions", 100)
+    row = measured.first()
+    assert row.batch_size == 80 and row.valkey_ms > 0 and row.pg_events_ms == 0
+    assert batches.batch_summary(measured, None).first().events == 80
+    assert progress.offsets(spark, stream.query).count() == 0
+
+
+def test_offsets_of_a_broker_source(spark):
+    report = {"sources": [{"endOffset": '{"t":{"0":5,"1":7}}', "latestOffset": "{'t': {'0': 9}}"}]}
+    rows = progress.offset_rows(report)
+    assert rows == [("t", 0, 5, 9), ("t", 1, 7, None)]
+    df = spark.createDataFrame(rows, progress.OFFSETS)
+    lags = lag.live_lag(df.drop("end_offset"), df.select("topic", "part", "end_offset"))
+    assert {r.part: r.lag for r in lags.collect()} == {0: 4, 1: None}
