@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -20,26 +21,29 @@ from pathwake.functions.columns import event_time
 from pathwake.operators.sessions import TYPED
 from pathwake.schemas import EVENT_KEY, SESSION_TIMEOUT_MS, STATE
 
+# A visitor's combined events of one task, as parallel lists.
 COMBINED = (
-    "visitor_id bigint, slot bigint, event string, item_id bigint, n bigint, "
-    "first_ts bigint, last_ts bigint, first_seq bigint"
+    "visitor_id bigint, slot array<bigint>, first_ts array<bigint>, first_seq array<bigint>, "
+    "item_id array<bigint>, event array<string>, n array<bigint>, last_ts array<bigint>"
 )
-_KEYS = ["visitor_id", "slot", "event", "item_id"]
+_LISTS = ["slot", "first_ts", "first_seq", "item_id", "event", "n", "last_ts"]
 _NAMES = STATE.names
+_OUTPUT = Row(*_NAMES)
 
 # Ship the functions of this module with the query: workers then need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per Arrow batch, one row per visitor, slot, event and item.
+    """Per Arrow batch, one row per visitor with its events combined by slot, type and item.
 
     ``first_seq`` belongs to the event of ``first_ts``.
     """
+    keys = ["visitor_id", "slot", "event", "item_id"]
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         ordered = rows.sort_by([("timestamp", "ascending"), ("seq", "ascending")])
-        grouped = ordered.group_by(_KEYS, use_threads=False).aggregate(
+        combined = ordered.group_by(keys, use_threads=False).aggregate(
             [
                 ("timestamp", "count"),
                 ("timestamp", "first"),
@@ -47,8 +51,11 @@ def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ("seq", "first"),
             ]
         )
-        renamed = grouped.rename_columns([*_KEYS, "n", "first_ts", "last_ts", "first_seq"])
-        yield from renamed.to_batches()
+        named = combined.rename_columns([*keys, "n", "first_ts", "last_ts", "first_seq"])
+        lists = named.group_by("visitor_id", use_threads=False).aggregate(
+            [(name, "list") for name in _LISTS]
+        )
+        yield from lists.rename_columns(["visitor_id", *_LISTS]).to_batches()
 
 
 class SessionFold(StatefulProcessor):
@@ -69,23 +76,26 @@ class SessionFold(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         current = self._load()
         touched, slot = [], None
-        for row in sorted(rows, key=_in_order):
-            if row.slot != slot:
-                slot = row.slot
-                if self._expired(current, row.first_ts):
+        parts = [zip(*(row[name] for name in _LISTS)) for row in rows]
+        for part in sorted(chain.from_iterable(parts), key=_in_order):
+            part_slot, first_ts, _, item, kind, n, last_ts = part
+            if part_slot != slot:
+                slot = part_slot
+                if self._expired(current, first_ts):
                     number = current["session_num"] + 1 if current else 1
-                    current = _blank(key[0], number, row.first_ts)
+                    current = _blank(key[0], number, first_ts)
                 if not touched or touched[-1] is not current:
                     touched.append(current)
-                current["last_activity"] = row.last_ts
-            _add(current, row)
+                current["last_activity"] = last_ts
+            _add(current, kind, item, n, last_ts)
         self._save(current)
         if self.ttl_ms is not None:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(current["last_activity"] + self.ttl_ms)
         for session in touched:
-            yield Row(**_closed(session))
+            closed = _closed(session)
+            yield _OUTPUT(*[closed[name] for name in _NAMES])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self._save(_blank(key[0], self._load()["session_num"], 0))
@@ -95,9 +105,10 @@ class SessionFold(StatefulProcessor):
         pass
 
     def _load(self) -> dict | None:
-        if not self.session.exists():
+        stored = self.session.get()
+        if stored is None:
             return None
-        current = dict(zip(_NAMES, self.session.get()))
+        current = dict(zip(_NAMES, stored))
         for _, items in TYPED.values():
             current[items] = dict.fromkeys(current[items])
         return current
@@ -111,8 +122,9 @@ class SessionFold(StatefulProcessor):
         return first_ts - current["last_activity"] > self.timeout_ms
 
 
-def _in_order(row: Row):
-    return row.slot, row.first_ts, row.first_seq, row.item_id is not None, row.item_id or 0
+def _in_order(part: tuple):
+    slot, first_ts, first_seq, item, *_ = part
+    return slot, first_ts, first_seq, item is not None, item or 0
 
 
 def _blank(visitor: int, number: int, start: int) -> dict:
@@ -128,14 +140,14 @@ def _blank(visitor: int, number: int, start: int) -> dict:
     }
 
 
-def _add(current: dict, row: Row) -> None:
-    current["event_count"] += row.n
-    current["last_activity"] = max(current["last_activity"], row.last_ts)
-    current["session_end"] = max(current["session_end"], row.last_ts)
-    if row.event in TYPED:
-        counter, items = TYPED[row.event]
-        current[counter] += row.n
-        current[items].setdefault(row.item_id)
+def _add(current: dict, kind: str, item: int | None, n: int, last_ts: int) -> None:
+    current["event_count"] += n
+    current["last_activity"] = max(current["last_activity"], last_ts)
+    current["session_end"] = max(current["session_end"], last_ts)
+    if kind in TYPED:
+        counter, items = TYPED[kind]
+        current[counter] += n
+        current[items].setdefault(item)
 
 
 def _closed(session: dict) -> dict:
@@ -152,7 +164,7 @@ def stream_sessions(
 
     Late events are accepted at any age and state is kept for good. With ``ttl_ms`` (such as
     ``STATE_TTL_MS``) state is cleared by event time, and events more than ``late_after``
-    behind the newest are dropped.
+    behind the newest may be dropped.
     """
     seq = F.col("seq") if "seq" in events.columns else F.lit(0).cast("bigint")
     slot = F.floor(F.col("timestamp") / (timeout_ms + 1)).cast("bigint")
@@ -161,7 +173,7 @@ def stream_sessions(
     )
     combined = rows.mapInArrow(combine, COMBINED)
     if ttl_ms is not None:
-        combined = combined.withColumn("event_time", event_time(F.col("last_ts"))).withWatermark(
+        combined = combined.withColumn("event_time", event_time(F.array_max("last_ts"))).withWatermark(
             "event_time", late_after
         )
     return combined.groupBy("visitor_id").transformWithState(
