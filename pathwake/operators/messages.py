@@ -44,8 +44,10 @@ def decode_messages(messages: DataFrame, strict: bool = False) -> DataFrame:
     layout = f"{_ddl()}, corrupt string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}
     parsed = F.from_json("value", layout, options)
-    # JSON that is readable but not an object yields no field at all.
-    broken = F.coalesce(F.col("e.corrupt"), F.when(~_is_object("value"), F.col("value")))
+    # JSON that is readable but not an object yields no field at all; only then look again.
+    empty = F.coalesce(*[F.col(f"e.{c}").cast("string") for c in EVENT_FIELDS]).isNull()
+    no_object = F.when(empty, F.when(~_is_object("value"), F.col("value")))
+    broken = F.coalesce(F.col("e.corrupt"), no_object)
     return _computed_once(messages, "e", parsed).select(
         *kept, *[F.col(f"e.{c}").alias(c) for c in EVENT_FIELDS], broken.alias("corrupt")
     )

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pathwake.operators.skew import null_safe_join
 from pathwake.runtime import BROADCAST_ROWS, stored
 
 BLOCK_ROWS = 100_000
@@ -46,7 +47,7 @@ def with_position(
     if not keys or starts.count() <= BROADCAST_ROWS:
         starts = F.broadcast(starts)
     return (
-        _join(laid, starts, [*keys, "_part"])
+        null_safe_join(laid, starts, [*keys, "_part"])
         .withColumn(name, F.col("_row") + F.col("_shift"))
         .drop("_row", "_part", "_shift")
     )
@@ -110,15 +111,5 @@ def running(
             raise ValueError(f"unknown running aggregate: {how}")
     per_block = rows.groupBy(*keys, "_block").agg(*totals)
     before = per_block.select(*keys, "_block", *carries)
-    joined = _join(rows.withColumns(local), before, [*keys, "_block"])
+    joined = null_safe_join(rows.withColumns(local), before, [*keys, "_block"])
     return joined.withColumns(combined).drop("_block", *[f"_carry_{name}" for name in values])
-
-
-def _join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Inner join on keys that may be null."""
-    right = right.select(*[F.col(k).alias(f"_r_{k}") if k in on else F.col(k)
-                           for k in right.columns])
-    match = F.lit(True)
-    for k in on:
-        match = match & left[k].eqNullSafe(right[f"_r_{k}"])
-    return left.join(right, match).drop(*[f"_r_{k}" for k in on])

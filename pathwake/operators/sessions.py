@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pathwake.functions.columns import count_where, event_time
 from pathwake.operators.events import dedup_events
-from pathwake.operators.skew import HEAVY_ROWS, split_heavy
+from pathwake.operators.skew import HEAVY_ROWS, null_safe_join, split_heavy
 from pathwake.schemas import (
     CART,
     PURCHASE,
@@ -61,10 +61,11 @@ def sessionize(
 def _ordinary_sessions(rows: DataFrame, timeout_ms: int) -> DataFrame:
     """Window over the visitor, then two aggregations on the same partitioning."""
     order = W.partitionBy("visitor_id").orderBy("timestamp", "seq", "event", "item_id")
+    so_far = order.rowsBetween(W.unboundedPreceding, 0)
     gap = F.col("timestamp") - F.lag("timestamp").over(order)
     numbered = (
         rows.withColumn("opens", F.when(gap > timeout_ms, 1).otherwise(0))
-        .withColumn("session_num", F.sum("opens").over(order) + 1)
+        .withColumn("session_num", F.sum("opens").over(so_far) + 1)
         .withColumn("first_at", F.row_number().over(order))
     )
     per_item = numbered.groupBy("visitor_id", "session_num", "event", "item_id").agg(
@@ -105,7 +106,7 @@ def _heavy_sessions(rows: DataFrame, timeout_ms: int) -> DataFrame:
         .select("visitor_id", "slot", "session_num")
     )
     per_item = (
-        combined.join(slots, ["visitor_id", "slot"])
+        null_safe_join(combined, slots, ["visitor_id", "slot"])
         .groupBy("visitor_id", "session_num", "event", "item_id")
         .agg(
             F.sum("n").alias("n"),

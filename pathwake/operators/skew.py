@@ -1,4 +1,4 @@
-"""Finding keys that are too large for one task."""
+"""Keys that are too large for one task, and joins on keys that may be null."""
 
 from __future__ import annotations
 
@@ -34,6 +34,15 @@ def split_heavy(
     heavy = heavy_keys(df, key, rows)
     if heavy is None:
         return df, None
-    keys = F.broadcast(heavy)
-    # A null key equals nothing, so the anti join keeps it on the ordinary side.
-    return df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi")
+    keys = F.broadcast(heavy.withColumnRenamed(key, "_heavy"))
+    is_heavy = F.col(key).eqNullSafe(F.col("_heavy"))
+    return df.join(keys, is_heavy, "left_anti"), df.join(keys, is_heavy, "left_semi")
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join on equal keys where null equals null; key columns come from the left."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
+    match = F.lit(True)
+    for k in on:
+        match = match & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(renamed, match).drop(*[f"_r_{k}" for k in on])

@@ -338,8 +338,8 @@ query("bottleneck_stage_sensitive")(
 )
 
 SUMMARY = {
-    **{f"avg_{stage}_ms": 6 for stage in ("batch", *batches.STAGES, "poll", "commit")},
-    "avg_idle_ms": 4, "avg_fill": 6, "headroom": 6, "events_per_sec": 9,
+    **{f"avg_{stage}_ms": 9 for stage in ("batch", *batches.STAGES, "poll", "commit")},
+    "avg_idle_ms": 4, "avg_fill": 9, "headroom": 6, "events_per_sec": 9,
 }
 query("batch_summary")(
     lambda spark, d: rounded(batches.batch_summary(views.batch_metrics(spark, d), DAY_MS), SUMMARY)

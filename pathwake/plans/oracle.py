@@ -298,11 +298,11 @@ _LAGS = ("lag_samples", "part_lags", "total_lags")
 _STEPS = ("ramp", "trends", "dominant", "steps")
 
 _SUMMARY = """count(*) AS batches, CAST(sum(batch_size) AS BIGINT) AS events,
-    round(avg(stage_ms), 6) AS avg_batch_ms, round(avg(pg_events_ms), 6) AS avg_pg_events_ms,
-    round(avg(valkey_ms), 6) AS avg_valkey_ms, round(avg(pg_sessions_ms), 6)
+    round(avg(stage_ms), 9) AS avg_batch_ms, round(avg(pg_events_ms), 9) AS avg_pg_events_ms,
+    round(avg(valkey_ms), 9) AS avg_valkey_ms, round(avg(pg_sessions_ms), 9)
         AS avg_pg_sessions_ms,
-    round(avg(poll_ms), 6) AS avg_poll_ms, round(avg(commit_ms), 6) AS avg_commit_ms,
-    round(avg(idle_ms), 4) AS avg_idle_ms, round(avg(fill), 6) AS avg_fill,
+    round(avg(poll_ms), 9) AS avg_poll_ms, round(avg(commit_ms), 9) AS avg_commit_ms,
+    round(avg(idle_ms), 4) AS avg_idle_ms, round(avg(fill), 9) AS avg_fill,
     round(CASE WHEN avg(poll_ms) + avg(commit_ms) + avg(idle_ms) > 0
         THEN avg(idle_ms) / (avg(poll_ms) + avg(commit_ms) + avg(idle_ms)) * 100 ELSE 0 END, 6)
         AS headroom"""

@@ -113,3 +113,13 @@ def test_cleared_state_keeps_numbering(spark):
 def test_active_sessions(spark):
     state = S.latest_state(S.sessionize(frame(spark, views(1, visitor=1) + views(90, visitor=2))))
     assert S.active_sessions(state, F.lit(100), 50).first()[0] == 1
+
+
+def test_unknown_visitor_may_be_the_largest(spark):
+    rows = spark.range(300).selectExpr(
+        "id AS timestamp", "IF(id < 200, NULL, id % 3) AS visitor_id", "'view' AS event",
+        "id % 4 AS item_id", "id AS seq",
+    )
+    got = S.sessionize(rows, 1000, heavy_rows=100)
+    want = S.sessionize(rows, 1000)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
