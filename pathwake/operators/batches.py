@@ -18,7 +18,7 @@ PERIOD_MS = 30_000
 
 READER = ["group_id", "instance"]
 # Short blocks keep the running sums small, and with them their rounding errors.
-SLOPE_BLOCK_ROWS = 2_000
+SLOPE_BLOCK_ROWS = 500
 
 
 def _stage_ms() -> Column:

@@ -42,7 +42,7 @@ def sessionize(
     """Sessions of all visitors in the state layout (times in ms).
 
     ``seq`` (arrival order) breaks ties of equal timestamps when the column exists.
-    Duplicate events count, as they do in the reference data model, unless ``dedupe``.
+    Duplicate events count unless ``dedupe``.
 
     Visitors of ordinary size take one shuffle on ``visitor_id``. Visitors above
     ``heavy_rows`` events are combined map-side first, see :func:`_heavy_sessions`.

@@ -520,9 +520,9 @@ def oracle_sql() -> dict[str, str]:
     sql["idle_gap"] = f"""{_with(*_LOOP_VIEWS)}
         SELECT group_id, instance, batch_id, round(idle_ms, 4) AS idle_ms FROM gaps"""
     sql["stage_trend_rolling"] = f"""{_with(*_LOOP_VIEWS, 'slopes')}
-        SELECT group_id, instance, batch_id, round(pg_events_slope, 6) + 0 AS pg_events_slope,
-            round(valkey_slope, 6) + 0 AS valkey_slope,
-            round(pg_sessions_slope, 6) + 0 AS pg_sessions_slope FROM slopes"""
+        SELECT group_id, instance, batch_id, round(pg_events_slope, 7) + 0 AS pg_events_slope,
+            round(valkey_slope, 7) + 0 AS valkey_slope,
+            round(pg_sessions_slope, 7) + 0 AS pg_sessions_slope FROM slopes"""
     for name, limit in (("stage_trends", 0.5), ("stage_trends_sensitive", 0.02)):
         sql[name] = f"""{_with(*_LOOP_VIEWS, 'tail_slopes')}
             SELECT group_id, instance, stage, round(slope, 6) AS slope, first_ms, last_ms

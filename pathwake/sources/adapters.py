@@ -1,6 +1,6 @@
 """Views over generic tables in the shapes the operators take.
 
-The clickstream view maps a typed event log onto visitor events; the monitoring views map
+The event views map a typed log onto visitor events; the monitoring views map
 the same log, orders and line items onto lag, batch, offset and benchmark records.
 """
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,6 +47,24 @@ def stream_source(
     )
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, number: int | None = None) -> Iterator[None]:
+    """Number of state partitions of queries first started inside (default: twice the cores).
+
+    A stream keeps the number it started with. Each partition costs a state store and a
+    commit per micro-batch, so the setting for batch shuffles is often too high; it is never
+    raised here.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    wanted = number or 2 * spark.sparkContext.defaultParallelism
+    spark.conf.set(key, str(min(int(before), wanted)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_available(writer, checkpoint: str) -> StreamingQuery:
     """Process everything available now, then stop. Later calls go on from the checkpoint.
 
