@@ -51,11 +51,11 @@ def _radix_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return found[0], found[1]
 
 
-def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(column: pa.Array, limit: int = SLICE_BYTES, most_rows: int = 1 << 30) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, row after the last, bytes, bounds)`` of consecutive slices of the texts.
 
     Text ``i`` of a slice is ``bytes[bounds[i]:bounds[i + 1]]``; a null reads as empty. A slice
-    has at most ``limit`` bytes unless one text alone is longer.
+    has at most ``limit`` bytes unless one text alone is longer, and at most ``most_rows`` texts.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -71,7 +71,7 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
     at = 0
     while at < rows:
         to = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1
-        to = min(max(to, at + 1), rows)
+        to = min(max(to, at + 1), at + most_rows, rows)
         yield at, to, data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at]
         at = to
 

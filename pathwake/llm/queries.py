@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pathwake.llm import decontaminate, mixing, near_dedup
+from pathwake.llm import decontaminate, language, mixing, near_dedup, token_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,17 +20,27 @@ def op2_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, directory, "documents"))
 
 
+def op4_token_store(spark: SparkSession, directory: str) -> DataFrame:
+    return token_store.stored_tokens(_table(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_mixing(spark: SparkSession, directory: str) -> DataFrame:
     return mixing.mixture(_table(spark, directory, "documents"))
 
 
+def op6_language(spark: SparkSession, directory: str) -> DataFrame:
+    return language.identify(_table(spark, directory, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, directory, "documents"), _table(spark, directory, "benchmark"))
 
 
 QUERIES: dict[str, Query] = {
     "op2_near_dedup": op2_near_dedup,
+    "op4_token_store": op4_token_store,
     "op5_mixing": op5_mixing,
+    "op6_language": op6_language,
     "op8_decontamination": op8_decontamination,
 }
 
