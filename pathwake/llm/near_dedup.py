@@ -13,7 +13,8 @@ Two rules keep the inverted lists short without losing links:
   otherwise different documents share is frequent, and does not pair them.
 * *Stars before pairs.* First every member of a list is compared with the list's first member.
   Components of these links are then known, and only members of different components are
-  still paired. A large family of near copies costs as many pairs as it has members.
+  still paired: directly in short lists, and in long ones with the exact bounds that full sets
+  allow. A large family of near copies costs about as many pairs as it has members.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pathwake.runtime import stored
 SKETCH = 32
 SHARED = 14  # of 32 retained values: what a pair at the threshold shares at least
 PERCENT = 85
+SHORT_LIST = 16  # members of a list that are paired directly; longer lists use full sets
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,12 +139,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     firsts = keys.groupBy("value").agg(F.min(F.struct("class", "n_shingles")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     stars = (
         keys.join(firsts, "value").filter("first.class < class")
-        .select(F.col("first.class").alias("a"), F.col("class").alias("b"), "n_shingles", F.col("first.n_shingles").alias("n_first"))
-        .filter(_sizes_fit("n_shingles", "n_first")).select("a", "b").distinct()
+        .filter(_sizes_fit("n_shingles", "first.n_shingles"))
+        .select(F.col("first.class").alias("a"), F.col("class").alias("b")).distinct()
     )
     star_links = _links(stars, classes, texts, "star-links")
-    labels = components(star_links)
-    links = star_links.union(_links(_open_pairs(keys, labels), classes, texts, "cross-links"))
+    labels = components(star_links).withColumnRenamed("node", "class")
+    open_keys = keys.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    lists = stored(
+        open_keys.groupBy("value").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .filter("low < high").select("value", "n"),
+        "lists",
+    )
+    links = _long_list_links(open_keys, lists, star_links, classes, texts)
+    links = links.union(_links(_short_list_pairs(open_keys, lists), classes, texts, "short-links"))
     final = components(links).withColumnRenamed("node", "class")
 
     named = classes.join(final, "class", "left").withColumn("label", F.coalesce("label", "class"))
@@ -178,28 +187,71 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.select("class", "text", "high", "low").mapInArrow(of_class, "class bigint, text string")
 
 
-def _open_pairs(keys: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a list whose members are still in different components and fit in size."""
-    labelled = (
-        keys.join(labels.withColumnRenamed("node", "class"), "class", "left")
-        .withColumn("label", F.coalesce("label", "class"))
-        # Sizes of a linked pair lie in the same or in neighbouring steps of this scale, which
-        # is a little wider than the threshold so that rounding cannot part them.
-        .withColumn("step", F.floor(F.log("n_shingles") / float(np.log(100 / (PERCENT - 1)))))
+def _short_list_pairs(open_keys: DataFrame, lists: DataFrame) -> DataFrame:
+    """Pairs of members in different components, from lists of at most ``SHORT_LIST`` members."""
+    mixed = open_keys.join(lists.filter(F.col("n") <= SHORT_LIST).select("value"), "value")
+    x, y = mixed.alias("x"), mixed.alias("y")
+    fits = (F.col("x.class") < F.col("y.class")) & (F.col("x.label") != F.col("y.label")) & _sizes_fit("x.n_shingles", "y.n_shingles")
+    return x.join(y, (F.col("x.value") == F.col("y.value")) & fits).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+
+
+def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i, values in shingle_sets(batch.column(1)):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(i, 1), pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))],
+                names=["class", "members"],
+            )
+
+
+def _long_list_links(open_keys: DataFrame, lists: DataFrame, star_links: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links among the members of long lists, found with the members' full sets.
+
+    On full sets the bounds are exact: at most 15 % of a set may lack a partner, so a set with
+    more shingles that no other member has is linked with none, and of the others only the
+    rarest shingles, as many as may be missing and one more, enter a second inverted list.
+    Lists start with the member that lacks the fewest; the rest of its component is not paired.
+    """
+    long = open_keys.join(lists.filter(F.col("n") > SHORT_LIST).select("value"), "value").select("class", "n_shingles").distinct()
+    sets = stored(
+        long.join(texts.dropDuplicates(["class"]), "class").select("class", "text").mapInArrow(_set_batches, "class bigint, members array<bigint>"),
+        "sets",
     )
-    steps = labelled.withColumn("step", F.explode(F.array("step", F.col("step") + 1)))
-    mixed = (
-        steps.groupBy("value", "step").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .filter("low < high").select("value", "step")
+    values = sets.select("class", F.explode("members").alias("value"))
+    holders = values.groupBy("value").agg(F.count("*").alias("holders")).filter("holders > 1")
+    ranked = values.join(holders, "value").groupBy("class").agg(F.array_sort(F.collect_list(F.struct("holders", "value"))).alias("rare"))
+    lacking = F.col("n_shingles") - F.size("rare")
+    spare = F.expr(f"{100 - PERCENT} * n_shingles div 100") - lacking
+    keys = stored(
+        ranked.join(long, "class").withColumn("lacking", lacking).withColumn("spare", spare).filter("spare >= 0")
+        .withColumn("rare", F.slice(F.transform("rare", lambda r: r["value"]), 1, F.greatest(F.lit(0), F.col("spare").cast("int") + 1)))
+        .select("class", "n_shingles", "lacking", "rare", F.posexplode("rare").alias("at", "value")),
+        "exact-keys",
     )
-    mixed = steps.join(mixed, ["value", "step"])
-    x, y = mixed.alias("x"), mixed.alias("y")
-    return (
-        x.join(y, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("value", "step")])
-        .filter((F.col("x.class") < F.col("y.class")) & (F.col("x.label") != F.col("y.label")))
-        .filter(_sizes_fit("x.n_shingles", "y.n_shingles"))
-        .select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+    firsts = keys.groupBy("value").agg(F.min(F.struct("lacking", "class", "n_shingles")).alias("first"))
+    stars = (
+        keys.join(firsts, "value").filter((F.col("first.class") != F.col("class")) & _enough(
+            "n_shingles", "first.n_shingles", F.least(F.col("n_shingles") - F.col("lacking"), F.col("first.n_shingles") - F.col("first.lacking"))))
+        .select(F.least("first.class", "class").alias("a"), F.greatest("first.class", "class").alias("b")).distinct()
     )
+    links = star_links.union(_links(stars, classes, texts, "exact-stars"))
+    labels = components(links).withColumnRenamed("node", "class")
+    labelled = keys.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    main = firsts.select("value", F.col("first.class").alias("class")).join(labels, "class", "left").select("value", F.coalesce("label", "class").alias("main"))
+    minor = labelled.join(main, "value").filter("label != main")
+    x, y = minor.alias("x"), labelled.alias("y")
+    # The first common value, with enough values left after it on both sides.
+    left = F.least(*[F.col(f"{s}.n_shingles") - F.col(f"{s}.lacking") - F.col(f"{s}.at") for s in "xy"])
+    before = [F.slice(f"{s}.rare", F.lit(1), F.col(f"{s}.at")) for s in "xy"]
+    fits = (F.col("x.label") != F.col("y.label")) & _enough("x.n_shingles", "y.n_shingles", left) & ~F.arrays_overlap(*before)
+    pairs = x.join(y, (F.col("x.value") == F.col("y.value")) & fits)
+    pairs = pairs.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+    return links.union(_links(pairs, classes, texts, "exact-links"))
+
+
+def _enough(x: str, y: str, shared: Column) -> Column:
+    """Two sets of these sizes with at most ``shared`` common members can reach the threshold."""
+    return (100 + PERCENT) * shared >= PERCENT * (F.col(x) + F.col(y))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
