@@ -96,6 +96,14 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64) * _ODD)
 
 
+def sequence_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each range of word hashes, of any length."""
+    powers, inverse = _radix_powers(len(words) + 1)
+    sums = np.zeros(len(words) + 1, dtype=U64)
+    np.cumsum(mix(words + _ODD) * powers[:len(words)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64) * _ODD)
+
+
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hashes of ``size`` consecutive word hashes; element ``i`` starts at word ``i``."""
     n = len(words) - size + 1

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pathwake.llm import decontaminate, language, mixing, near_dedup, token_store
+from pathwake.llm import decontaminate, language, mixing, near_dedup, private_data, quality_rules
+from pathwake.llm import repeated_passages, secret_scan, token_counts, token_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,10 +17,18 @@ def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, directory: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, directory, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op2_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, directory, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
+    return quality_rules.quality(_table(spark, directory, "documents"), _table(spark, directory, "labels"))
+
+
 def op4_token_store(spark: SparkSession, directory: str) -> DataFrame:
     return token_store.stored_tokens(_table(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -32,16 +41,33 @@ def op6_language(spark: SparkSession, directory: str) -> DataFrame:
     return language.identify(_table(spark, directory, "documents"))
 
 
+def op7_private_data(spark: SparkSession, directory: str) -> DataFrame:
+    return private_data.private_data(_table(spark, directory, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, directory, "documents"), _table(spark, directory, "benchmark"))
 
 
+def op9_secrets(spark: SparkSession, directory: str) -> DataFrame:
+    return secret_scan.secrets(_table(spark, directory, "documents"))
+
+
+def op10_repeated_passages(spark: SparkSession, directory: str) -> DataFrame:
+    return repeated_passages.remove_repeated(_table(spark, directory, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_token_counts": op1_token_counts,
     "op2_near_dedup": op2_near_dedup,
+    "op3_quality_rules": op3_quality_rules,
     "op4_token_store": op4_token_store,
     "op5_mixing": op5_mixing,
     "op6_language": op6_language,
+    "op7_private_data": op7_private_data,
     "op8_decontamination": op8_decontamination,
+    "op9_secrets": op9_secrets,
+    "op10_repeated_passages": op10_repeated_passages,
 }
 
 ORACLE_SQL: dict[str, str] = {
