@@ -171,8 +171,8 @@ def batch_indicators(
 ) -> DataFrame:
     """Indicators per reader and period: the samples :func:`backpressure_report` takes.
 
-    ``ts`` is the end of the period in seconds; ``rebalances`` (instance, ts) are counted
-    over the 300 seconds up to it.
+    ``ts`` is the end of the period in seconds; ``rebalances`` (group_id, instance, ts) are
+    counted over the 300 seconds up to it.
     """
     period = F.floor(F.col("end_ms") / period_ms).cast("bigint")
     rows = over_recent_rows(
@@ -195,7 +195,7 @@ def batch_indicators(
 
 
 def _count_recent(periods: DataFrame, rebalances: DataFrame, period_ms: int) -> DataFrame:
-    """Add the rebalances of an instance in the 300 s up to each period's end.
+    """Add the rebalances of a reader in the 300 s up to each period's end.
 
     Each rebalance is sent to the period ends it counts for (their number depends on the
     period length only), which makes the range condition an equality.
@@ -206,11 +206,11 @@ def _count_recent(periods: DataFrame, rebalances: DataFrame, period_ms: int) ->
     reach = F.floor((F.col("ts") + seconds) / step) * step >= first
     counted = (
         rebalances.filter(reach)
-        .select("instance", F.explode(ends.cast("array<bigint>")).alias("ts"))
-        .groupBy("instance", "ts")
+        .select(*READER, F.explode(ends.cast("array<bigint>")).alias("ts"))
+        .groupBy(*READER, "ts")
         .agg(F.count("*").alias("rebalance_count"))
     )
-    joined = periods.join(counted, ["instance", "ts"], "left")
+    joined = periods.join(counted, [*READER, "ts"], "left")
     return joined.withColumn("rebalance_count", F.coalesce("rebalance_count", F.lit(0)))
 
 

@@ -51,9 +51,12 @@ def bench_summary(runs: DataFrame) -> DataFrame:
 def ramp_steps(samples: DataFrame) -> DataFrame:
     """Per run and step: average throughput (floor), last lag, dominant trend, samples.
 
-    The dominant trend is the most frequent one, the first seen where several are.
+    The dominant trend is the most frequent one, the first seen where several are; a missing
+    trend reads as unknown. Rows lacking step, rate, throughput or lag are left out.
     """
-    by_trend = samples.groupBy("run_id", "step", "lag_trend").agg(
+    needed = ["step", "rate_target", "consumer_throughput", "total_lag"]
+    read = samples.dropna(subset=needed).fillna("unknown", ["lag_trend"])
+    by_trend = read.groupBy("run_id", "step", "lag_trend").agg(
         F.count("*").alias("n"),
         F.sum("consumer_throughput").alias("throughput"),
         F.min("seq").alias("first_seq"),
@@ -64,10 +67,13 @@ def ramp_steps(samples: DataFrame) -> DataFrame:
     votes = F.struct(F.col("n"), -F.col("first_seq"))
     return by_trend.groupBy("run_id", "step").agg(
         F.min_by("rate_target", "first_seq").alias("rate_target"),
-        F.floor(F.sum("throughput") / F.sum("n")).cast("bigint").alias("avg_throughput"),
+        F.expr("sum(throughput) - pmod(sum(throughput), sum(n))").alias("whole"),
         F.max_by("total_lag", "last_seq").alias("final_lag"),
         F.max_by("lag_trend", votes).alias("dominant_trend"),
         F.sum("n").alias("samples"),
+    ).select(
+        "run_id", "step", "rate_target", F.expr("whole div samples").alias("avg_throughput"),
+        "final_lag", "dominant_trend", "samples",
     )
 
 
@@ -145,7 +151,8 @@ def sample_throughput(
     A failed poll (-1) repeats the known count. The first sample of a step only sets its
     baseline and is left out.
     """
-    gained = F.floor((F.col("known") - F.col("before")) / seconds).cast("bigint")
+    # Below zero the result is cut to zero, so the direction of rounding does not matter there.
+    gained = F.expr(f"cast(known - before as bigint) div {seconds}")
     rows = _with_known_counts(polls, block)
     return rows.filter(F.col("step_before") == F.col("step")).select(
         "run_id", "step", "seq", F.greatest(F.lit(0), gained).alias("throughput")

@@ -64,11 +64,11 @@ def dedup_events(events: DataFrame) -> DataFrame:
     A grouped minimum rather than a ranked window: copies collapse map-side, so a key with
     very many copies costs no more than any other.
     """
-    if "seq" not in events.columns:
-        return events.groupBy(*EVENT_KEY).agg(F.min("transaction_id").alias("transaction_id"))
-    return events.groupBy(*EVENT_KEY).agg(
-        F.min_by("transaction_id", "seq").alias("transaction_id"), F.min("seq").alias("seq")
-    )
+    rest = [c for c in events.columns if c not in EVENT_KEY]
+    # Without an arrival order the least of the other columns stands for the first row.
+    first = F.min_by(F.struct(*rest), "seq") if "seq" in rest else F.min(F.struct(*rest))
+    kept = events.groupBy(*EVENT_KEY).agg(first.alias("first")) if rest else events.distinct()
+    return kept.select(*EVENT_KEY, *[F.col(f"first.{c}").alias(c) for c in rest])
 
 
 def insert_new_events(batch: DataFrame, table: DataFrame) -> DataFrame:

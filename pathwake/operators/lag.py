@@ -73,8 +73,13 @@ def topic_message_counts(end: DataFrame) -> DataFrame:
     return end.filter(visible).groupBy("topic").agg(F.sum("end_offset").alias("messages"))
 
 
-def recent(samples: DataFrame, seconds: int, now: int | None = None) -> DataFrame:
-    """Samples of the last ``seconds`` before ``now`` (the newest sample if not given)."""
+def recent(samples: DataFrame, seconds: int | None, now: int | None = None) -> DataFrame:
+    """Samples of the last ``seconds`` before ``now`` (the newest sample if not given).
+
+    ``None`` seconds take all samples.
+    """
+    if seconds is None:
+        return samples
     return samples.filter(F.col("ts") >= now_or_latest(samples, "ts", now) - F.lit(seconds))
 
 
@@ -89,7 +94,7 @@ def _partition_lags(samples: DataFrame) -> DataFrame:
 
 
 def lag_history(
-    samples: DataFrame, seconds: int = HISTORY_SECONDS, now: int | None = None
+    samples: DataFrame, seconds: int | None = HISTORY_SECONDS, now: int | None = None
 ) -> DataFrame:
     """Lag per second over all instances: map of partitions in order, and the total."""
     entries = F.array_sort(F.collect_list(F.struct("part", "lag")))
@@ -107,12 +112,17 @@ def seen_partitions(samples: DataFrame) -> DataFrame:
 
 def lag_history_pivot(
     samples: DataFrame,
-    partitions: list[int],
-    seconds: int = HISTORY_SECONDS,
+    partitions: list[int] | None = None,
+    seconds: int | None = HISTORY_SECONDS,
     now: int | None = None,
 ) -> DataFrame:
-    """The history with one column ``p<n>`` per partition; a missing report is null."""
+    """The history with one column ``p<n>`` per partition; a missing report is null.
+
+    Columns are the partitions seen in the samples, unless a list of them is given.
+    """
     lags = _partition_lags(recent(samples, seconds, now))
+    if partitions is None:
+        partitions = sorted(r.part for r in seen_partitions(samples).collect())
     columns = [F.max(F.when(F.col("part") == p, F.col("lag"))).alias(f"p{p}") for p in partitions]
     return (
         lags.groupBy("group_id", "ts")
@@ -129,7 +139,7 @@ def total_lags(samples: DataFrame) -> DataFrame:
 
 
 def lag_trend(
-    samples: DataFrame, seconds: int = TREND_SECONDS, now: int | None = None
+    samples: DataFrame, seconds: int | None = TREND_SECONDS, now: int | None = None
 ) -> DataFrame:
     """Trend class of each group's total lag by linear regression over the window."""
     totals = total_lags(recent(samples, seconds, now))
@@ -244,7 +254,10 @@ def current_rate(samples: DataFrame, seconds: int = 60, now: int | None = None)
 def rebalance_stability(
     rebalances: DataFrame, seconds: int = 300, limit: int = 2, now: int | None = None
 ) -> DataFrame:
-    """Rebalances of the last ``seconds`` per instance; more than ``limit`` is unstable."""
+    """Rebalances of the last ``seconds`` per reader; more than ``limit`` is unstable.
+
+    A reader is an instance of a group: groups number their instances independently.
+    """
     inside = F.col("ts") >= now_or_latest(rebalances, "ts", now) - F.lit(seconds)
-    counted = rebalances.groupBy("instance").agg(count_where(inside).alias("rebalance_count"))
+    counted = rebalances.groupBy("group_id", "instance").agg(count_where(inside).alias("rebalance_count"))
     return counted.withColumn("unstable", F.col("rebalance_count") > limit)

@@ -10,14 +10,18 @@ from pathwake.operators.ordering import with_position
 ORDER = ["timestamp", "seq"]
 
 
+def _require_positive(what: str, value: float) -> None:
+    if not value > 0:
+        raise ValueError(f"a {what} above zero is needed: {value!r}")
+
+
 def replay_schedule(events: DataFrame, speed: float = 1.0) -> DataFrame:
     """Seconds after the first event at which each is released at ``speed`` times real time.
 
     In time order the waits between events add up to the distance from the first one, so no
     row needs its neighbour.
     """
-    if speed <= 0:
-        raise ValueError(f"speed must be positive, got {speed}")
+    _require_positive("replay speed", speed)
     first = events.select(F.min("timestamp").alias("first")).scalar()
     offset = (F.col("timestamp") - first) / F.lit(1000.0 * speed)
     return events.withColumn("release_sec", offset)
@@ -35,8 +39,7 @@ def rate_limited_schedule(
     The source is always ready, so the bucket never refills beyond what is taken: event ``i``
     (from 0, in time order) goes out once ``i + 1 - burst`` tokens have come in.
     """
-    if rate <= 0:
-        raise ValueError(f"rate must be positive, got {rate}")
+    _require_positive("release rate", rate)
     burst = default_burst(rate) if burst is None else burst
     positioned = with_position(events, [], ORDER)
     wait = (F.col("position") + F.lit(1 - burst)) / F.lit(float(rate))

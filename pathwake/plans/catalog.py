@@ -23,8 +23,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 HOUR, DAY = 3600, 86_400
 HALF_DAY_MS, DAY_MS = 43_200_000, 86_400_000
 MIDDLE_MS = 1_705_363_200_000  # 2024-01-16, splits the event log into two parts
-ALL_SECONDS = 365 * DAY  # a window wider than the data
-PARTS = [0, 1, 2]
 QUERIES: dict[str, Query] = {}
 
 
@@ -248,16 +246,16 @@ query("topic_message_counts")(
     lambda spark, d: lag.topic_message_counts(views.end_offsets(spark, d))
 )
 query("lag_history")(
-    lambda spark, d: flat(lag.lag_history(views.lag_samples(spark, d), ALL_SECONDS))
+    lambda spark, d: flat(lag.lag_history(views.lag_samples(spark, d), None))
 )
 query("lag_history_window")(
     lambda spark, d: flat(lag.lag_history(views.lag_samples(spark, d), DAY))
 )
 query("lag_history_pivot")(
-    lambda spark, d: lag.lag_history_pivot(views.lag_samples(spark, d), PARTS, ALL_SECONDS)
+    lambda spark, d: lag.lag_history_pivot(views.lag_samples(spark, d), None, None)
 )
 query("seen_partitions")(lambda spark, d: lag.seen_partitions(views.lag_samples(spark, d)))
-query("lag_trend")(lambda spark, d: lag.lag_trend(views.lag_samples(spark, d), ALL_SECONDS))
+query("lag_trend")(lambda spark, d: lag.lag_trend(views.lag_samples(spark, d), None))
 query("lag_trend_window")(
     lambda spark, d: lag.lag_trend(views.lag_samples(spark, d), 2 * HOUR)
 )
@@ -405,7 +403,7 @@ def _status(spark, d):
 # Each query publishes the events in time order in several portions and runs the stream after
 # each, so the later runs go on from the checkpoint of the earlier ones.
 
-PORTIONS = [("1970-01-01", "2024-01-16 12:00:00"), ("2024-01-16 12:00:00", "2999-01-01")]
+SPLIT = "2024-01-16 12:00:00"  # everything before, then the rest
 
 
 def _in_portions(spark, source: DataFrame, start: Callable[[DataFrame, str], object]) -> str:
@@ -415,8 +413,8 @@ def _in_portions(spark, source: DataFrame, start: Callable[[DataFrame, str], obj
     timed = published.withColumn(
         "timestamp", F.timestamp_millis(F.get_json_object("value", "$.timestamp").cast("bigint"))
     ).withColumnRenamed("seq", "offset")
-    for low, high in PORTIONS:
-        portion = timed.filter((F.col("timestamp") >= low) & (F.col("timestamp") < high))
+    before = F.coalesce(F.col("timestamp") < SPLIT, F.lit(False))
+    for portion in (timed.filter(before), timed.filter(~before)):
         sinks.publish(portion, path=f"{base}/messages")
         writer = start(streams.stream_source(spark, f"{base}/messages"), f"{base}/out")
         with streams.state_partitions(spark):

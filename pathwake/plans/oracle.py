@@ -80,12 +80,13 @@ VIEWS = {
                       ELSE 'pg_sessions' END AS bottleneck FROM slopes)
             GROUP BY group_id, instance, end_ms // 86400000) p
         LEFT JOIN (
-            SELECT e.user_id % 3 AS instance, t.ts, count(*) AS n
+            SELECT CASE e.user_id % 2 WHEN 0 THEN 'view' ELSE 'purchase' END AS group_id,
+                e.user_id % 3 AS instance, t.ts, count(*) AS n
             FROM events e JOIN (SELECT DISTINCT (end_ms // 86400000 + 1) * 86400 AS ts
                                 FROM batch_metrics) t
               ON epoch_us(e.ts) // 1000000 BETWEEN t.ts - 300 AND t.ts
-            WHERE e.event_type = 'error' GROUP BY 1, 2) r
-          ON r.instance = p.instance AND r.ts = p.ts""",
+            WHERE e.event_type = 'error' GROUP BY 1, 2, 3) r
+          ON r.group_id = p.group_id AND r.instance = p.instance AND r.ts = p.ts""",
     "named_indicators": """
         SELECT i.* EXCLUDE (any_bottleneck, last_batch), CASE
                    WHEN greatest(pg_events_slope, valkey_slope, pg_sessions_slope) <= 0.5
@@ -506,12 +507,13 @@ def oracle_sql() -> dict[str, str]:
             count(*) AS samples_count
         FROM samples s LEFT JOIN recent r ON r.source = s.source GROUP BY s.source"""
     sql["rebalance_stability"] = f"""WITH marks AS (
-            SELECT user_id % 3 AS instance, {MS} // 1000 AS ts FROM events
+            SELECT CASE user_id % 2 WHEN 0 THEN 'view' ELSE 'purchase' END AS group_id,
+                user_id % 3 AS instance, {MS} // 1000 AS ts FROM events
             WHERE event_type = 'error')
-        SELECT instance, count(*) FILTER (WHERE recent) AS rebalance_count,
+        SELECT group_id, instance, count(*) FILTER (WHERE recent) AS rebalance_count,
             count(*) FILTER (WHERE recent) > 2 AS unstable
         FROM (SELECT *, ts >= (SELECT max(ts) FROM marks) - 3600 AS recent FROM marks)
-        GROUP BY instance"""
+        GROUP BY group_id, instance"""
 
     sql["poll_proximity"] = f"""{_with('batch_metrics', 'loops')}
         SELECT group_id, instance, batch_id, round(loop_ms / 1000.0, 9) AS proximity,

@@ -1,11 +1,14 @@
 """Stored tables: events, sessions, search documents and result files.
 
-Every streaming write is keyed by its batch id and replaces what an earlier attempt at the
-same batch wrote, so a replayed batch changes nothing.
+Every streaming write is keyed by its stream and batch id and replaces what an earlier attempt
+at the same batch of the same stream wrote, so a replayed batch changes nothing, and a stream
+on a new checkpoint, or a second stream into the same table, never overwrites rows of another.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,11 +31,12 @@ TABLES = {
 }
 _KEPT = ["visitor_id", "session_start"]  # an upsert never changes these
 _REPLACED = [f.name for f in SESSION_TABLE if f.name not in ("session_id", *_KEPT)]
-_BATCH = T.StructField("batch_id", T.LongType())
+_BATCH = [T.StructField("stream_id", T.StringType()), T.StructField("batch_id", T.LongType())]
 _DATE = T.StructField("event_date", T.DateType())
-STORED_EVENT = T.StructType([*EVENT, _DATE, _BATCH])
-STORED_SESSION = T.StructType([*SESSION_TABLE, _BATCH])
-MAX_LISTED_DATES = 1000
+_LOGGED = T.StructField("logged_ms", T.LongType())
+STORED_EVENT = T.StructType([*EVENT, _DATE, *_BATCH])
+STORED_SESSION = T.StructType([*SESSION_TABLE, _LOGGED, *_BATCH])
+DEFAULT_STREAM = "main"
 
 
 def merge_sessions(versions: DataFrame, version: str = "version") -> DataFrame:
@@ -69,11 +73,14 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, STORED_EVENT)
 
 
-def insert_events(batch: DataFrame, batch_id: int, path: str) -> None:
+def insert_events(
+    batch: DataFrame, batch_id: int, path: str, stream_id: str = DEFAULT_STREAM
+) -> None:
     """Append the batch's events whose key is not stored yet.
 
-    The key includes the time, so an equal key can only be stored under the same date: the
-    lookup reads the dates of the batch and nothing else.
+    New rows are compared with all but those this batch of this stream wrote before. The key
+    includes the time, so an equal key can only be stored under the same date: the lookup
+    joins the distinct dates of the batch, which prunes the folders that are read.
     """
     spark = batch.sparkSession
     if "seq" not in batch.columns:
@@ -81,64 +88,85 @@ def insert_events(batch: DataFrame, batch_id: int, path: str) -> None:
     date = F.to_date(event_time(F.col("timestamp")))
     batch = batch.select(*EVENT.names, "seq").persist()
     try:
-        dates = batch.select(date.alias("d")).distinct().limit(MAX_LISTED_DATES + 1).collect()
-        stored = read_events(spark, path).filter(F.col("batch_id") != batch_id)
-        if len(dates) <= MAX_LISTED_DATES:
-            stored = stored.filter(F.col("event_date").isin([r.d for r in dates]))
+        dates = batch.select(date.alias("event_date")).distinct()
+        own = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
+        stored = read_events(spark, path).filter(~own).join(dates, "event_date", "left_semi")
         fresh = insert_new_events(batch, stored).select(
-            *EVENT.names, date.alias("event_date"), F.lit(batch_id).cast("bigint").alias("batch_id")
+            *EVENT.names, date.alias("event_date"), F.lit(stream_id).alias("stream_id"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
         )
         (
             fresh.hint("rebalance", "event_date")  # few files a date; a large date is split
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("event_date", "batch_id")
+            .partitionBy("event_date", "stream_id", "batch_id")
             .parquet(path)
         )
     finally:
         batch.unpersist()
 
 
-def log_sessions(sessions: DataFrame, batch_id: int, path: str) -> None:
+def log_sessions(
+    sessions: DataFrame, batch_id: int, path: str, stream_id: str = DEFAULT_STREAM
+) -> None:
     """Add a batch of changed sessions (table layout); cost depends on the batch alone."""
-    sessions.select(*SESSION_TABLE.names).write.mode("overwrite").parquet(
-        f"{path}/batch_id={batch_id}"
+    logged = F.lit(time.time_ns() // 1_000_000).cast("bigint").alias("logged_ms")
+    sessions.select(*SESSION_TABLE.names, logged).write.mode("overwrite").parquet(
+        _batch_path(path, stream_id, batch_id)
     )
 
 
+def _batch_path(path: str, stream_id: str, batch_id: int) -> str:
+    return f"{path}/stream_id={stream_id}/batch_id={batch_id}"
+
+
+def _session_versions(spark: SparkSession, path: str) -> DataFrame:
+    """The log with its order: by time of writing, and by batch within one moment."""
+    log = _read(spark, path, STORED_SESSION)
+    return log.withColumn("version", F.struct("logged_ms", "batch_id", "stream_id"))
+
+
 def read_sessions(spark: SparkSession, path: str) -> DataFrame:
     """The session table: all logged batches merged, later ones over earlier ones."""
-    return merge_sessions(_read(spark, path, STORED_SESSION), "batch_id")
+    return merge_sessions(_session_versions(spark, path))
 
 
 def compact_sessions(spark: SparkSession, path: str, target: str) -> None:
-    """Write the merged log to ``target`` as its newest batch, to be logged to from then on.
+    """Write the merged log to ``target``, to be logged to from then on.
 
     Run between stream runs; the log itself stays as it is.
     """
-    log = _read(spark, path, STORED_SESSION)
-    newest = log.agg(F.max("batch_id")).first()[0]
-    if newest is not None:
-        log_sessions(merge_sessions(log, "batch_id"), newest, target)
+    log_sessions(merge_sessions(_session_versions(spark, path)), 0, target, "compacted")
 
 
-def index_batch(batch: DataFrame, batch_id: int, path: str) -> None:
+def index_batch(
+    batch: DataFrame, batch_id: int, path: str, stream_id: str = DEFAULT_STREAM
+) -> None:
     """Add a batch of search documents as JSON."""
-    index_documents(batch).write.mode("overwrite").option("ignoreNullFields", False).json(
-        f"{path}/batch_id={batch_id}"
-    )
+    logged = F.lit(time.time_ns() // 1_000_000).cast("bigint").alias("logged_ms")
+    index_documents(batch).select("*", logged).write.mode("overwrite").option(
+        "ignoreNullFields", False
+    ).json(_batch_path(path, stream_id, batch_id))
+
+
+def quarantine_batch(
+    rejected: DataFrame, batch_id: int, path: str, stream_id: str = DEFAULT_STREAM
+) -> None:
+    """Set rows aside that no table takes, with their reasons."""
+    rejected.write.mode("overwrite").parquet(_batch_path(path, stream_id, batch_id))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Search documents, the last written per id."""
     layout = "doc_id string, event_time string, timestamp bigint, visitor_id bigint, " \
-             "event string, item_id bigint, transaction_id bigint, batch_id bigint"
+             "event string, item_id bigint, transaction_id bigint, logged_ms bigint, " \
+             "stream_id string, batch_id bigint"
     same = ["doc_id", "event_time", "timestamp", "visitor_id", "event", "item_id"]
     return (
         spark.read.schema(layout)
         .json(path)
         .groupBy(*same)
-        .agg(F.max_by("transaction_id", "batch_id").alias("transaction_id"))
+        .agg(F.max_by("transaction_id", F.struct("logged_ms", "batch_id")).alias("transaction_id"))
     )
 
 

@@ -113,9 +113,10 @@ def batch_metrics(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def rebalances(spark: SparkSession, directory: str) -> DataFrame:
-    """Error rows stand for rebalances of the group named after the user's instance."""
+    """Error rows stand for rebalances; two groups share them by user."""
     return table(spark, directory, "events").filter("event_type = 'error'").selectExpr(
-        "user_id % 3 AS instance", f"{MS} div 1000 AS ts"
+        "CASE user_id % 2 WHEN 0 THEN 'view' ELSE 'purchase' END AS group_id",
+        "user_id % 3 AS instance", f"{MS} div 1000 AS ts",
     )
 
 

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pathwake.schemas import RAMP_RESULT, RAW_CSV, RUN_RESULT
 
 
+def _named(spark: SparkSession, layout: T.StructType) -> DataFrameReader:
+    """Reader that refuses files whose header differs from the layout, instead of shifting columns."""
+    return spark.read.schema(layout).option("header", True).option("enforceSchema", False)
+
+
 def scan_events_csv(spark: SparkSession, path: str) -> DataFrame:
     """Event CSV with a header, columns as in the file."""
-    return spark.read.schema(RAW_CSV).option("header", True).csv(path)
+    return _named(spark, RAW_CSV).csv(path)
 
 
 def scan_results_csv(
@@ -25,7 +30,7 @@ def scan_results_csv(
     header = spark.read.option("header", True).csv(path).columns
     known = {f.name: f for f in (layout or RUN_RESULT)}
     found = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in header])
-    rows = spark.read.schema(found).option("header", True).csv(path)
+    rows = _named(spark, found).csv(path)
     moment = F.col("timestamp").try_cast("timestamp")
     return rows.withColumn("ts_ms", F.unix_millis(moment)).filter(F.col("ts_ms").isNotNull())
 

@@ -12,8 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pathwake.runtime import configure
 from pathwake.schemas import MESSAGE
 
-DEFAULT_BATCH = 1000
-
 
 def stream_source(
     spark: SparkSession,
@@ -25,7 +23,7 @@ def stream_source(
     """Messages from the earliest on, with key, value, topic, partition, offset, timestamp.
 
     Without ``path`` the topic is read from the broker in ``options``. ``max_per_batch``
-    bounds a micro-batch: messages of a topic, or files of a folder. Where a query has
+    bounds a micro-batch: messages of a topic, or files of a folder; None takes what is there. Where a query has
     stopped before, its checkpoint decides where it goes on.
     """
     configure(spark)
@@ -38,10 +36,11 @@ def stream_source(
         spark.readStream.format("kafka")
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .option("maxOffsetsPerTrigger", max_per_batch or DEFAULT_BATCH)
         .option("includeHeaders", True)
         .options(**(options or {}))
     )
+    if max_per_batch is not None:
+        reader = reader.option("maxOffsetsPerTrigger", max_per_batch)
     return reader.load().withColumns(
         {"key": F.col("key").cast("string"), "value": F.col("value").cast("string")}
     )

@@ -1,19 +1,27 @@
-"""The three stored tables fed from one message stream, each with its own progress."""
+"""The stored tables fed from one message stream, each with its own progress."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pathwake.operators.events import split_valid_rejected
 from pathwake.operators.messages import decode_messages, readable
 from pathwake.operators.sessions import to_table
 from pathwake.schemas import SESSION_TIMEOUT_MS
-from pathwake.sinks.tables import index_batch, insert_events, log_sessions
+from pathwake.sinks.tables import (
+    DEFAULT_STREAM,
+    index_batch,
+    insert_events,
+    log_sessions,
+    quarantine_batch,
+)
+from pathwake.streaming.source import run_available
 from pathwake.streaming.sessions import stream_sessions
 
-BatchSink = Callable[[DataFrame, int], None]
+BatchSink = Callable[..., None]
 
 
 def decoded_events(messages: DataFrame) -> DataFrame:
@@ -23,22 +31,80 @@ def decoded_events(messages: DataFrame) -> DataFrame:
     return valid
 
 
+def session_events(messages: DataFrame) -> DataFrame:
+    """Readable events of any type; only the visitor and the time are needed for sessions."""
+    rows = readable(decode_messages(messages.withColumnRenamed("offset", "seq")))
+    return rows.filter("visitor_id is not null and timestamp is not null")
+
+
+def rejected_messages(messages: DataFrame) -> DataFrame:
+    """Messages the event table does not take: key, value, partition, offset and reasons."""
+    decoded = decode_messages(messages.withColumn("seq", F.col("offset")).withColumn("raw", F.col("value")))
+    place = [c for c in ("key", "partition", "offset") if c in decoded.columns]
+    corrupt = decoded.filter("corrupt is not null").select(
+        *place, "raw", F.array(F.lit("unreadable")).alias("reasons")
+    )
+    _, rejected = split_valid_rejected(readable(decoded))
+    return corrupt.unionByName(rejected.select(*place, "raw", F.col("reasons").cast("array<string>").alias("reasons")))
+
+
 def to_sink(stream: DataFrame, sink: BatchSink):
     """Writer that hands every micro-batch to ``sink(batch, batch_id)``."""
     return stream.writeStream.outputMode("update").foreachBatch(sink)
 
 
-def events_writer(messages: DataFrame, path: str):
+# A stream's id keeps its rows apart from those of other streams into the same table. It has
+# to stay the same as long as the checkpoint does, and be another for another checkpoint.
+def events_writer(messages: DataFrame, path: str, stream_id: str = DEFAULT_STREAM):
     """Insert new events (first per key)."""
-    return to_sink(decoded_events(messages), lambda b, i: insert_events(b, i, path))
+    return to_sink(decoded_events(messages), lambda b, i: insert_events(b, i, path, stream_id))
+
 
+def sessions_writer(
+    messages: DataFrame,
+    path: str,
+    timeout_ms: int = SESSION_TIMEOUT_MS,
+    ttl_ms: int | None = None,
+    stream_id: str = DEFAULT_STREAM,
+):
+    """Log changed sessions; duplicates and unknown types count, as they do in batch.
 
-def sessions_writer(messages: DataFrame, path: str, timeout_ms: int = SESSION_TIMEOUT_MS):
-    """Log changed sessions; duplicates count, as they do in batch."""
-    sessions = stream_sessions(decoded_events(messages), timeout_ms)
-    return to_sink(sessions, lambda b, i: log_sessions(to_table(b), i, path))
+    With ``ttl_ms`` the state of visitors that have been quiet so long is cleared.
+    """
+    sessions = stream_sessions(session_events(messages), timeout_ms, ttl_ms)
+    return to_sink(sessions, lambda b, i: log_sessions(to_table(b), i, path, stream_id))
 
 
-def documents_writer(messages: DataFrame, path: str):
+def documents_writer(messages: DataFrame, path: str, stream_id: str = DEFAULT_STREAM):
     """Index events as documents, the last per id."""
-    return to_sink(decoded_events(messages), lambda b, i: index_batch(b, i, path))
+    return to_sink(decoded_events(messages), lambda b, i: index_batch(b, i, path, stream_id))
+
+
+def quarantine_writer(messages: DataFrame, path: str, stream_id: str = DEFAULT_STREAM):
+    """Set aside what the event table does not take, with reasons."""
+    return to_sink(
+        rejected_messages(messages), lambda b, i: quarantine_batch(b, i, path, stream_id)
+    )
+
+
+def session_pipeline(
+    messages: DataFrame,
+    folder: str,
+    checkpoints: str,
+    timeout_ms: int = SESSION_TIMEOUT_MS,
+    ttl_ms: int | None = None,
+    stream_id: str = DEFAULT_STREAM,
+    run: Callable = run_available,
+) -> list:
+    """Events, sessions, documents and quarantine from one topic, each with its own progress.
+
+    Tables lie in subfolders of ``folder`` with these names, progress in those of
+    ``checkpoints``. Returns what ``run`` gave for each.
+    """
+    writers = {
+        "events": events_writer(messages, f"{folder}/events", stream_id),
+        "sessions": sessions_writer(messages, f"{folder}/sessions", timeout_ms, ttl_ms, stream_id),
+        "documents": documents_writer(messages, f"{folder}/documents", stream_id),
+        "quarantine": quarantine_writer(messages, f"{folder}/quarantine", stream_id),
+    }
+    return [run(writer, f"{checkpoints}/{name}") for name, writer in writers.items()]

@@ -124,9 +124,30 @@ def test_current_rate(spark):
 
 
 def test_rebalances_older_than_the_window(spark):
-    df = spark.createDataFrame([(0, t) for t in (1000, 1290, 1295, 1301)], "instance long, ts long")
-    got = L.rebalance_stability(df).first()
-    assert (got.rebalance_count, got.unstable) == (3, True)
+    df = spark.createDataFrame(
+        [("g", 0, t) for t in (1000, 1290, 1295, 1301)] + [("h", 0, 1300)],
+        "group_id string, instance long, ts long")
+    got = {r.group_id: (r.rebalance_count, r.unstable) for r in L.rebalance_stability(df).collect()}
+    assert got == {"g": (3, True), "h": (1, False)}
+
+
+def test_pivot_has_a_column_for_every_partition(spark):
+    old, new = 1_000_000, 1_000_000 + 3 * 365 * 86_400
+    rows = [("g", 0, old, 7, 5, 0), ("g", 0, new, 0, 9, 1)]
+    samples = spark.createDataFrame(
+        rows, "group_id string, instance long, ts long, part long, lag long, seq long")
+    got = [tuple(r) for r in L.lag_history_pivot(samples, None, None).collect()]
+    assert got == [("g", old, None, 5, 5), ("g", new, 9, None, 9)]
+
+
+def test_unreadable_ramp_rows_are_left_out(spark):
+    rows = [("r", 1, 10, 4, 1, "stable", 0), ("r", 1, 10, 9007199254740993, 2, None, 1),
+            ("r", None, 10, 4, 3, "growing", 2), ("r", 1, 10, None, 4, "growing", 3)]
+    steps = N.ramp_steps(spark.createDataFrame(
+        rows, "run_id string, step long, rate_target long, consumer_throughput long, "
+              "total_lag long, lag_trend string, seq long")).collect()
+    assert [(s.step, s.avg_throughput, s.final_lag, s.samples) for s in steps] == [
+        (1, (9007199254740993 + 4) // 2, 2, 2)]
 
 
 BATCH = ("group_id string, instance long, batch_id long, end_ms long, batch_size long, "
@@ -193,7 +214,9 @@ def test_proximity(spark):
 def test_indicators_of_a_period(spark):
     rows = [("g", 0, 0, 1000, 80, 100, 1.0, 1.0, 1.0, 10.0, 7.0),
             ("g", 0, 1, 1030, 60, 100, 1.0, 1.0, 1.0, 10.0, 7.0)]
-    marks = spark.createDataFrame([(0, 29), (0, 30), (0, -271), (1, 29)], "instance long, ts long")
+    marks = spark.createDataFrame(
+        [("g", 0, 29), ("g", 0, 30), ("g", 0, -271), ("g", 1, 29), ("other", 0, 29)],
+        "group_id string, instance long, ts long")
     got = B.batch_indicators(spark.createDataFrame(rows, BATCH), marks).first()
     assert got.fill_ratio == pytest.approx(0.7) and got.idle_ms == pytest.approx(5.0)
     assert (got.ts, got.rebalance_count, got.bottleneck_stage) == (30, 2, None)

@@ -51,6 +51,20 @@ def test_inserted_events_are_idempotent(spark, tmp_path):
     assert got == [(1, None), (86_400_001, 5)]
 
 
+def test_a_second_stream_keeps_stored_rows(spark, tmp_path):
+    events, log, docs = (f"{tmp_path}/{n}" for n in ("events", "log", "docs"))
+    for number, stream in enumerate(("first", "second")):
+        batch = spark.createDataFrame([(number, 1, "view", 1, number, 0), (9, 1, "view", 1, number, 1)], EVENT)
+        for _ in range(2):  # each batch is replayed once
+            K.insert_events(batch, 0, events, stream)
+            K.log_sessions(session(spark, f"{number}_1", 1, 1, [1]), 0, log, stream)
+            K.index_batch(batch, 0, docs, stream)
+    got = sorted((r.timestamp, r.transaction_id) for r in K.read_events(spark, events).collect())
+    assert got == [(0, 0), (1, 1), (9, 0)]
+    assert {r.session_id for r in K.read_sessions(spark, log).collect()} == {"0_1", "1_1"}
+    assert K.read_documents(spark, docs).count() == 3
+
+
 def test_documents_last_batch_wins(spark, tmp_path):
     path = f"{tmp_path}/docs"
     for batch_id, tid in ((0, 5), (1, 6)):

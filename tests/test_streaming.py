@@ -1,5 +1,7 @@
 """Streams against the batch operators and the plain fold."""
 
+import datetime
+import json
 import random
 
 import pytest
@@ -93,7 +95,7 @@ def test_tables_after_restart_equal_batch(spark, tmp_path):
             writer = make(streams.stream_source(spark, f"{base}/in"), f"{base}/{name}")
             streams.run_available(writer, f"{base}/checkpoint_{name}")
     known = timed.filter(F.col("event").isin("view", "addtocart", "transaction"))
-    want = S.to_table(S.sessionize(known, 1000))
+    want = S.to_table(S.sessionize(timed, 1000))  # unknown types count in sessions
     got = K.read_sessions(spark, f"{base}/sessions")
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
     keys = known.select("visitor_id", "timestamp", "event", "item_id").distinct().count()
@@ -140,3 +142,21 @@ def test_offsets_of_a_broker_source(spark):
     df = spark.createDataFrame(rows, progress.OFFSETS)
     lags = lag.live_lag(df.drop("end_offset"), df.select("topic", "part", "end_offset"))
     assert {r.part: r.lag for r in lags.collect()} == {0: 4, 1: None}
+
+
+def test_pipeline_sets_aside_what_it_does_not_store(spark, tmp_path):
+    def message(i, value):
+        return ("1", value, "events", 0, i, datetime.datetime(2024, 1, 1))
+
+    event = {"timestamp": 1000, "visitor_id": 1, "event": "view", "item_id": 5, "transaction_id": None}
+    values = [json.dumps(event), json.dumps(event), json.dumps(event | {"event": "signup"}), "oops", json.dumps(event | {"timestamp": 2000})]
+    rows = [message(i, v) for i, v in enumerate(values)]
+    layout = "key string, value string, topic string, partition int, offset long, timestamp timestamp"
+    spark.createDataFrame(rows, layout).write.parquet(f"{tmp_path}/in")
+    messages = streams.stream_source(spark, f"{tmp_path}/in")
+    with streams.state_partitions(spark, 2):
+        stream_tables.session_pipeline(messages, f"{tmp_path}/out", f"{tmp_path}/progress")
+    assert K.read_events(spark, f"{tmp_path}/out/events").count() == 2
+    assert [r.event_count for r in K.read_sessions(spark, f"{tmp_path}/out/sessions").collect()] == [4]
+    aside = spark.read.parquet(f"{tmp_path}/out/quarantine").orderBy("offset").collect()
+    assert [r.offset for r in aside] == [2, 3] and aside[1].reasons == ["unreadable"]
