@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pathwake.llm.hot import hot_keys, spread_join
 from pathwake.runtime import stored
 
 
@@ -13,8 +14,9 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round takes the least label among a node's neighbours and then the label of that label,
     so the rounds grow with the logarithm of a component's width. Labels are written to the
-    shared folder after each round; only the number of changed labels reaches the driver. An
-    empty table of links has no nodes. Loops and repeated links change nothing.
+    shared folder after each round; only the number of changed labels reaches the driver. Nodes
+    with very many links, and labels of very many nodes, are dealt to several tasks. An empty
+    table of links has no nodes. Loops and repeated links change nothing.
     """
     both = stored(
         links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -24,15 +26,17 @@ def components(links: DataFrame) -> DataFrame:
     labels = stored(
         both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels"
     )
+    hubs = hot_keys(both.groupBy("b").agg(F.count("*").alias("n")), ["b"])
     while True:
         near = (
-            both.join(labels.withColumnRenamed("node", "b"), "b")
+            spread_join(both, labels.withColumnRenamed("node", "b"), ["b"], hubs, F.col("a"))
             .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         )
-        hooked = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("low"))
+        hooked = stored(labels.join(near, "node").select("node", "label", F.least("label", "near").alias("low")), "hooked")
+        large = hot_keys(hooked.groupBy("low").agg(F.count("*").alias("n")), ["low"])
         above = labels.select(F.col("node").alias("low"), F.col("label").alias("next"))
         moved = stored(
-            hooked.join(above, "low").select("node", F.least("low", "next").alias("label"), (F.col("low") < F.col("label")).alias("moved")),
+            spread_join(hooked, above, ["low"], large, F.col("node")).select("node", F.least("low", "next").alias("label"), (F.col("low") < F.col("label")).alias("moved")),
             "labels",
         )
         labels = moved.select("node", "label")

@@ -15,6 +15,9 @@ Two rules keep the inverted lists short without losing links:
   Components of these links are then known, and only members of different components are
   still paired: directly in short lists, and in long ones with the exact bounds that full sets
   allow. A large family of near copies costs about as many pairs as it has members.
+
+Values, list heads, classes and components that hold much of the table are dealt to many tasks
+(:mod:`pathwake.llm.hot`), so no list or family has to be met whole by one.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 
 from pathwake.llm.arrays import U64, mix, shingle_sets
 from pathwake.llm.components import components
+from pathwake.llm.hot import hot_keys, spread_join
 from pathwake.runtime import stored
 
 SKETCH = 32
@@ -82,13 +86,15 @@ def _sizes_fit(x: str, y: str) -> Column:
 
 def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, label: str) -> DataFrame:
     """Pairs ``(a, b)`` that pass the estimate and then the exact comparison."""
-    for side in "ab":
-        pairs = pairs.join(
-            classes.select(F.col("class").alias(side), F.col("sketch").alias(f"s{side}")), side
-        )
+    pairs = stored(pairs, f"{label}-pairs")
+    hot = {side: hot_keys(pairs.groupBy(side).agg(F.count("*").alias("n")), [side]) for side in "ab"}
+    for side, other in ("ab", "ba"):
+        sketches = classes.select(F.col("class").alias(side), F.col("sketch").alias(f"s{side}"))
+        pairs = spread_join(pairs, sketches, [side], hot[side], F.col(other))
     likely = pairs.filter(_similar(F.col("sa"), F.col("sb"))).select("a", "b")
-    for side in "ab":
-        likely = likely.join(texts.select(F.col("class").alias(side), F.col("text").alias(f"t{side}")), side)
+    for side, other in ("ab", "ba"):
+        of_side = texts.select(F.col("class").alias(side), F.col("text").alias(f"t{side}"))
+        likely = spread_join(likely, of_side, [side], hot[side], F.col(other))
     checked = likely.select("a", "b", "ta", "tb").mapInArrow(_linked_batches, "a bigint, b bigint")
     return stored(checked, label)
 
@@ -113,15 +119,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     classes = stored(
         sketches.filter("n_shingles > 0").groupBy("high", "low")
-        .agg(F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+        .agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
         .withColumn("class", F.monotonically_increasing_id()),
         "classes",
     )
     values = classes.select("class", F.size("sketch").alias("size"), "n_shingles", F.explode("sketch").alias("value"))
-    shared = values.groupBy("value").agg(F.count("*").alias("holders")).filter("holders > 1")
+    shared = stored(values.groupBy("value").agg(F.count("*").alias("holders")).filter("holders > 1"), "shared")
     # A value of one class comes before all shared ones, so the shared ones suffice here.
     ranked = (
-        values.join(shared, "value").groupBy("class")
+        spread_join(values, shared, ["value"], hot_keys(shared, ["value"], "holders"), F.col("class")).groupBy("class")
         .agg(F.first("size").alias("size"), F.first("n_shingles").alias("n_shingles"),
              F.array_sort(F.collect_list(F.struct("holders", "value"))).alias("rare"))
     )
@@ -136,9 +142,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = keys.select("class").distinct().join(classes.select("class", "least_id", "high", "low"), "class")
     texts = stored(_texts_of(docs, wanted), "texts")
 
-    firsts = keys.groupBy("value").agg(F.min(F.struct("class", "n_shingles")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    firsts = stored(
+        keys.groupBy("value").agg(F.min(F.struct("class", "n_shingles")).alias("first"), F.count("*").alias("n")).filter("n > 1"),
+        "firsts",
+    )
+    frequent = hot_keys(firsts, ["value"])
     stars = (
-        keys.join(firsts, "value").filter("first.class < class")
+        spread_join(keys, firsts.drop("n"), ["value"], frequent, F.col("class")).filter("first.class < class")
         .filter(_sizes_fit("n_shingles", "first.n_shingles"))
         .select(F.col("first.class").alias("a"), F.col("class").alias("b")).distinct()
     )
@@ -150,19 +160,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .filter("low < high").select("value", "n"),
         "lists",
     )
-    links = _long_list_links(open_keys, lists, star_links, classes, texts)
-    links = links.union(_links(_short_list_pairs(open_keys, lists), classes, texts, "short-links"))
+    members = stored(spread_join(open_keys, lists, ["value"], frequent, F.col("class")), "members")
+    links = _long_list_links(members.filter(F.col("n") > SHORT_LIST), star_links, classes, texts)
+    links = links.union(_links(_short_list_pairs(members.filter(F.col("n") <= SHORT_LIST)), classes, texts, "short-links"))
     final = components(links).withColumnRenamed("node", "class")
 
     named = classes.join(final, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    least = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    of_class = named.join(least, "label").select("high", "low", "component_id")
-    alone = F.col("n_shingles") == 0
-    return (
-        sketches.join(of_class, ["high", "low"], "left")
-        .select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    )
+    least = stored(named.groupBy("label").agg(F.min("least_id").alias("component_id"), F.count("*").alias("n")), "components")
+    of_class = spread_join(named.drop("n"), least.drop("n"), ["label"], hot_keys(least, ["label"]), F.col("class"))
+    copies = hot_keys(classes, ["high", "low"])
+    # Rows are read from files here, so a repeated task numbers them alike.
+    row = F.monotonically_increasing_id()
+    grouped = spread_join(sketches.filter("n_shingles > 0").withColumn("row", row), of_class.select("high", "low", "component_id"), ["high", "low"], copies, F.col("row"))
+    alone = sketches.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    columns = ["doc_id", "n_shingles", "component_id"]
+    return grouped.select(columns).union(alone.select(columns)).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -187,9 +199,8 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.select("class", "text", "high", "low").mapInArrow(of_class, "class bigint, text string")
 
 
-def _short_list_pairs(open_keys: DataFrame, lists: DataFrame) -> DataFrame:
+def _short_list_pairs(mixed: DataFrame) -> DataFrame:
     """Pairs of members in different components, from lists of at most ``SHORT_LIST`` members."""
-    mixed = open_keys.join(lists.filter(F.col("n") <= SHORT_LIST).select("value"), "value")
     x, y = mixed.alias("x"), mixed.alias("y")
     fits = (F.col("x.class") < F.col("y.class")) & (F.col("x.label") != F.col("y.label")) & _sizes_fit("x.n_shingles", "y.n_shingles")
     return x.join(y, (F.col("x.value") == F.col("y.value")) & fits).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
@@ -204,7 +215,7 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _long_list_links(open_keys: DataFrame, lists: DataFrame, star_links: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def _long_list_links(mixed: DataFrame, star_links: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links among the members of long lists, found with the members' full sets.
 
     On full sets the bounds are exact: at most 15 % of a set may lack a partner, so a set with
@@ -212,14 +223,15 @@ def _long_list_links(open_keys: DataFrame, lists: DataFrame, star_links: DataFra
     rarest shingles, as many as may be missing and one more, enter a second inverted list.
     Lists start with the member that lacks the fewest; the rest of its component is not paired.
     """
-    long = open_keys.join(lists.filter(F.col("n") > SHORT_LIST).select("value"), "value").select("class", "n_shingles").distinct()
+    long = mixed.select("class", "n_shingles").distinct()
     sets = stored(
         long.join(texts.dropDuplicates(["class"]), "class").select("class", "text").mapInArrow(_set_batches, "class bigint, members array<bigint>"),
         "sets",
     )
     values = sets.select("class", F.explode("members").alias("value"))
-    holders = values.groupBy("value").agg(F.count("*").alias("holders")).filter("holders > 1")
-    ranked = values.join(holders, "value").groupBy("class").agg(F.array_sort(F.collect_list(F.struct("holders", "value"))).alias("rare"))
+    holders = stored(values.groupBy("value").agg(F.count("*").alias("holders")).filter("holders > 1"), "holders")
+    joint = spread_join(values, holders, ["value"], hot_keys(holders, ["value"], "holders"), F.col("class"))
+    ranked = joint.groupBy("class").agg(F.array_sort(F.collect_list(F.struct("holders", "value"))).alias("rare"))
     lacking = F.col("n_shingles") - F.size("rare")
     spare = F.expr(f"{100 - PERCENT} * n_shingles div 100") - lacking
     keys = stored(
@@ -228,9 +240,10 @@ def _long_list_links(open_keys: DataFrame, lists: DataFrame, star_links: DataFra
         .select("class", "n_shingles", "lacking", "rare", F.posexplode("rare").alias("at", "value")),
         "exact-keys",
     )
-    firsts = keys.groupBy("value").agg(F.min(F.struct("lacking", "class", "n_shingles")).alias("first"))
+    firsts = stored(keys.groupBy("value").agg(F.min(F.struct("lacking", "class", "n_shingles")).alias("first"), F.count("*").alias("n")), "exact-firsts")
+    frequent = hot_keys(firsts, ["value"])
     stars = (
-        keys.join(firsts, "value").filter((F.col("first.class") != F.col("class")) & _enough(
+        spread_join(keys, firsts.drop("n"), ["value"], frequent, F.col("class")).filter((F.col("first.class") != F.col("class")) & _enough(
             "n_shingles", "first.n_shingles", F.least(F.col("n_shingles") - F.col("lacking"), F.col("first.n_shingles") - F.col("first.lacking"))))
         .select(F.least("first.class", "class").alias("a"), F.greatest("first.class", "class").alias("b")).distinct()
     )
@@ -238,7 +251,7 @@ def _long_list_links(open_keys: DataFrame, lists: DataFrame, star_links: DataFra
     labels = components(links).withColumnRenamed("node", "class")
     labelled = keys.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
     main = firsts.select("value", F.col("first.class").alias("class")).join(labels, "class", "left").select("value", F.coalesce("label", "class").alias("main"))
-    minor = labelled.join(main, "value").filter("label != main")
+    minor = spread_join(labelled, main, ["value"], frequent, F.col("class")).filter("label != main")
     x, y = minor.alias("x"), labelled.alias("y")
     # The first common value, with enough values left after it on both sides.
     left = F.least(*[F.col(f"{s}.n_shingles") - F.col(f"{s}.lacking") - F.col(f"{s}.at") for s in "xy"])
