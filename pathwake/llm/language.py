@@ -130,11 +130,16 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame) -> Model | None:
     """Learn from text and non-null lang of the documents that are not held out; None without any."""
     labels = docs.select("doc_id", "lang").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    # Of a language with many texts only small hashes are compared: about twice as many as are
+    # chosen, however large the table. One row a language, as in the model.
+    sizes = labels.groupBy("lang").agg(F.approx_count_distinct("doc_id", 0.02).alias("n"))
+    small = F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5 <= F.lit(2.0 * PER_LANGUAGE) / F.col("n")
+    labels = labels.join(F.broadcast(sizes), "lang").filter(small).select("doc_id", "lang").distinct()
     order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labels.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= PER_LANGUAGE).select("doc_id", "lang").distinct()
+    chosen = labels.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= PER_LANGUAGE).select("doc_id", "lang")
     texts = docs.select("doc_id", "lang", F.col("text").cast("string").alias("text")).filter("text is not null")
-    # At most PER_LANGUAGE ids a language.
-    sample = texts.join(F.broadcast(chosen), ["doc_id", "lang"])
+    # At most PER_LANGUAGE ids a language, and of repeated ones the least text.
+    sample = texts.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     grams = stored(
         sample.select(F.col("doc_id").cast("long"), "lang", "text").mapInArrow(_gram_batches, "doc_id bigint, lang string, grams array<int>, counts array<int>"),
         "grams",
