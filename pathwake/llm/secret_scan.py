@@ -31,7 +31,8 @@ _LEAST_VALUE, _LEAST_ACCESS = 8, 16
 
 DECODED = tuple(f"decoded_{k}" for k in KINDS)
 _SEPARATOR = re.compile("[:=]")
-_ESCAPED = re.compile(r"[^\s]*%[0-9A-Fa-f]{2}[^\s]*")
+_STRETCH = re.compile(r"\S+")
+_ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}")
 _PERCENT = re.compile(rb"%([0-9A-Fa-f]{2})")
 _UNICODE = re.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})|&#x([0-9a-fA-F]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
@@ -95,7 +96,9 @@ class Layer:
 def _url_layers(layer: Layer) -> Iterator[Layer]:
     if "%" not in layer.text:
         return
-    for found in _ESCAPED.finditer(layer.text):
+    for found in _STRETCH.finditer(layer.text):
+        if not _ESCAPE.search(found.group()):
+            continue
         raw = found.group().encode("utf-8", "replace")
         plain, width = _PERCENT.sub(lambda m: bytes([int(m.group(1), 16)]), raw), []
         # Bytes of the decoded stretch and where each comes from, counted in characters.
