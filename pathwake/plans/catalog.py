@@ -14,6 +14,7 @@ from pathwake.runtime import new_path, stored
 from pathwake.schemas import STATE_TTL_MS
 from pathwake.sinks import tables as sinks
 from pathwake.sources import adapters as views
+from pathwake.sources import files
 from pathwake.streaming import source as streams
 from pathwake.streaming.sessions import stream_dedup
 from pathwake.streaming import tables as stream_tables
@@ -68,6 +69,13 @@ query("normalize_events")(
 )
 
 
+@query("scan_events_csv")
+def _scan_events_csv(spark, d):
+    path = new_path(spark, "events-csv")
+    views.raw_csv(spark, d).drop("seq").write.option("header", True).csv(path)
+    return flat(events.normalize_events(files.scan_events_csv(spark, path)))
+
+
 @query("validate_events")
 def _validate(spark, d):
     checked = events.validate_events(views.raw_text(spark, d))
@@ -103,6 +111,11 @@ query("publish_events")(
 query("decode_messages")(
     lambda spark, d: messages.decode_messages(views.messages(spark, d)).drop("value")
 )
+query("decode_messages_with_errors")(
+    lambda spark, d: messages.decode_messages(
+        views.messages(spark, d).withColumn("error", F.expr("if(seq % 10 = 0, 'timed out', null)"))
+    ).drop("value")
+)
 query("unwrap_messages")(lambda spark, d: messages.unwrap_messages(views.messages(spark, d)))
 query("index_documents")(
     lambda spark, d: events.index_documents(views.clicks_with_copies(spark, d))
@@ -242,6 +255,18 @@ query("live_lag_total")(
     lambda spark, d: lag.total_live_lag(lag.live_lag(*_offsets(spark, d)))
 )
 query("partitions_at_end")(lambda spark, d: lag.partitions_at_end(*_offsets(spark, d)))
+query("partitions_at_end_revoked")(
+    lambda spark, d: lag.partitions_at_end(
+        *_offsets(spark, d), revoked=views.committed_offsets(spark, d).filter("part = 3")
+    )
+)
+query("topic_message_counts_internal")(
+    lambda spark, d: lag.topic_message_counts(
+        views.end_offsets(spark, d).withColumn(
+            "topic", F.expr("if(part = 1, '__' || topic, if(part = 2, topic || '__assignor', topic))")
+        )
+    )
+)
 query("topic_message_counts")(
     lambda spark, d: lag.topic_message_counts(views.end_offsets(spark, d))
 )

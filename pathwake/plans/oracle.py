@@ -316,6 +316,9 @@ def oracle_sql() -> dict[str, str]:
     sql["normalize_events"] = f"""{_with(*_CLICKS)}
         SELECT timestamp, visitor_id, event, item_id, nullif(transaction_id, 0) AS transaction_id,
                make_timestamp(timestamp * 1000) AS event_time, seq FROM clicks"""
+    sql["scan_events_csv"] = f"""{_with(*_CLICKS)}
+        SELECT timestamp, visitor_id, event, item_id, nullif(transaction_id, 0) AS transaction_id,
+               make_timestamp(timestamp * 1000) AS event_time FROM clicks"""
     sql["validate_events"] = f"""{_with('all_events', 'raw_text', 'checked')}
         SELECT seq, event, reasons, reasons = '' AS is_valid FROM checked"""
     sql["split_valid_rejected"] = f"""{_with('all_events', 'raw_text', 'checked')}
@@ -350,6 +353,8 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN direct THEN transaction_id END AS transaction_id,
             CASE WHEN seq % 23 = 0 THEN 'oops' END AS corrupt
         FROM (SELECT *, seq % 3 = 0 AND seq % 23 <> 0 AS direct FROM clicks)"""
+    sql["decode_messages_with_errors"] = f"""
+        SELECT * FROM ({sql["decode_messages"]}) WHERE seq % 10 <> 0"""
     sql["unwrap_messages"] = f"""{_with(*_CLICKS)}
         SELECT seq, timestamp, visitor_id, event,
                CASE WHEN seq % 5 <> 0 THEN item_id END AS item_id, transaction_id
@@ -467,6 +472,14 @@ def oracle_sql() -> dict[str, str]:
             count(*) FILTER (WHERE committed >= end_offset) AS finished,
             bool_and(committed >= end_offset) AS all_at_end
         FROM committed LEFT JOIN ends USING (topic, part) GROUP BY topic"""
+    sql["partitions_at_end_revoked"] = f"""{_with('committed', 'ends')}
+        SELECT topic, count(*) AS assigned,
+            count(*) FILTER (WHERE committed >= end_offset) AS finished,
+            bool_and(committed >= end_offset) AS all_at_end
+        FROM committed LEFT JOIN ends USING (topic, part) WHERE part <> 3 GROUP BY topic"""
+    sql["topic_message_counts_internal"] = f"""{_with('ends')}
+        SELECT topic, CAST(sum(end_offset) AS BIGINT) AS messages
+        FROM ends WHERE part NOT IN (1, 2) GROUP BY topic"""
     sql["topic_message_counts"] = f"""{_with('ends')}
         SELECT topic, CAST(sum(end_offset) AS BIGINT) AS messages FROM ends GROUP BY topic"""
     sql["lag_history"] = f"""{_with(*_LAGS)}
