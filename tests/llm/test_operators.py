@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pathwake.llm import (
-    components, decontaminate, language, mixing, near_dedup, private_data, quality_rules,
+    components, decontaminate, hot, language, mixing, near_dedup, private_data, quality_rules,
     queries, repeated_passages, secret_scan, token_counts, token_store,
 )
 from tests import compare
@@ -144,6 +145,13 @@ def test_near_duplicates(request, which):
     same([tuple(r) for r in near_dedup.near_duplicates(df).collect()], brute_components(pairs(df)))
 
 
+def test_near_duplicates_with_every_key_hot(spark, documents, monkeypatch):
+    docs = documents.filter("doc_id % 2 = 0 or doc_id < 80")
+    want = near_dedup.near_duplicates(docs).collect()
+    monkeypatch.setattr(hot, "LEAST_ROWS", 1)
+    same(near_dedup.near_duplicates(docs).collect(), want)
+
+
 def test_near_duplicates_of_a_large_family(spark):
     rng = random.Random(3)
     base = [f"w{i}" for i in range(120)]
@@ -299,6 +307,16 @@ def test_language_without_labels(spark, table):
     assert len(language.identify(table).collect()) == table.count()
 
 
+def test_language_learns_once_from_repeated_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("doc_id < 60")
+    one = docs.filter("doc_id = 1")
+    for _ in range(5):
+        one = one.union(one)
+    plain, repeated = language.train(docs), language.train(docs.union(one))
+    assert plain.languages == repeated.languages
+    assert (plain.idf == repeated.idf).all() and (plain.centroids == repeated.centroids).all()
+
+
 # -- personal data --------------------------------------------------------------------------
 
 
@@ -424,6 +442,12 @@ def test_secrets_of_random_text():
         assert sorted(secret_scan.finds(text)) == sorted(brute_secrets(text)), text
 
 
+def test_long_words_beside_a_percent_sign():
+    began = time.process_time()
+    assert secret_scan.scan_text("100% " + "a-.b" * 500_000)[:2] == ([], [])
+    assert time.process_time() - began < 20
+
+
 def test_decoded_layers():
     secret = "password=hunter2hunter2"
     coded = base64.b64encode(secret.encode()).decode()
