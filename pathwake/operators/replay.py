@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pathwake.operators.ordering import with_position
 
 ORDER = ["timestamp", "seq"]
+PAGE_ROWS = 1_000_000  # rows up to the end of a page that one task may keep sorted
 
 
 def _require_positive(what: str, value: float) -> None:
@@ -46,14 +47,19 @@ def rate_limited_schedule(
     return positioned.withColumn("release_sec", F.greatest(F.lit(0.0), wait))
 
 
-def slice_events(events: DataFrame, offset: int = 0, limit: int = 0) -> DataFrame:
+def slice_events(
+    events: DataFrame, offset: int = 0, limit: int = 0, page_rows: int = PAGE_ROWS
+) -> DataFrame:
     """Events from ``offset`` on in time order, at most ``limit`` of them (0: all).
 
-    A limit alone keeps the smallest rows of each task and merges those; an offset selects by
-    position, so that the skipped rows are not gathered anywhere.
+    A page that ends within the first ``page_rows`` rows keeps the smallest rows of each task
+    and merges those. A later one, and an offset alone, select by position, so that the skipped
+    rows are not gathered anywhere.
     """
-    if not offset:
-        return events.orderBy(*ORDER).limit(limit) if limit else events
+    if limit and offset + limit <= page_rows:
+        return events.orderBy(*ORDER).offset(offset).limit(limit)
+    if not offset and not limit:
+        return events
     positioned = with_position(events, [], ORDER)
     kept = F.col("position") >= offset
     if limit:

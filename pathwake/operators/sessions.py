@@ -47,11 +47,12 @@ def sessionize(
     Visitors of ordinary size take one shuffle on ``visitor_id``. Visitors above
     ``heavy_rows`` events are combined map-side first, see :func:`_heavy_sessions`.
     """
+    received = events  # an upper bound of what is left of a visitor without duplicates
     if dedupe:
         events = dedup_events(events)
     seq = F.col("seq") if "seq" in events.columns else F.lit(0).cast("bigint")
     rows = events.select("visitor_id", "timestamp", "event", "item_id", seq.alias("seq"))
-    ordinary, heavy = split_heavy(rows, "visitor_id", heavy_rows)
+    ordinary, heavy = split_heavy(rows, "visitor_id", heavy_rows, received)
     sessions = _ordinary_sessions(ordinary, timeout_ms)
     if heavy is not None:
         sessions = sessions.unionByName(_heavy_sessions(heavy, timeout_ms))

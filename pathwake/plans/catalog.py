@@ -509,6 +509,22 @@ def _stream_session_table(spark, d):
     return flat(sinks.read_sessions(spark, compacted))
 
 
+@query("compacted_events")
+def _compacted_events(spark, d):
+    out = _in_portions(spark, views.clicks_with_copies(spark, d), stream_tables.events_writer)
+    compacted = new_path(spark, "events")
+    sinks.compact_events(spark, out, compacted)
+    return sinks.read_events(spark, compacted).select("timestamp", "visitor_id", "event", "item_id")
+
+
+@query("compacted_documents")
+def _compacted_documents(spark, d):
+    out = _in_portions(spark, views.clicks_with_copies(spark, d), stream_tables.documents_writer)
+    compacted = new_path(spark, "documents")
+    sinks.compact_documents(spark, out, compacted)
+    return sinks.read_documents(spark, compacted)
+
+
 @query("stream_documents")
 def _stream_documents(spark, d):
     out = _in_portions(spark, views.clicks_with_copies(spark, d), stream_tables.documents_writer)

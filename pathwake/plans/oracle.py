@@ -643,5 +643,7 @@ def oracle_sql() -> dict[str, str]:
     sql["stream_sessions"] = sql["sessionize_copies"]
     sql["stream_session_table"] = sql["sessionize_copies"]
     sql["stream_documents"] = sql["index_documents"]
+    sql["compacted_documents"] = sql["index_documents"]
+    sql["compacted_events"] = sql["stream_events_table"]
     sql["stream_events_over_time"] = sql["events_over_time"]
     return sql

@@ -37,6 +37,7 @@ _LOGGED = T.StructField("logged_ms", T.LongType())
 STORED_EVENT = T.StructType([*EVENT, _DATE, *_BATCH])
 STORED_SESSION = T.StructType([*SESSION_TABLE, _LOGGED, *_BATCH])
 DEFAULT_STREAM = "main"
+COMPACTED = "compacted"  # the stream id of rows that were merged
 
 
 def merge_sessions(versions: DataFrame, version: str = "version") -> DataFrame:
@@ -106,6 +107,23 @@ def insert_events(
         batch.unpersist()
 
 
+def compact_events(spark: SparkSession, path: str, target: str) -> None:
+    """Write the event table to ``target`` with one folder per date, to be added to from then on.
+
+    Run between stream runs; the table itself stays as it is. A batch replayed into ``target``
+    finds its rows there and adds nothing.
+    """
+    rows = read_events(spark, path).withColumns(
+        {"stream_id": F.lit(COMPACTED), "batch_id": F.lit(0).cast("bigint")}
+    )
+    (
+        rows.hint("rebalance", "event_date")
+        .write.mode("overwrite")
+        .partitionBy("event_date", "stream_id", "batch_id")
+        .parquet(target)
+    )
+
+
 def log_sessions(
     sessions: DataFrame, batch_id: int, path: str, stream_id: str = DEFAULT_STREAM
 ) -> None:
@@ -136,17 +154,28 @@ def compact_sessions(spark: SparkSession, path: str, target: str) -> None:
 
     Run between stream runs; the log itself stays as it is.
     """
-    log_sessions(merge_sessions(_session_versions(spark, path)), 0, target, "compacted")
+    log_sessions(merge_sessions(_session_versions(spark, path)), 0, target, COMPACTED)
 
 
 def index_batch(
     batch: DataFrame, batch_id: int, path: str, stream_id: str = DEFAULT_STREAM
 ) -> None:
     """Add a batch of search documents as JSON."""
+    _write_documents(index_documents(batch), _batch_path(path, stream_id, batch_id))
+
+
+def _write_documents(documents: DataFrame, path: str) -> None:
     logged = F.lit(time.time_ns() // 1_000_000).cast("bigint").alias("logged_ms")
-    index_documents(batch).select("*", logged).write.mode("overwrite").option(
-        "ignoreNullFields", False
-    ).json(_batch_path(path, stream_id, batch_id))
+    rows = documents.select("*", logged).write.mode("overwrite")
+    rows.option("ignoreNullFields", False).json(path)
+
+
+def compact_documents(spark: SparkSession, path: str, target: str) -> None:
+    """Write the last version of each document to ``target``, to be added to from then on.
+
+    Run between stream runs; the log itself stays as it is.
+    """
+    _write_documents(read_documents(spark, path), _batch_path(target, COMPACTED, 0))
 
 
 def quarantine_batch(
@@ -162,11 +191,12 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
              "event string, item_id bigint, transaction_id bigint, logged_ms bigint, " \
              "stream_id string, batch_id bigint"
     same = ["doc_id", "event_time", "timestamp", "visitor_id", "event", "item_id"]
+    version = F.struct("logged_ms", "batch_id", "stream_id")
     return (
         spark.read.schema(layout)
         .json(path)
         .groupBy(*same)
-        .agg(F.max_by("transaction_id", F.struct("logged_ms", "batch_id")).alias("transaction_id"))
+        .agg(F.max_by("transaction_id", version).alias("transaction_id"))
     )
 
 

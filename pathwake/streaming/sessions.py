@@ -2,7 +2,7 @@
 
 Micro-batches are combined per task before they are shuffled: events of a visitor within one
 slot of ``timeout + 1`` ms belong to one session, so they fold into one row per item. What a
-visitor sends over is then bounded by slots and items instead of events.
+task sends over for a visitor is then bounded by slots and items instead of events.
 """
 
 from __future__ import annotations
@@ -27,6 +27,10 @@ COMBINED = (
     "item_id array<bigint>, event array<string>, n array<bigint>, last_ts array<bigint>"
 )
 _LISTS = ["slot", "first_ts", "first_seq", "item_id", "event", "n", "last_ts"]
+_KEYS = ["visitor_id", "slot", "event", "item_id"]
+_PARTS = [*_KEYS, "n", "first_ts", "last_ts", "first_seq"]
+MERGE_ROWS = 50_000  # rows gathered before they are combined anew
+HELD_ROWS = 200_000  # combined rows a task holds before it sends them
 _NAMES = STATE.names
 _OUTPUT = Row(*_NAMES)
 
@@ -35,27 +39,43 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per Arrow batch, one row per visitor with its events combined by slot, type and item.
+    """One row per visitor with its events of the task combined by slot, type and item.
 
-    ``first_seq`` belongs to the event of ``first_ts``.
+    ``first_seq`` belongs to the event of ``first_ts``. Results are gathered over the batches of
+    the task; only one that holds ``HELD_ROWS`` combined rows sends them and starts anew, so a
+    visitor may then come again.
     """
-    keys = ["visitor_id", "slot", "event", "item_id"]
+    parts, rows, limit = [], 0, MERGE_ROWS
     for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        ordered = rows.sort_by([("timestamp", "ascending"), ("seq", "ascending")])
-        combined = ordered.group_by(keys, use_threads=False).aggregate(
-            [
-                ("timestamp", "count"),
-                ("timestamp", "first"),
-                ("timestamp", "max"),
-                ("seq", "first"),
-            ]
-        )
-        named = combined.rename_columns([*keys, "n", "first_ts", "last_ts", "first_seq"])
-        lists = named.group_by("visitor_id", use_threads=False).aggregate(
-            [(name, "list") for name in _LISTS]
-        )
-        yield from lists.rename_columns(["visitor_id", *_LISTS]).to_batches()
+        read = pa.Table.from_batches([batch])
+        one = pa.repeat(pa.scalar(1, pa.int64()), read.num_rows)
+        ts, seq = read["timestamp"], read["seq"]
+        single = pa.Table.from_arrays([*[read[k] for k in _KEYS], one, ts, ts, seq], _PARTS)
+        parts.append(_combined(single))
+        rows += parts[-1].num_rows
+        if rows >= limit:
+            parts = [_combined(pa.concat_tables(parts))]
+            rows = parts[0].num_rows
+            if rows >= HELD_ROWS:
+                yield from _by_visitor(parts[0])
+                parts, rows = [], 0
+            limit = max(MERGE_ROWS, 2 * rows)
+    if parts:
+        yield from _by_visitor(_combined(pa.concat_tables(parts)))
+
+
+def _combined(parts: pa.Table) -> pa.Table:
+    ordered = parts.sort_by([("first_ts", "ascending"), ("first_seq", "ascending")])
+    return ordered.group_by(_KEYS, use_threads=False).aggregate(
+        [("n", "sum"), ("first_ts", "first"), ("last_ts", "max"), ("first_seq", "first")]
+    ).rename_columns(_PARTS)
+
+
+def _by_visitor(parts: pa.Table) -> list[pa.RecordBatch]:
+    lists = parts.group_by("visitor_id", use_threads=False).aggregate(
+        [(name, "list") for name in _LISTS]
+    )
+    return lists.rename_columns(["visitor_id", *_LISTS]).to_batches()
 
 
 class SessionFold(StatefulProcessor):

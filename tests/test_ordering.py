@@ -70,6 +70,9 @@ def test_slices(spark):
     assert times(replay.slice_events(events, 0, 3)) == [1, 2, 3]
     assert times(replay.slice_events(events, 10)) == list(range(11, 51))
     assert times(replay.slice_events(events, 10, 5)) == list(range(11, 16))
+    assert times(replay.slice_events(events, 10, 5, page_rows=14)) == list(range(11, 16))
+    assert times(replay.slice_events(events, 0, 3, page_rows=2)) == [1, 2, 3]
+    assert "TakeOrderedAndProject" in replay.slice_events(events, 10, 5)._jdf.queryExecution().toString()
 
 
 def test_replay_speed(spark):

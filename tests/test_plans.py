@@ -3,7 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry_points
-from pathwake.operators import batches, sessions, traffic
+from pathwake.operators import batches, sessions, skew, traffic
+from pathwake.runtime import stored
 from pathwake.sources import adapters
 
 DIRECTORY = "/root/testdata/sf0.001"
@@ -31,6 +32,13 @@ def test_heavy_visitors_are_combined_before_the_shuffle(clicks):
     assert "Exchange hashpartitioning" not in below  # only the list of heavy keys is sent
 
 
+def test_heavy_visitors_are_counted_before_duplicates_go(clicks, monkeypatch):
+    counted = []
+    monkeypatch.setattr(skew, "stored", lambda df, label: counted.append(plan(df)) or stored(df, label))
+    sessions.sessionize(clicks, dedupe=True, heavy_rows=1)
+    assert len(counted) == 1 and counted[0].count("Exchange ") == 1
+
+
 def test_filters_and_columns_reach_the_scan(clicks):
     text = plan(traffic.top_viewed_items(clicks))
     assert "TakeOrderedAndProject" in text

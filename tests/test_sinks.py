@@ -51,6 +51,27 @@ def test_inserted_events_are_idempotent(spark, tmp_path):
     assert got == [(1, None), (86_400_001, 5)]
 
 
+def test_compacted_tables_are_added_to(spark, tmp_path):
+    def batch(*rows):
+        return spark.createDataFrame([(ts, 1, "view", 1, paid, 0) for ts, paid in rows], EVENT)
+
+    events, docs, small, few = (f"{tmp_path}/{n}" for n in ("events", "docs", "small", "few"))
+    for batch_id, rows in enumerate((batch((1, 5), (2, None)), batch((1, 6), (86_400_001, 7)))):
+        K.insert_events(rows, batch_id, events)
+        K.index_batch(rows, batch_id, docs)
+    K.compact_events(spark, events, small)
+    K.compact_documents(spark, docs, few)
+    K.insert_events(batch((1, 6), (86_400_001, 7)), 1, small)  # a replayed batch
+    K.insert_events(batch((2, 8), (3, 9)), 2, small)
+    K.index_batch(batch((2, 8), (3, 9)), 2, few)
+
+    def stored(table):
+        return sorted((r.timestamp, r.transaction_id) for r in table.collect())
+
+    assert stored(K.read_events(spark, small)) == [(1, 5), (2, None), (3, 9), (86_400_001, 7)]
+    assert stored(K.read_documents(spark, few)) == [(1, 6), (2, 8), (3, 9), (86_400_001, 7)]
+
+
 def test_a_second_stream_keeps_stored_rows(spark, tmp_path):
     events, log, docs = (f"{tmp_path}/{n}" for n in ("events", "log", "docs"))
     for number, stream in enumerate(("first", "second")):

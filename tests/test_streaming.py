@@ -4,6 +4,7 @@ import datetime
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from pathwake.operators import sessions as S
 from pathwake.sinks import tables as K
 from pathwake.operators import batches, lag
 from pathwake.streaming import progress
+from pathwake.streaming import sessions as stream_module
 from pathwake.streaming import source as streams
 from pathwake.streaming import tables as stream_tables
 from pathwake.streaming.sessions import stored_state, stream_sessions
@@ -68,6 +70,34 @@ def test_both_sessions_of_a_batch_and_a_late_event(spark, tmp_path):
              s["event_count"]) for s in late] == [("7_2", 9000, 9000, 8500, 2)]
 
 
+@pytest.mark.parametrize("held", [3, 10**6])
+def test_a_task_combines_its_batches(monkeypatch, held):
+    """One visitor holding most rows sends one row per slot, type and item of a whole task."""
+    monkeypatch.setattr(stream_module, "MERGE_ROWS", 2)
+    monkeypatch.setattr(stream_module, "HELD_ROWS", held)
+    rng = random.Random(held)
+    rows = [
+        {"visitor_id": rng.choice([1, 1, 1, 2]), "slot": ts // 50, "event": rng.choice(["view", "addtocart"]),
+         "item_id": rng.choice([None, 7, 8]), "timestamp": ts, "seq": i}
+        for i, ts in enumerate(rng.choices(range(100), k=400))
+    ]
+    layout = pa.schema([(n, pa.string() if n == "event" else pa.int64()) for n in rows[0]])
+    batches_in = [pa.RecordBatch.from_pylist(rows[i:i + 30], layout) for i in range(0, 400, 30)]
+    out = [r for b in stream_module.combine(iter(batches_in)) for r in b.to_pylist()]
+    got = {}
+    for row in out:
+        for slot, ts, seq, item, kind, n, last in zip(*(row[c] for c in stream_module._LISTS)):
+            key = row["visitor_id"], slot, kind, item
+            total, first, latest = got.get(key, (0, (ts, seq), last))
+            got[key] = total + n, min(first, (ts, seq)), max(latest, last)
+    want = {}
+    for r in rows:
+        want.setdefault((r["visitor_id"], r["slot"], r["event"], r["item_id"]), []).append((r["timestamp"], r["seq"]))
+    assert got == {k: (len(v), min(v), max(v)[0]) for k, v in want.items()}
+    if held > 400:
+        assert [r["visitor_id"] for r in out].count(1) == 1
+
+
 def test_expired_state_keeps_its_number(spark, tmp_path):
     stream = Stream(spark, tmp_path, ttl_ms=5000, late_after="1 second")
     stream.run([(1000, 7, "view", 1, 0)])
