@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pathwake.operators import batches, benchmarks, events, lag, messages, replay, sessions, traffic
 from pathwake.plans.overview import status_overview
 from pathwake.runtime import new_path, stored
-from pathwake.schemas import STATE_TTL_MS
+from pathwake.schemas import EVENT_KEY, STATE_TTL_MS
 from pathwake.sinks import tables as sinks
 from pathwake.sources import adapters as views
 from pathwake.sources import files
@@ -486,7 +486,7 @@ def _stream_dedup(spark, d):
 @query("stream_events_table")
 def _stream_events_table(spark, d):
     out = _in_portions(spark, views.clicks_with_copies(spark, d), stream_tables.events_writer)
-    return sinks.read_events(spark, out).select("timestamp", "visitor_id", "event", "item_id")
+    return sinks.read_events(spark, out).select(*EVENT_KEY, "transaction_id")
 
 
 @query("stream_sessions")
@@ -514,7 +514,7 @@ def _compacted_events(spark, d):
     out = _in_portions(spark, views.clicks_with_copies(spark, d), stream_tables.events_writer)
     compacted = new_path(spark, "events")
     sinks.compact_events(spark, out, compacted)
-    return sinks.read_events(spark, compacted).select("timestamp", "visitor_id", "event", "item_id")
+    return sinks.read_events(spark, compacted).select(*EVENT_KEY, "transaction_id")
 
 
 @query("compacted_documents")

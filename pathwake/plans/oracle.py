@@ -639,7 +639,7 @@ def oracle_sql() -> dict[str, str]:
         FROM clicks GROUP BY event"""
     sql["stream_dedup"] = STREAM_EVENTS
     sql["stream_events_table"] = f"""{_with(*_COPIES)}
-        SELECT timestamp, visitor_id, event, item_id FROM first_copies"""
+        SELECT timestamp, visitor_id, event, item_id, transaction_id FROM first_copies"""
     sql["stream_sessions"] = sql["sessionize_copies"]
     sql["stream_session_table"] = sql["sessionize_copies"]
     sql["stream_documents"] = sql["index_documents"]
