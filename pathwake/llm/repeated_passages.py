@@ -1,9 +1,12 @@
 """Removal of passages that repeat across documents, by sliding spans of sentences.
 
-A sentence ends at ``.``, ``!`` or ``?`` before white space, or at a line break. Every run of
-consecutive sentences of enough words is hashed by its lower-cased words. Runs are joined
-globally; the first place of a repeated run, by document id and position, is kept and the
-sentences of every other place are removed. Each text is read twice rather than storing all
+A sentence ends at ``.``, ``!`` or ``?`` before white space, or at a line break. Runs of
+consecutive sentences of enough words are hashed by their lower-cased words. They are taken
+twice, with sentences that end at every line break and with such that only blank lines end:
+lists of lines need the first, texts wrapped at other columns the second. Every sentence of a
+repeated passage of two or more sentences and ``RUN_WORDS`` words is in a run within it. Runs
+are joined globally; the first place of a repeated run, by document id and position, is kept and
+the sentences of every other place are removed. Each text is read twice rather than storing all
 runs; texts are shuffled once, runs twice.
 """
 
@@ -24,40 +27,61 @@ _ENDS = np.zeros(256, dtype=bool)
 _ENDS[[ord(c) for c in ".!?"]] = True
 
 
-def sentence_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(starts, ends, first, words, word_of)`` of the sentences of a slice, in bytes.
+def sentence_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(starts, ends, first, words, word_of, wide)`` of the sentences of a slice, in bytes.
 
     Text ``i`` has sentences ``first[i]:first[i + 1]``; sentence ``j`` has the word hashes
-    ``words[word_of[j]:word_of[j + 1]]`` and ends with its last word.
+    ``words[word_of[j]:word_of[j + 1]]`` and ends with its last word. ``wide`` marks those that
+    begin a sentence also if a single line break ends none.
     """
     starts, ends, word_first = word_spans(data, bounds, SPACES)
     words = span_hashes(ASCII_LOWER[data], starts, ends)
     if not len(starts):
-        return starts, ends, word_first, words, np.zeros(1, np.int64)
+        return starts, ends, word_first, words, np.zeros(1, np.int64), np.zeros(0, dtype=bool)
     breaks = np.zeros(len(data) + 1, dtype=np.int64)
     np.cumsum(data == 10, out=breaks[1:])
-    opens = np.ones(len(starts), dtype=bool)
-    opens[1:] = _ENDS[data[ends[:-1] - 1]] | (breaks[starts[1:]] > breaks[ends[:-1]])
-    opens[word_first[:-1][word_first[:-1] < len(starts)]] = True
+    lines = breaks[starts[1:]] - breaks[ends[:-1]]
+    wide = np.ones(len(starts), dtype=bool)
+    wide[1:] = _ENDS[data[ends[:-1] - 1]] | (lines > 1)
+    wide[word_first[:-1][word_first[:-1] < len(starts)]] = True
+    opens = wide.copy()
+    opens[1:] |= lines > 0
     at = np.flatnonzero(opens)
     word_of = np.append(at, len(starts))
-    return starts[at], ends[word_of[1:] - 1], np.searchsorted(at, word_first), words, word_of
+    return starts[at], ends[word_of[1:] - 1], np.searchsorted(at, word_first), words, word_of, wide[at]
 
 
-def runs_of(first: np.ndarray, words: np.ndarray, word_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(start, end, high, low)`` of every run: its sentences and two hashes of its words.
-
-    A run starts at each sentence and takes the fewest sentences, at least two, that hold
-    ``RUN_WORDS`` words; a sentence of ``LONG_SENTENCE`` words is a run by itself. Runs stay
+def _runs(first: np.ndarray, word_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(start, end)`` of the runs of sentences, some of them twice."""
+    n = len(word_of) - 1
+    at = np.arange(n)
+    texts = np.diff(first)
+    end = np.maximum(at + 2, np.searchsorted(word_of, word_of[:-1] + RUN_WORDS))
+    fits = end <= np.repeat(first[1:], texts)
+    start = np.minimum(at - 1, np.searchsorted(word_of, word_of[1:] - RUN_WORDS, side="right") - 1)
+    fits_back = start >= np.repeat(first[:-1], texts)
+    alone = np.flatnonzero(np.diff(word_of) >= LONG_SENTENCE)
+    return np.concatenate([at[fits], start[fits_back], alone]), np.concatenate([end[fits], at[fits_back] + 1, alone + 1])
+
+
+def runs_of(
+    first: np.ndarray, words: np.ndarray, word_of: np.ndarray, wide: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(start, end, high, low)`` of every run, in order: its sentences and two hashes of its words.
+
+    A run starts, and another ends, at each sentence and takes the fewest sentences, at least
+    two, that hold ``RUN_WORDS`` words; a sentence of ``LONG_SENTENCE`` words is also a run by
+    itself. The same runs are taken of the sentences that begin at ``wide`` ones. Runs stay
     inside their text.
     """
     n = len(word_of) - 1
-    start = np.arange(n)
-    end = np.maximum(start + 2, np.searchsorted(word_of, word_of[:-1] + RUN_WORDS))
-    end = np.where(np.diff(word_of) >= LONG_SENTENCE, start + 1, end)
-    last = np.repeat(first[1:], np.diff(first))
-    start = start[end <= last]
-    end = end[start]
+    start, end = _runs(first, word_of)
+    if not wide.all():
+        at = np.append(np.flatnonzero(wide), n)
+        a, b = _runs(np.searchsorted(at, first), word_of[at])
+        start, end = np.concatenate([start, at[a]]), np.concatenate([end, at[b]])
+    both = np.unique(start * (n + 1) + end)
+    start, end = both // (n + 1), both % (n + 1)
     begin, stop = word_of[start], word_of[end]
     return start, end, sequence_hashes(words, begin, stop), sequence_hashes(mix(words + U64(7)), begin, stop)
 
@@ -76,15 +100,15 @@ def _firsts(start: np.ndarray, high: np.ndarray, low: np.ndarray, text: np.ndarr
 def _run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, to, data, bounds in text_slices(batch.column(2)):
-            _, _, first, words, word_of = sentence_bounds(data, bounds)
-            start, _, high, low = runs_of(first, words, word_of)
+            _, _, first, words, word_of, wide = sentence_bounds(data, bounds)
+            start, _, high, low = runs_of(first, words, word_of, wide)
             text = np.searchsorted(first, start, side="right") - 1
-            keep = _firsts(start, high, low, text)
-            text, start = text[keep], start[keep]
+            keep = np.flatnonzero(_firsts(start, high, low, text))
+            text = text[keep]
             rows = pa.array(text + at)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(high[keep].view(np.int64)), pa.array(low[keep].view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows),
-                 pa.array(start - first[text], pa.int32())],
+                 pa.array(keep - np.searchsorted(start, first)[text], pa.int32())],
                 names=["high", "low", "id", "check", "place"],
             )
 
@@ -93,8 +117,8 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows, column, places = batch.columns
         for at, to, data, bounds in text_slices(column):
-            starts, ends, first, words, word_of = sentence_bounds(data, bounds)
-            start, end, high, low = runs_of(first, words, word_of)
+            starts, ends, first, words, word_of, wide = sentence_bounds(data, bounds)
+            start, end, high, low = runs_of(first, words, word_of, wide)
             text_of = np.searchsorted(first, start, side="right") - 1
             again = ~_firsts(start, high, low, text_of)
             own = np.searchsorted(start, first)  # runs of text i: own[i]:own[i + 1]
@@ -104,9 +128,9 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 lo, hi = first[i], first[i + 1]
                 gone = np.zeros(hi - lo, dtype=bool)
                 marked = again[own[i]:own[i + 1]].copy()
-                found = places[at + i].as_py()
+                found = places[at + i].as_py()  # numbers of runs of the text
                 if found:
-                    marked |= np.isin(start[own[i]:own[i + 1]] - lo, found)
+                    marked |= np.isin(np.arange(len(marked)), found)
                 for a, b in zip(start[own[i]:own[i + 1]][marked], end[own[i]:own[i + 1]][marked], strict=True):
                     gone[a - lo:b - lo] = True
                 text = column[at + i].as_py()

@@ -491,6 +491,32 @@ def test_repeated_passages(spark):
     assert got[40].n_removed == 8 and got[41].text is None
 
 
+def test_repeated_passages_of_uneven_sentences_and_lines(spark):
+    rng = random.Random(9)
+
+    def sentence(n, end="."):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n)).capitalize() + end
+
+    def wrapped(text, n):
+        words = text.split(" ")
+        return "\n".join(" ".join(words[i:i + n]) for i in range(0, len(words), n))
+
+    lengths = [[30, 5, 5, 5, 5, 3], [3, 5, 5, 5, 5, 30], [55, 10], [10, 55], [12, 55, 3], [8, 9, 2, 2, 9, 8], [70]]
+    cases = []
+    for each in lengths:
+        plain, text = (" ".join(map(sentence, each)) for _ in range(2))
+        cases += [(plain, plain), (wrapped(text, 7), wrapped(text, 11))]
+    cases.append(("\n".join(sentence(9, "") for _ in range(6)),) * 2)
+    rows, left = [], {}
+    for k, case in enumerate(cases):
+        for i, passage in enumerate(case, 2 * k):
+            before, after = f"{sentence(11)}\n{sentence(6)}\n", f"{sentence(8)}\n{sentence(13)}"
+            rows.append((i, f"{before}{passage}\n{after}"))
+            left[i] = before + after if i % 2 else rows[-1][1]
+    got = repeated_passages.remove_repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == left
+
+
 def test_repeated_passages_of_awkward_rows(table):
     got = repeated_passages.remove_repeated(table).collect()
     assert len(got) == table.count()
