@@ -2,7 +2,8 @@
 
 The text is the first layer. In every layer the kinds are searched, and encoded stretches are
 unwrapped to new layers: URL escapes, Unicode escapes, base64 and, inside base64, gzip and zlib
-streams. New layers join the worklist until none is left; a layer seen before is not visited
+streams. Decoded bytes are read as UTF-8, else as Latin-1, and as UTF-16 too if they hold a NUL;
+all patterns are ASCII, so nothing is lost by control characters or other encodings. New layers join the worklist until none is left; a layer seen before is not visited
 again, which ends cycles. Each character of a layer knows the stretch of the given text it comes
 from, so a find in any layer has a span there.
 """
@@ -38,6 +39,7 @@ _UNICODE = re.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})|&#x([0-9a-fA-F]{
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 # A compressed stretch that unfolds to more than this is left closed; n_unopened counts them.
 LAYER_BYTES = 64 << 20
+LEAST_LAYER = len("token=") + _LEAST_VALUE
 
 _SCANNED = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_decoded long, n_unopened long"
 Find = tuple[int, int, str]  # start, end, kind
@@ -90,7 +92,7 @@ class Layer:
     def whole(self, text: str, start: int, end: int) -> Layer:
         """A layer of which every character comes from the same stretch."""
         a, b = self.span(start, end)
-        return Layer(text, np.full(len(text), a), np.full(len(text), b))
+        return Layer(text, np.broadcast_to(np.int64(a), len(text)), np.broadcast_to(np.int64(b), len(text)))
 
 
 def _url_layers(layer: Layer) -> Iterator[Layer]:
@@ -140,12 +142,20 @@ def _unicode_layers(layer: Layer) -> Iterator[Layer]:
         yield layer.part("".join(parts) + layer.text[done:], [*starts, *rest], [*stops, *(i + 1 for i in rest)])
 
 
-def _readable(data: bytes) -> str | None:
+def _readings(data: bytes) -> Iterator[str]:
+    """The texts that bytes may stand for; those too short for a find, or a layer with one, are left out."""
+    if len(data) < LEAST_LAYER:
+        return
     try:
-        text = data.decode("utf-8")
+        yield data.decode("utf-8")
     except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\r\n" for c in text) else None
+        yield data.decode("latin-1")
+    if b"\0" in data:  # as in UTF-16 of any ASCII character
+        for order in ("utf-16-le", "utf-16-be"):
+            for part in (data, data[1:]):
+                text = part[:len(part) // 2 * 2].decode(order, "replace")
+                if len(text) >= LEAST_LAYER:
+                    yield text
 
 
 def _inflate(data: bytes) -> bytes | None:
@@ -175,8 +185,7 @@ def _base64_layers(layer: Layer, unopened: list[int]) -> Iterator[Layer]:
         if inner is None:
             unopened.append(1)
             continue
-        text = _readable(data)
-        if text is not None:
+        for text in _readings(data):
             yield layer.whole(text, *found.span())
 
 

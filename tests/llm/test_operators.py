@@ -464,6 +464,21 @@ def test_decoded_layers():
     assert secret_scan.scan_text("a%41%zz \\ud800 &#x110000; " + "A" * 17)[0] == []
 
 
+def test_decoded_bytes_of_any_kind():
+    secret = "password=hunter2hunter2"
+    nested = base64.b64encode(secret.encode()).decode()
+    texts = [
+        b"\xef\xbb\xbf" + secret.encode(), f"user\u00a0a {secret}".encode(), f"\u200b{secret}".encode(), f"\x1b[31m{secret}\x1b[0m".encode(),
+        b"\0" + secret.encode(), secret.encode("utf-16"), secret.encode("utf-16-le"), secret.encode("utf-16-be"),
+        b"x" + f"\u4e2d{secret}\u4e2d".encode("utf-16-be"), f"caf\u00e9 {secret}".encode("latin-1"), f"\ufeff{nested}".encode("utf-16-le"),
+    ]
+    for data in texts + [gzip.compress(d) for d in texts]:
+        coded = base64.b64encode(data).decode()
+        base, more, unopened = secret_scan.scan_text(f"see {coded} end")
+        assert [k for _, _, k in base + more] == ["decoded_assign"] and not unopened, data
+        assert 4 <= more[0][0] < more[0][1] <= 4 + len(coded)
+
+
 # -- repeated passages ----------------------------------------------------------------------
 
 
