@@ -32,9 +32,7 @@ _LEAST_VALUE, _LEAST_ACCESS = 8, 16
 
 DECODED = tuple(f"decoded_{k}" for k in KINDS)
 _SEPARATOR = re.compile("[:=]")
-_STRETCH = re.compile(r"\S+")
-_ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}")
-_PERCENT = re.compile(rb"%([0-9A-Fa-f]{2})")
+_ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})|&#x([0-9a-fA-F]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 # A compressed stretch that unfolds to more than this is left closed; n_unopened counts them.
@@ -43,6 +41,7 @@ LEAST_LAYER = len("token=") + _LEAST_VALUE
 
 _SCANNED = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_decoded long, n_unopened long"
 Find = tuple[int, int, str]  # start, end, kind
+Piece = tuple[int, int, str, np.ndarray]  # start, end, text instead, bounds of its characters
 
 
 def finds(text: str) -> Iterator[Find]:
@@ -84,10 +83,23 @@ class Layer:
             return start, end
         return int(self.begins[start:end].min()), int(self.ends[start:end].max())
 
-    def part(self, text: str, starts: list[int], stops: list[int]) -> Layer:
-        """A layer of ``text`` whose characters come from stretches of this layer."""
-        spans = [self.span(a, b) for a, b in zip(starts, stops, strict=True)]
-        return Layer(text, np.array([a for a, _ in spans], np.int64), np.array([b for _, b in spans], np.int64))
+    def replaced(self, pieces: Iterator[Piece]) -> Layer | None:
+        """The whole text with stretches replaced; None without any."""
+        kept, begins, ends, done = [], [], [], 0
+        for start, end, text, edges in pieces:
+            kept += [self.text[done:start], text]
+            begins += [np.arange(done, start), edges[:-1]]
+            ends += [np.arange(done + 1, start + 1), edges[1:]]
+            done = end
+        if not kept:
+            return None
+        rest = np.arange(done, len(self.text))
+        begin = np.concatenate([*begins, rest]).astype(np.int64)
+        end = np.concatenate([*ends, rest + 1]).astype(np.int64)
+        # Bounds never fall along a layer, so those of a stretch are those of its edges.
+        if self.begins is not None:
+            begin, end = self.begins[begin], self.ends[end - 1]
+        return Layer("".join(kept) + self.text[done:], begin, end)
 
     def whole(self, text: str, start: int, end: int) -> Layer:
         """A layer of which every character comes from the same stretch."""
@@ -95,51 +107,34 @@ class Layer:
         return Layer(text, np.broadcast_to(np.int64(a), len(text)), np.broadcast_to(np.int64(b), len(text)))
 
 
+def _url_pieces(text: str) -> Iterator[Piece]:
+    for found in _ESCAPES.finditer(text):
+        data = bytes.fromhex(found.group().replace("%", ""))
+        try:
+            plain = data.decode("utf-8")
+            sizes = [len(c.encode()) for c in plain]
+        except UnicodeDecodeError:
+            plain = data.decode("latin-1")
+            sizes = [1] * len(plain)
+        yield *found.span(), plain, found.start() + 3 * np.cumsum([0, *sizes])
+
+
 def _url_layers(layer: Layer) -> Iterator[Layer]:
-    if "%" not in layer.text:
-        return
-    for found in _STRETCH.finditer(layer.text):
-        if not _ESCAPE.search(found.group()):
-            continue
-        raw = found.group().encode("utf-8", "replace")
-        plain, width = _PERCENT.sub(lambda m: bytes([int(m.group(1), 16)]), raw), []
-        # Bytes of the decoded stretch and where each comes from, counted in characters.
-        at, place = 0, found.start()
-        while at < len(raw):
-            size = 3 if _PERCENT.match(raw, at) else 1
-            width.append((place, place + (size if size == 3 else 1)))
-            at += size
-            if size == 3:
-                place += 3
-            elif at >= len(raw) or raw[at] & 0xC0 != 0x80:
-                place += 1
-        text = plain.decode("utf-8", "replace")
-        if "�" in text:
-            text = plain.decode("latin-1")
-            sizes = [1] * len(text)
-        else:
-            sizes = [len(c.encode()) for c in text]
-        ends = np.cumsum(sizes)
-        yield layer.part(text, [width[e - s][0] for e, s in zip(ends, sizes)], [width[e - 1][1] for e in ends])
+    if "%" in layer.text and (plain := layer.replaced(_url_pieces(layer.text))):
+        yield plain
 
 
-def _unicode_layers(layer: Layer) -> Iterator[Layer]:
-    if "\\" not in layer.text and "&#" not in layer.text:
-        return
-    parts, starts, stops, done = [], [], [], 0
-    for found in _UNICODE.finditer(layer.text):
-        a, b = found.span()
+def _unicode_pieces(text: str) -> Iterator[Piece]:
+    for found in _UNICODE.finditer(text):
         digits = next(g for g in found.groups() if g is not None)
         code = int(digits, 10 if found.group(4) is not None else 16)
-        if code > 0x10FFFF or 0xD800 <= code < 0xE000:
-            continue
-        parts += [layer.text[done:a], chr(code)]
-        starts += [*range(done, a), a]
-        stops += [*range(done + 1, a + 1), b]
-        done = b
-    if done:
-        rest = range(done, len(layer.text))
-        yield layer.part("".join(parts) + layer.text[done:], [*starts, *rest], [*stops, *(i + 1 for i in rest)])
+        if code <= 0x10FFFF and not 0xD800 <= code < 0xE000:
+            yield *found.span(), chr(code), np.array(found.span())
+
+
+def _unicode_layers(layer: Layer) -> Iterator[Layer]:
+    if ("\\" in layer.text or "&#" in layer.text) and (plain := layer.replaced(_unicode_pieces(layer.text))):
+        yield plain
 
 
 def _readings(data: bytes) -> Iterator[str]:
@@ -170,7 +165,7 @@ def _inflate(data: bytes) -> bytes | None:
     return None if stream.unconsumed_tail else out
 
 
-def _base64_layers(layer: Layer, unopened: list[int]) -> Iterator[Layer]:
+def _base64_layers(layer: Layer, unopened: set[tuple[int, int]]) -> Iterator[Layer]:
     for found in _BASE64.finditer(layer.text):
         code = found.group().rstrip("=").replace("-", "+").replace("_", "/")
         if len(code) % 4 == 1:
@@ -183,7 +178,7 @@ def _base64_layers(layer: Layer, unopened: list[int]) -> Iterator[Layer]:
         while inner := _inflate(data):
             data = inner
         if inner is None:
-            unopened.append(1)
+            unopened.add(layer.span(*found.span()))
             continue
         for text in _readings(data):
             yield layer.whole(text, *found.span())
@@ -192,7 +187,7 @@ def _base64_layers(layer: Layer, unopened: list[int]) -> Iterator[Layer]:
 def scan_text(text: str) -> tuple[list[Find], list[Find], int]:
     """``(base finds, finds of decoded layers, stretches left closed)``, each list in order."""
     base = sorted(finds(text), key=lambda f: (f[0], KINDS.index(f[2])))
-    unopened: list[int] = []
+    unopened: set[tuple[int, int]] = set()
     more: set[Find] = set()
     seen = {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}
     work = [Layer(text)]

@@ -479,6 +479,18 @@ def test_decoded_bytes_of_any_kind():
         assert 4 <= more[0][0] < more[0][1] <= 4 + len(coded)
 
 
+def test_escapes_beside_blanks():
+    for text, escaped in [
+        ("password%3A hunter2hunter2", (0, 26)), ("secret: abc%2Bdefghijkl", (0, 23)), ("é token%20%3D%20 \"abcdefgh%C3%A9", (2, 26)),
+        ("%70assword = %E9%22 \napi_key : 'abcdefg%68' x", (21, 42)), ("%2570assword%253d hunter2hunter2 \\u0041", (0, 32)),
+    ]:
+        base, more, _ = secret_scan.scan_text(text)
+        assert base == [] and more == [(*escaped, "decoded_assign")], text
+    began = time.process_time()
+    assert secret_scan.scan_text("%41 b-" * 300_000)[1] == []
+    assert time.process_time() - began < 30
+
+
 # -- repeated passages ----------------------------------------------------------------------
 
 
