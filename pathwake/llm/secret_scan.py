@@ -35,6 +35,9 @@ _SEPARATOR = re.compile("[:=]")
 _ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})|&#x([0-9a-fA-F]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+_LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++={0,2}(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]++={0,2})++")
+_LEAST_BASE64 = 16
 # A compressed stretch that unfolds to more than this is left closed; n_unopened counts them.
 LAYER_BYTES = 64 << 20
 LEAST_LAYER = len("token=") + _LEAST_VALUE
@@ -154,22 +157,52 @@ def _readings(data: bytes) -> Iterator[str]:
 
 
 def _inflate(data: bytes) -> bytes | None:
-    """The unfolded stream, b"" if there is none, None if it is too large."""
-    if data[:2] != b"\x1f\x8b" and not (data[:1] == b"\x78" and len(data) > 1 and int.from_bytes(data[:2], "big") % 31 == 0):
-        return b""
-    stream = zlib.decompressobj(zlib.MAX_WBITS | 32)
-    try:
-        out = stream.decompress(data, LAYER_BYTES)
-    except zlib.error:
-        return b""
-    return None if stream.unconsumed_tail else out
+    """The unfolded streams and what follows them, b"" if there is none, None if it is too large."""
+    out, room = [], LAYER_BYTES
+    while data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 1 and int.from_bytes(data[:2], "big") % 31 == 0:
+        if not room:
+            return None
+        stream = zlib.decompressobj(zlib.MAX_WBITS | 32)
+        try:
+            out.append(stream.decompress(data, room))
+        except zlib.error:
+            break
+        if stream.unconsumed_tail:
+            return None
+        room -= len(out[-1])
+        data = stream.unused_data
+    plain = b"".join(out)
+    return plain + b"\n" + data if plain and data else plain
+
+
+def _stretches(text: str) -> Iterator[tuple[int, int, str]]:
+    """Base64 of one line and of lines broken at one width; the first and last line may be shorter.
+
+    Lines of one width are taken with and without the line before them, which may be a word.
+    """
+    for found in _BASE64.finditer(text):
+        yield *found.span(), found.group()
+    for found in _LINES.finditer(text):
+        lines = list(_LINE.finditer(text, *found.span()))
+        width = [line.end() - line.start() for line in lines]
+        closed = [line.group().endswith("=") for line in lines]
+        at = 0
+        while at < len(lines):
+            to = at + 1
+            while to < len(lines) and width[to] == width[at] and not closed[to - 1]:
+                to += 1
+            end = to + (to < len(lines) and width[to] < width[at] and not closed[to - 1])
+            if width[at] >= _LEAST_BASE64:
+                for start in (at, at - 1) if at and not closed[at - 1] else (at,):
+                    if end - start > 1:
+                        yield lines[start].start(), lines[end - 1].end(), "".join(line.group() for line in lines[start:end])
+            at = to
 
 
 def _base64_layers(layer: Layer, unopened: set[tuple[int, int]]) -> Iterator[Layer]:
-    for found in _BASE64.finditer(layer.text):
-        code = found.group().rstrip("=").replace("-", "+").replace("_", "/")
-        if len(code) % 4 == 1:
-            continue
+    for start, end, stretch in _stretches(layer.text):
+        code = stretch.rstrip("=").replace("-", "+").replace("_", "/")
+        code = code[:len(code) - (len(code) % 4 == 1)]
         try:
             data = base64.b64decode(code + "=" * (-len(code) % 4))
         except binascii.Error:
@@ -178,10 +211,10 @@ def _base64_layers(layer: Layer, unopened: set[tuple[int, int]]) -> Iterator[Lay
         while inner := _inflate(data):
             data = inner
         if inner is None:
-            unopened.add(layer.span(*found.span()))
+            unopened.add(layer.span(start, end))
             continue
         for text in _readings(data):
-            yield layer.whole(text, *found.span())
+            yield layer.whole(text, start, end)
 
 
 def scan_text(text: str) -> tuple[list[Find], list[Find], int]:

@@ -491,6 +491,23 @@ def test_escapes_beside_blanks():
     assert time.process_time() - began < 30
 
 
+def test_wrapped_base64_and_joined_streams():
+    rng = random.Random(10)
+    filler = "".join(rng.choice("abcdefghij \n") for _ in range(400))
+    secret = "password=hunter2hunter2"
+    plain = f"{filler} {secret} {filler}".encode()
+    streams = [gzip.compress(plain), gzip.compress(filler.encode()) + gzip.compress(plain), zlib.compress(plain) + b"rest", gzip.compress(b"x") + plain]
+    for data in [plain, *streams]:
+        coded = base64.b64encode(data).decode()
+        for width, head in [(76, 76), (64, 64), (76, 41), (len(coded), len(coded))]:
+            lines = [coded[:head], *(coded[i:i + width] for i in range(head, len(coded), width))]
+            for before, after in [("see: ", ""), ("see\n", " end"), ("see ", "\nend")]:
+                for sep in "\n", "\r\n", "\n  ":
+                    base, more, unopened = secret_scan.scan_text(before + sep.join(lines) + after)
+                    assert base == [] and {k for *_, k in more} == {"decoded_assign"} and not unopened, (data, width, head, before, sep)
+    assert secret_scan.scan_text(f"{'z' * 40}\n" * 20_000 + "end")[:2] == ([], [])
+
+
 # -- repeated passages ----------------------------------------------------------------------
 
 
