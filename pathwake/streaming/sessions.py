@@ -183,8 +183,9 @@ def stream_sessions(
     """Changed sessions per micro-batch in the state layout; a session comes once per change.
 
     Late events are accepted at any age and state is kept for good. With ``ttl_ms`` (such as
-    ``STATE_TTL_MS``) state is cleared by event time, and events more than ``late_after``
-    behind the newest may be dropped.
+    ``STATE_TTL_MS``) state is cleared when event time, ``late_after`` behind the newest event,
+    passes the last activity by so much. No event is dropped: a late one joins the session in
+    the state, or opens the next if that was cleared.
     """
     seq = F.col("seq") if "seq" in events.columns else F.lit(0).cast("bigint")
     slot = F.floor(F.col("timestamp") / (timeout_ms + 1)).cast("bigint")
@@ -193,9 +194,13 @@ def stream_sessions(
     )
     combined = rows.mapInArrow(combine, COMBINED)
     if ttl_ms is not None:
-        combined = combined.withColumn("event_time", event_time(F.array_max("last_ts"))).withWatermark(
-            "event_time", late_after
-        )
+        # The watermark drops rows of an older time, so those with events have none. The time
+        # comes in a second row of the visitor, without events.
+        timeless = F.struct(*_LISTS, F.lit(None).cast("timestamp").alias("event_time"))
+        empty = [F.array().cast(combined.schema[name].dataType).alias(name) for name in _LISTS]
+        time = F.struct(*empty, event_time(F.array_max("last_ts")).alias("event_time"))
+        rows = combined.select("visitor_id", F.inline(F.array(timeless, time)))
+        combined = rows.withWatermark("event_time", late_after)
     return combined.groupBy("visitor_id").transformWithState(
         SessionFold(timeout_ms, ttl_ms),
         outputStructType=STATE,

@@ -66,12 +66,14 @@ def sessions_writer(
     timeout_ms: int = SESSION_TIMEOUT_MS,
     ttl_ms: int | None = None,
     stream_id: str = DEFAULT_STREAM,
+    late_after: str = "1 day",
 ):
     """Log changed sessions; duplicates and unknown types count, as they do in batch.
 
-    With ``ttl_ms`` the state of visitors that have been quiet so long is cleared.
+    With ``ttl_ms`` the state of visitors that have been quiet so long is cleared, ``late_after``
+    behind the newest event. Late events are kept at any age; after that they open a session.
     """
-    sessions = stream_sessions(session_events(messages), timeout_ms, ttl_ms)
+    sessions = stream_sessions(session_events(messages), timeout_ms, ttl_ms, late_after)
     return to_sink(sessions, lambda b, i: log_sessions(to_table(b), i, path, stream_id))
 
 
@@ -95,6 +97,7 @@ def session_pipeline(
     ttl_ms: int | None = None,
     stream_id: str = DEFAULT_STREAM,
     run: Callable = run_available,
+    late_after: str = "1 day",
 ) -> list:
     """Events, sessions, documents and quarantine from one topic, each with its own progress.
 
@@ -103,7 +106,9 @@ def session_pipeline(
     """
     writers = {
         "events": events_writer(messages, f"{folder}/events", stream_id),
-        "sessions": sessions_writer(messages, f"{folder}/sessions", timeout_ms, ttl_ms, stream_id),
+        "sessions": sessions_writer(
+            messages, f"{folder}/sessions", timeout_ms, ttl_ms, stream_id, late_after
+        ),
         "documents": documents_writer(messages, f"{folder}/documents", stream_id),
         "quarantine": quarantine_writer(messages, f"{folder}/quarantine", stream_id),
     }

@@ -106,6 +106,30 @@ def test_expired_state_keeps_its_number(spark, tmp_path):
     assert [s["session_id"] for s in stream.run([(92_000, 7, "view", 1, 3)])] == ["7_2"]
 
 
+def test_late_events_are_kept_with_a_time_to_live(spark, tmp_path):
+    base, day = str(tmp_path), 86_400_000
+    parts = [
+        [(10 * day, 7, "view", 1, 0), (10 * day, 9, "view", 1, 1)],
+        [(20 * day, 8, "view", 1, 2)],
+        [(20 * day + 1, 8, "view", 1, 3)],
+        [(10 * day + 500, 7, "view", 2, 4), (5 * day, 6, "view", 3, 5), (10 * day + 9, 8, "view", 4, 6)],
+    ]
+    for rows in parts:
+        events = spark.createDataFrame(rows, COLUMNS).withColumn(
+            "transaction_id", F.lit(None).cast("bigint"))
+        sent = M.publish_events(events).coalesce(1).withColumn("timestamp", F.current_timestamp())
+        K.publish(sent.withColumnRenamed("seq", "offset"), path=f"{base}/in")
+        writer = stream_tables.sessions_writer(
+            streams.stream_source(spark, f"{base}/in"), f"{base}/sessions", 1000, 5 * day)
+        streams.run_available(writer, f"{base}/checkpoint")
+    got = K.read_sessions(spark, f"{base}/sessions").collect()
+    # The state of visitor 7 was cleared, that of visitor 8 is open.
+    assert {r.session_id: r.event_count for r in got} == {
+        "7_1": 1, "9_1": 1, "8_1": 3, "7_2": 1, "6_1": 1}
+    state = {r.visitor_id: r.last_activity for r in stored_state(spark, f"{base}/checkpoint").collect()}
+    assert state[9] == 0
+
+
 def test_tables_after_restart_equal_batch(spark, tmp_path):
     """Three readers of one stream, stopped and resumed; a replayed batch changes nothing."""
     rows = sorted(random_events(5, n=120), key=lambda e: (e[0], e[4]))
