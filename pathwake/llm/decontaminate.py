@@ -13,7 +13,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathwake.runtime import stored
+from pathwake.llm.hot import hot_keys, spread_join
+from pathwake.runtime import BROADCAST_ROWS, stored
 
 WINDOW = 13
 PART = 20  # contaminated: at least one word in 20 is hit
@@ -88,19 +89,18 @@ def find_windows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     windows = stored(benchmark_windows(benchmark), "windows")
     counts = {r["anchor"]: r["n"] for r in windows.groupBy("anchor").agg(F.count_distinct("key").alias("n")).collect()}
     small = sum(counts.values()) <= MAX_KEYS
-    keys: dict[int, list[int] | None] = {a: None for a in counts}
-    if small:
-        for row in windows.groupBy("anchor").agg(F.collect_set("key").alias("keys")).collect():
-            keys[row["anchor"]] = sorted(row["keys"])
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns if c != "text"]).alias("doc"), words_of(docs["text"]).alias("words"))
-    rows = _with_grams(rows.withColumn("row", F.monotonically_increasing_id()), set(counts))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    if not small:
+        return _find_many(rows, windows, counts)
+    keys = {r["anchor"]: sorted(r["keys"]) for r in windows.groupBy("anchor").agg(F.collect_set("key").alias("keys")).collect()}
+    rows = _with_grams(rows, set(counts))
     places = [_places(a, k) for a, k in sorted(keys.items())]
     none = F.expr("cast(array() as array<struct<anchor: int, key: bigint, at: int>>)")
     places = F.concat(none, *places)
     placed = rows.select("row", "doc", "words", F.size("words").alias("n_words"), places.alias("places"))
     placed = placed.select("row", "doc", "words", "n_words", F.explode_outer("places").alias("place"))
-    known = F.broadcast(windows) if small else windows
-    known = known.withColumnRenamed("anchor", "of").withColumnRenamed("key", "of_key")
+    known = F.broadcast(windows).withColumnRenamed("anchor", "of").withColumnRenamed("key", "of_key")
     joined = placed.join(known, (F.col("place.key") == F.col("of_key")) & (F.col("place.anchor") == F.col("of")), "left")
     here = F.slice("words", F.col("place.at") + 1, F.col("size")) == F.col("window")
     hit = F.when(F.col("place").isNotNull() & here, F.struct(F.col("place.at").alias("at"), "size", "items"))
@@ -111,6 +111,29 @@ def find_windows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def _find_many(rows: DataFrame, windows: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """:func:`find_windows` for keys too many for the plan.
+
+    Positions are looked up without words; those of a key get the words of one window each.
+    """
+    at_key = ["anchor", "key"]
+    rows = stored(rows, "rows")
+    places = F.concat(*[_places(a, None) for a in sorted(counts)])
+    positions = _with_grams(rows, set(counts)).select("row", F.explode(places).alias("place")).select("row", "place.*")
+    keys = windows.select(*at_key).distinct()
+    keys = F.broadcast(keys) if sum(counts.values()) <= BROADCAST_ROWS else keys
+    found = stored(positions.join(keys, at_key, "left_semi"), "places")
+    by_row = found.groupBy("row").agg(F.collect_list(F.struct(*at_key, "at")).alias("places"))
+    here = F.transform("places", lambda p: F.struct(*[p[c].alias(c) for c in (*at_key, "at")], F.slice("words", p["at"] + 1, WINDOW).alias("here")))
+    placed = rows.join(by_row, "row").select("row", F.explode(here).alias("place")).select("row", "place.*")
+    frequent = hot_keys(found.groupBy(*at_key).agg(F.count("*").alias("n")), at_key)
+    joined = spread_join(placed, windows, at_key, frequent, F.col("row")).filter(F.slice("here", 1, F.col("size")) == F.col("window"))
+    hits = joined.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "size", "items"))).alias("hits"))
+    none = F.array().cast(hits.schema["hits"].dataType)
+    counted = rows.select("row", "doc", F.size("words").cast("long").alias("n_words"))
+    return counted.join(hits, "row", "left").select("doc", "n_words", F.coalesce("hits", none).alias("hits"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 

@@ -408,6 +408,21 @@ def test_contamination(spark, table, monkeypatch, keys):
     assert [tuple(r) for r in decontaminate.contamination(docs, bench.limit(0)).filter("n_hit > 0").collect()] == []
 
 
+def test_large_benchmark_keeps_words_out_of_the_join(spark, documents, monkeypatch):
+    """No row of a position holds all words of its text, so the work does not grow with their square."""
+    monkeypatch.setattr(decontaminate, "MAX_KEYS", 0)
+    bench = spark.createDataFrame([(1, "alpha beta gamma delta"), (2, " ".join(f"w{i}" for i in range(500, 520)))], "item_id long, text string")
+    words = [f"w{i}" for i in range(20_000)]
+    docs = spark.createDataFrame([(i, " ".join(words) + " alpha beta gamma delta") for i in range(40)], "doc_id long, text string")
+    found = decontaminate.contamination(docs, bench)
+    assert [(r.n_words, r.n_hit, r.n_items) for r in found.collect()] == [(20_004, 24, 2)] * 40
+    nodes = [found._jdf.queryExecution().optimizedPlan()]
+    for node in nodes:
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+        names = [node.output().apply(i).name() for i in range(node.output().size())]
+        assert node.nodeName() != "Generate" or "words" not in names
+
+
 # -- secrets --------------------------------------------------------------------------------
 
 
