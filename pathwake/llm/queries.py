@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pathwake.llm import decontaminate, language, mixing, near_dedup, private_data, quality_rules
-from pathwake.llm import repeated_passages, secret_scan, token_counts, token_store
+from pathwake.llm import conversations, decontaminate, language, merkle, mixing, near_dedup, oracle
+from pathwake.llm import private_data, quality_rules, repeated_passages, secret_scan, token_counts, token_store, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +58,23 @@ def op10_repeated_passages(spark: SparkSession, directory: str) -> DataFrame:
     return repeated_passages.remove_repeated(_table(spark, directory, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, directory: str) -> DataFrame:
+    """Even hashes of the id are held against the manifest without their line breaks."""
+    text = F.col("text")
+    claimed = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)
+    found = merkle.manifest(_table(spark, directory, "documents"), claimed)
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    found = toxicity.toxicity(_table(spark, directory, "documents"), _table(spark, directory, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("passages").cast("long").alias("n_passages"))
+
+
+def op13_conversation_repair(spark: SparkSession, directory: str) -> DataFrame:
+    return conversations.repair(conversations.damage(_table(spark, directory, "conversations")), F.col("gone"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_near_dedup": op2_near_dedup,
@@ -68,9 +86,12 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_secrets": op9_secrets,
     "op10_repeated_passages": op10_repeated_passages,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_toxicity": op12_toxicity,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
-ORACLE_SQL: dict[str, str] = {
+ORACLE_SQL: dict[str, str] = oracle.ORACLE_SQL | {
     "op2_near_dedup": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
