@@ -145,7 +145,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     counted or listed; repeated items count once; empty documents give an empty result, an
     empty benchmark hits nothing; other columns are not read.
     """
-    found = find_windows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark)
+    return _judged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark)
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The columns of :func:`contamination` for ``docs(doc_id, text)``, an id of any type."""
+    found = find_windows(docs, benchmark)
     hit = F.aggregate(
         "hits",
         F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
@@ -164,12 +169,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated; columns stay as they are.
+    """The rows of ``docs`` whose text is not contaminated; columns stay as they are.
 
-    A row goes if its id has a contaminated text; null ids are compared as equal.
+    The verdict follows from the text alone, so rows are told apart by 128 bits of it and other
+    texts under the same id stay.
     """
-    bad = contamination(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_dropped")), "left_anti")
+    text = docs["text"].cast("string")
+    parts = {"high": F.xxhash64(text), "low": F.xxhash64(F.lit(1), text)}
+    keyed = docs.select(F.struct(*[part.alias(name) for name, part in parts.items()]).alias("doc_id"), docs["text"])
+    bad = _judged(keyed, benchmark).filter("contaminated").select("doc_id.*").distinct()
+    return docs.join(bad, (parts["high"] == bad["high"]) & (parts["low"] == bad["low"]), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -37,13 +37,14 @@ from pathwake.runtime import stored
 SKETCH = 32
 SHARED = 14  # of 32 retained values: what a pair at the threshold shares at least
 PERCENT = 85
+_ROW = ("doc_id", "text_high", "text_low")  # what tells rows apart, but for repeated ones
 SHORT_LIST = 16  # members of a list that are paired directly; longer lists use full sets
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, high, low, sketches = [], [], [], []
-        for _, values in shingle_sets(batch.column(1)):
+        for _, values in shingle_sets(batch.column("text")):
             spread = mix(values.view(U64))
             sizes.append(len(values))
             high.append(spread.sum(dtype=U64).astype(np.int64))
@@ -52,10 +53,10 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         lengths = np.cumsum([0, *map(len, sketches)]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()),
+                *(batch.column(c) for c in _ROW), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate([np.zeros(0, np.int64), *sketches]))),
             ],
-            names=["doc_id", "n_shingles", "high", "low", "sketch"],
+            names=[*_ROW, "n_shingles", "high", "low", "sketch"],
         )
 
 
@@ -99,6 +100,13 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, label: str) -
     return stored(checked, label)
 
 
+def _identified(docs: DataFrame) -> list[Column]:
+    """The columns ``_ROW`` of ``docs``: its id, and 128 bits of its text."""
+    text = docs["text"].cast("string")
+    parts = (docs["doc_id"].cast("long"), F.xxhash64(text), F.xxhash64(F.lit(1), text))
+    return [part.alias(name) for part, name in zip(parts, _ROW, strict=True)]
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -111,15 +119,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     any other, and is kept only in a component of null ids; an empty table gives an empty
     result; other columns are not read.
     """
+    return _grouped(docs).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``_ROW``, n_shingles, component_id and label of each row; the label is null without words."""
     sketches = stored(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-            _sketch_batches, "doc_id bigint, n_shingles bigint, high bigint, low bigint, sketch array<bigint>"
+        docs.select(*_identified(docs), docs["text"].cast("string").alias("text")).mapInArrow(
+            _sketch_batches, "".join(f"{c} bigint, " for c in _ROW) + "n_shingles bigint, high bigint, low bigint, sketch array<bigint>"
         ),
         "sketches",
     )
     classes = stored(
         sketches.filter("n_shingles > 0").groupBy("high", "low")
-        .agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+        .agg(F.min("doc_id").alias("least_id"), F.min(F.struct(F.col("doc_id").isNull(), *_ROW)).alias("least"), F.count("*").alias("n"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
         .withColumn("class", F.monotonically_increasing_id()),
         "classes",
     )
@@ -139,7 +152,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("class", "n_shingles", F.col("rare.value").alias("value")),
         "keys",
     )
-    wanted = keys.select("class").distinct().join(classes.select("class", "least_id", "high", "low"), "class")
+    wanted = keys.select("class").distinct().join(classes.select("class", "least.*"), "class")
     texts = stored(_texts_of(docs, wanted), "texts")
 
     firsts = stored(
@@ -171,32 +184,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     copies = hot_keys(classes, ["high", "low"])
     # Rows are read from files here, so a repeated task numbers them alike.
     row = F.monotonically_increasing_id()
-    grouped = spread_join(sketches.filter("n_shingles > 0").withColumn("row", row), of_class.select("high", "low", "component_id"), ["high", "low"], copies, F.col("row"))
-    alone = sketches.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", "component_id"]
-    return grouped.select(columns).union(alone.select(columns)).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    grouped = spread_join(sketches.filter("n_shingles > 0").withColumn("row", row), of_class.select("high", "low", "component_id", "label"), ["high", "low"], copies, F.col("row"))
+    alone = sketches.filter("n_shingles = 0").withColumns({"component_id": F.col("doc_id"), "label": F.lit(None).cast("long")})
+    columns = [*_ROW, "n_shingles", "component_id", "label"]
+    return grouped.select(columns).union(alone.select(columns))
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(class, text)`` of the classes in ``wanted``; a repeated id is told apart by its set."""
-
-    def of_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            highs, lows = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            for i, values in shingle_sets(batch.column(1)):
-                spread = mix(values.view(U64))
-                keep.append(bool(
-                    spread.sum(dtype=U64).astype(np.int64) == highs[i]
-                    and mix(spread + U64(1)).sum(dtype=U64).astype(np.int64) == lows[i]
-                ))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    found = docs.select(F.col("doc_id").cast("long").alias("least_id"), F.col("text").cast("string")).join(
-        wanted.withColumn("id", F.col("least_id")).drop("least_id"), F.col("least_id").eqNullSafe(F.col("id"))
-    )
-    # A repeated row gives its class twice, and then a link twice, which changes nothing.
-    return found.select("class", "text", "high", "low").mapInArrow(of_class, "class bigint, text string")
+    """``(class, text)`` of the classes in ``wanted``, one row each."""
+    names = {c: f"of_{c}" for c in _ROW}
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc_id")) & (F.col("text_high") == F.col("of_text_high")) & (F.col("text_low") == F.col("of_text_low"))
+    found = docs.select(*_identified(docs), docs["text"].cast("string").alias("text")).join(wanted.select("class", *_ROW).withColumnsRenamed(names), same)
+    return found.groupBy("class").agg(F.first("text").alias("text"))
 
 
 def _short_list_pairs(mixed: DataFrame) -> DataFrame:
@@ -225,7 +224,7 @@ def _long_list_links(mixed: DataFrame, star_links: DataFrame, classes: DataFrame
     """
     long = mixed.select("class", "n_shingles").distinct()
     sets = stored(
-        long.join(texts.dropDuplicates(["class"]), "class").select("class", "text").mapInArrow(_set_batches, "class bigint, members array<bigint>"),
+        long.join(texts, "class").select("class", "text").mapInArrow(_set_batches, "class bigint, members array<bigint>"),
         "sets",
     )
     values = sets.select("class", F.explode("members").alias("value"))
@@ -268,9 +267,25 @@ def _enough(x: str, y: str, shared: Column) -> Column:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that :func:`near_duplicates` keeps, one for each id of a group.
+    """One row of ``docs`` for each component of :func:`near_duplicates`; columns stay as they are.
 
-    Columns stay as they are. Rows without words are all kept.
+    It has the component's id; of several texts under that id the one of least hash stays, and
+    of repeated rows one. A row goes by its own text, whatever other rows have its id. Rows
+    without words are all kept.
     """
-    groups = near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(groups, F.col("doc_id").cast("long").eqNullSafe(F.col("_dropped")), "left_anti")
+    groups = stored(_grouped(docs).filter("label is not null"), "groups")
+    variants = groups.groupBy("label", "component_id", *_ROW).agg(F.count("*").alias("rows"))
+    named = variants.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = stored(named.groupBy("label").agg(F.min(F.struct("text_high", "text_low")).alias("first"), F.count("*").alias("n")), "first")
+    large = hot_keys(groups.groupBy("label").agg(F.count("*").alias("n")), ["label"])
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.struct("text_high", "text_low") == F.col("first"))
+    judged = spread_join(variants, first.drop("n"), ["label"], large, F.col("text_high"))
+    verdicts = judged.select(*[F.col(c).alias(f"of_{c}") for c in _ROW], F.when(~stays, "drop").when(F.col("rows") > 1, "once").alias("verdict"))
+    verdicts = stored(verdicts.filter("verdict is not null"), "verdicts")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"), *_identified(docs))
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc_id")) & (F.col("text_high") == F.col("of_text_high")) & (F.col("text_low") == F.col("of_text_low"))
+    if verdicts.filter("verdict = 'once'").limit(1).count() == 0:
+        return rows.join(verdicts, same, "left_anti").select("doc.*")
+    marked = rows.join(verdicts, same, "left")
+    repeated = marked.filter("verdict = 'once'").groupBy(*_ROW).agg(F.first("doc").alias("doc"))
+    return marked.filter("verdict is null").select("doc.*").union(repeated.select("doc.*"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable
+from itertools import product
 
 import ahocorasick
 import pyarrow as pa
@@ -25,15 +26,13 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"\s*[:#=]?\s*([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{1,4}){3,8})(?![A-Za-z0-9])")
-_NUMBER = re.compile(r"(?:\s+(?:number|no\.?|nr\.?|id))?\s*[:#=]?\s*([0-9](?:[\x20-]?[0-9]){5,17})(?![0-9])", re.I)
-_LOGIN = re.compile(r"([^\s/@:]+:[^\s/@]+)@[A-Za-z0-9.-]+")
-CUES = {
-    "iban": "iban", "IBAN": "iban", "Iban": "iban",
-    "account": "account", "Account": "account", "ACCOUNT": "account", "acct": "account", "Acct": "account",
-    "SSN": "account", "ssn": "account", "passport": "account", "Passport": "account",
-    "://": "login",
-}
+# What stands between a cue and its number; possessive, so that blanks are passed once.
+_BETWEEN = r"(?:[:#=]++\s*+)?"
+_IBAN = re.compile(rf"\s*+{_BETWEEN}([A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{1,4}}){{3,8}})(?![A-Za-z0-9])")
+_NUMBER = re.compile(rf"\s*+(?:(?<=\s)(?:number|no\.?|nr\.?|id)\s*+)?{_BETWEEN}([0-9](?:[\x20-]?[0-9]){{5,17}})(?![0-9])", re.I)
+# A password may hold at-signs: the last one before a host ends it.
+_LOGIN = re.compile(r"([^\s/@:]+:[^\s/]+)@[A-Za-z0-9.-]+")
+CUES = {"iban": "iban", "account": "account", "acct": "account", "ssn": "account", "passport": "account", "://": "login"}
 
 _SCANNED = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_more long"
 Span = tuple[int, int]
@@ -122,7 +121,9 @@ PARSERS: dict[str, Callable[[str, int, int, int], tuple[Span, bool] | None]] = {
 
 def _automaton() -> ahocorasick.Automaton:
     anchors: dict[str, tuple[str, ...]] = {"@": ("email",), "+": ("phone",)}
-    anchors |= {d: ("ip", "card") for d in "0123456789"} | {cue: (kind,) for cue, kind in CUES.items()}
+    anchors |= {d: ("ip", "card") for d in "0123456789"}
+    for cue, kind in CUES.items():  # in every mixture of cases
+        anchors |= {"".join(letters): (kind,) for letters in product(*({c, c.upper()} for c in cue))}
     automaton = ahocorasick.Automaton()
     for word, kinds in anchors.items():
         automaton.add_word(word, (len(word), kinds))
@@ -183,7 +184,8 @@ def private_data(docs: DataFrame) -> DataFrame:
 
     Defined for every input: null reads as empty and has no spans; repeated rows give equal
     rows; an empty table gives an empty result; columns other than doc_id and text are not
-    read.
+    read. A text of any length is searched whole, in time proportional to it, and a task holds
+    one batch of texts.
     """
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), scan(F.col("text")).alias("s")).select("doc_id", "s.*")
 
