@@ -76,6 +76,23 @@ SESSION_TABLE = _struct(
     ("converted", T.BooleanType()),
 )
 
+# Stored forms: with what orders the versions of a row.
+_MOMENT = _struct(("session_end", _TIME), ("event_count", _LONG), ("stream_id", _TEXT))
+STORED_EVENT = T.StructType([*EVENT, T.StructField("event_date", T.DateType())])
+STORED_SESSION = T.StructType([
+    *SESSION_TABLE, T.StructField("born", _MOMENT), T.StructField("version", _MOMENT)
+])
+STORED_DOCUMENT = _struct(
+    ("doc_id", _TEXT),
+    ("event_time", _TEXT),
+    ("timestamp", _LONG),
+    ("visitor_id", _LONG),
+    ("event", _TEXT),
+    ("item_id", _LONG),
+    ("transaction_id", _LONG),
+    ("version", _struct(("stream_id", _TEXT), ("batch_id", _LONG))),
+)
+
 ITEM_METRICS = _struct(
     ("item_id", _LONG),
     ("view_count", _LONG),

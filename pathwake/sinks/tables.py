@@ -3,15 +3,14 @@
 Every streaming write is keyed by its stream and batch id and replaces what an earlier attempt
 at the same batch of the same stream wrote, so a replayed batch changes nothing, and a stream
 on a new checkpoint, or a second stream into the same table, never overwrites rows of another.
+Events, sessions and documents are :class:`VersionedTable`: batches are folded into runs as the
+stream goes. Which version of a row is the later one follows from the rows, not from a clock.
 """
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pathwake.functions.columns import event_time
 from pathwake.operators.events import index_documents, insert_new_events
@@ -20,8 +19,12 @@ from pathwake.schemas import (
     EVENT_TABLE,
     ITEM_METRICS,
     SESSION_TABLE,
+    STORED_DOCUMENT,
+    STORED_EVENT,
+    STORED_SESSION,
     VISITOR_METRICS,
 )
+from pathwake.sinks.versions import Files, VersionedTable
 
 TABLES = {
     "events": EVENT_TABLE,
@@ -31,13 +34,9 @@ TABLES = {
 }
 _KEPT = ["visitor_id", "session_start"]  # an upsert never changes these
 _REPLACED = [f.name for f in SESSION_TABLE if f.name not in ("session_id", *_KEPT)]
-_BATCH = [T.StructField("stream_id", T.StringType()), T.StructField("batch_id", T.LongType())]
-_DATE = T.StructField("event_date", T.DateType())
-_LOGGED = T.StructField("logged_ms", T.LongType())
-STORED_EVENT = T.StructType([*EVENT, _DATE, *_BATCH])
-STORED_SESSION = T.StructType([*SESSION_TABLE, _LOGGED, *_BATCH])
+_DOCUMENT = ["doc_id", "event_time", "timestamp", "visitor_id", "event", "item_id"]
 DEFAULT_STREAM = "main"
-COMPACTED = "compacted"  # the stream id of rows that were merged
+MANY_DATES = 64  # of a batch; beyond, one range of times stands for all of them
 
 
 def merge_sessions(versions: DataFrame, version: str = "version") -> DataFrame:
@@ -59,19 +58,33 @@ def upsert_sessions(table: DataFrame, updates: DataFrame) -> DataFrame:
     return merge_sessions(old.unionByName(new))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def event_table(spark: SparkSession, path: str) -> VersionedTable:
+    """Stored events in folders by date; keys are unique, so there is nothing to merge."""
+    return VersionedTable(spark, path, STORED_EVENT, lambda rows: rows, "event_date")
 
 
-def _read(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
-    if not _exists(spark, path):
-        return spark.createDataFrame([], layout)
-    return spark.read.schema(layout).parquet(path)
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    return event_table(spark, path).read()
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, STORED_EVENT)
+def stored_keys(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """The rows of ``stored`` that can have a key of ``batch``.
+
+    A key includes the time, so only the dates of the batch are read, and of a date only row
+    groups between the least and the greatest time the batch has there. A batch has no more
+    dates than the calendar, so their list is small.
+    """
+    date = F.to_date(event_time(F.col("timestamp")))
+    spans = batch.groupBy(date.alias("event_date")).agg(F.min("timestamp"), F.max("timestamp")).collect()
+    if not spans:
+        return stored.limit(0)
+    inside = F.col("event_date").isin([s[0] for s in spans])
+    if len(spans) > MANY_DATES:
+        return stored.filter(inside & F.col("timestamp").between(min(s[1] for s in spans), max(s[2] for s in spans)))
+    between = F.lit(False)
+    for day, low, high in spans:
+        between |= (F.col("event_date") == day) & F.col("timestamp").between(low, high)
+    return stored.filter(inside & between & F.col("timestamp").between(min(s[1] for s in spans), max(s[2] for s in spans)))
 
 
 def insert_events(
@@ -79,103 +92,106 @@ def insert_events(
 ) -> None:
     """Append the batch's events whose key is not stored yet.
 
-    New rows are compared with all but those this batch of this stream wrote before. The key
-    includes the time, so an equal key can only be stored under the same date: the lookup
-    joins the distinct dates of the batch, which prunes the folders that are read.
+    New rows are compared with all but those this batch of this stream wrote before.
     """
     spark = batch.sparkSession
     if "seq" not in batch.columns:
         batch = batch.withColumn("seq", F.lit(0).cast("bigint"))
-    date = F.to_date(event_time(F.col("timestamp")))
+    table = event_table(spark, path)
     batch = batch.select(*EVENT.names, "seq").persist()
     try:
-        dates = batch.select(date.alias("event_date")).distinct()
-        own = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
-        stored = read_events(spark, path).filter(~own).join(dates, "event_date", "left_semi")
-        fresh = insert_new_events(batch, stored).select(
-            *EVENT.names, date.alias("event_date"), F.lit(stream_id).alias("stream_id"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-        )
-        (
-            fresh.hint("rebalance", "event_date")  # few files a date; a large date is split
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("event_date", "stream_id", "batch_id")
-            .parquet(path)
-        )
+        stored = stored_keys(batch, table.rows(without=(stream_id, batch_id)))
+        fresh = insert_new_events(batch, stored)
+        table.add(fresh.withColumn("event_date", F.to_date(event_time(F.col("timestamp")))), stream_id, batch_id)
     finally:
         batch.unpersist()
 
 
 def compact_events(spark: SparkSession, path: str, target: str) -> None:
-    """Write the event table to ``target`` with one folder per date, to be added to from then on.
+    """Write the event table to ``target`` as one run, to be added to from then on.
 
-    Run between stream runs; the table itself stays as it is. A batch replayed into ``target``
-    finds its rows there and adds nothing.
+    A batch replayed into ``target`` finds its rows there and adds nothing.
     """
-    rows = read_events(spark, path).withColumns(
-        {"stream_id": F.lit(COMPACTED), "batch_id": F.lit(0).cast("bigint")}
-    )
-    (
-        rows.hint("rebalance", "event_date")
-        .write.mode("overwrite")
-        .partitionBy("event_date", "stream_id", "batch_id")
-        .parquet(target)
+    event_table(spark, path).copy_to(target)
+
+
+def session_table(spark: SparkSession, path: str) -> VersionedTable:
+    """Stored versions of sessions; one row a session and run."""
+    return VersionedTable(spark, path, STORED_SESSION, _merge_versions)
+
+
+def _merge_versions(rows: DataFrame) -> DataFrame:
+    """One row per session: the start of its first version, the rest of its last.
+
+    Both are kept with the row, so that any grouping of versions gives the same. A session of
+    one stream grows with every batch that changes it: its end never falls and its count of
+    events rises, so they give the order of its versions, and that of different streams by
+    event time.
+    """
+    latest = F.max_by(F.struct(*_REPLACED), "version").alias("latest")
+    kept = [F.min_by(c, "born").alias(c) for c in _KEPT]
+    merged = rows.groupBy("session_id").agg(
+        *kept, latest, F.min("born").alias("born"), F.max("version").alias("version")
     )
+    return merged.select("session_id", *_KEPT, "latest.*", "born", "version").select(*STORED_SESSION.names)
 
 
 def log_sessions(
     sessions: DataFrame, batch_id: int, path: str, stream_id: str = DEFAULT_STREAM
 ) -> None:
     """Add a batch of changed sessions (table layout); cost depends on the batch alone."""
-    logged = F.lit(time.time_ns() // 1_000_000).cast("bigint").alias("logged_ms")
-    sessions.select(*SESSION_TABLE.names, logged).write.mode("overwrite").parquet(
-        _batch_path(path, stream_id, batch_id)
-    )
+    moment = F.struct("session_end", "event_count", F.lit(stream_id).alias("stream_id"))
+    rows = sessions.select(*SESSION_TABLE.names, moment.alias("born"), moment.alias("version"))
+    session_table(sessions.sparkSession, path).add(rows, stream_id, batch_id)
 
 
-def _batch_path(path: str, stream_id: str, batch_id: int) -> str:
-    return f"{path}/stream_id={stream_id}/batch_id={batch_id}"
-
+def read_sessions(spark: SparkSession, path: str) -> DataFrame:
+    """The session table: all stored versions merged."""
+    return session_table(spark, path).read().select(*SESSION_TABLE.names)
 
-def _session_versions(spark: SparkSession, path: str) -> DataFrame:
-    """The log with its order: by time of writing, and by batch within one moment."""
-    log = _read(spark, path, STORED_SESSION)
-    return log.withColumn("version", F.struct("logged_ms", "batch_id", "stream_id"))
 
+def compact_sessions(spark: SparkSession, path: str, target: str) -> None:
+    """Write the merged sessions to ``target`` as one run, to be logged to from then on."""
+    session_table(spark, path).copy_to(target)
 
-def read_sessions(spark: SparkSession, path: str) -> DataFrame:
-    """The session table: all logged batches merged, later ones over earlier ones."""
-    return merge_sessions(_session_versions(spark, path))
 
+def document_table(spark: SparkSession, path: str) -> VersionedTable:
+    """Stored versions of search documents; one row a document and run."""
+    return VersionedTable(spark, path, STORED_DOCUMENT, _latest_documents)
 
-def compact_sessions(spark: SparkSession, path: str, target: str) -> None:
-    """Write the merged log to ``target``, to be logged to from then on.
 
-    Run between stream runs; the log itself stays as it is.
-    """
-    log_sessions(merge_sessions(_session_versions(spark, path)), 0, target, COMPACTED)
+def _latest_documents(rows: DataFrame) -> DataFrame:
+    """The last version per id: later batches of a stream, of two streams the later name."""
+    latest = [F.max_by("transaction_id", "version").alias("transaction_id"), F.max("version").alias("version")]
+    return rows.groupBy(*_DOCUMENT).agg(*latest)
 
 
 def index_batch(
     batch: DataFrame, batch_id: int, path: str, stream_id: str = DEFAULT_STREAM
 ) -> None:
-    """Add a batch of search documents as JSON."""
-    _write_documents(index_documents(batch), _batch_path(path, stream_id, batch_id))
+    """Add a batch of search documents."""
+    version = F.struct(F.lit(stream_id).alias("stream_id"), F.lit(batch_id).cast("bigint").alias("batch_id"))
+    rows = index_documents(batch).withColumn("version", version)
+    document_table(batch.sparkSession, path).add(rows, stream_id, batch_id)
 
 
-def _write_documents(documents: DataFrame, path: str) -> None:
-    logged = F.lit(time.time_ns() // 1_000_000).cast("bigint").alias("logged_ms")
-    rows = documents.select("*", logged).write.mode("overwrite")
-    rows.option("ignoreNullFields", False).json(path)
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Search documents, the last written per id."""
+    return document_table(spark, path).read().drop("version")
 
 
 def compact_documents(spark: SparkSession, path: str, target: str) -> None:
-    """Write the last version of each document to ``target``, to be added to from then on.
+    """Write the last version of each document to ``target`` as one run, to be added to from then on."""
+    document_table(spark, path).copy_to(target)
 
-    Run between stream runs; the log itself stays as it is.
-    """
-    _write_documents(read_documents(spark, path), _batch_path(target, COMPACTED, 0))
+
+def export_documents(spark: SparkSession, path: str, target: str) -> None:
+    """Write the documents as JSON lines with explicit nulls, for a search server to load."""
+    read_documents(spark, path).write.mode("overwrite").option("ignoreNullFields", False).json(target)
+
+
+def _batch_path(path: str, stream_id: str, batch_id: int) -> str:
+    return f"{path}/stream_id={stream_id}/batch_id={batch_id}"
 
 
 def quarantine_batch(
@@ -185,21 +201,6 @@ def quarantine_batch(
     rejected.write.mode("overwrite").parquet(_batch_path(path, stream_id, batch_id))
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Search documents, the last written per id."""
-    layout = "doc_id string, event_time string, timestamp bigint, visitor_id bigint, " \
-             "event string, item_id bigint, transaction_id bigint, logged_ms bigint, " \
-             "stream_id string, batch_id bigint"
-    same = ["doc_id", "event_time", "timestamp", "visitor_id", "event", "item_id"]
-    version = F.struct("logged_ms", "batch_id", "stream_id")
-    return (
-        spark.read.schema(layout)
-        .json(path)
-        .groupBy(*same)
-        .agg(F.max_by("transaction_id", version).alias("transaction_id"))
-    )
-
-
 def publish(
     messages: DataFrame, options: dict[str, str] | None = None, path: str | None = None
 ) -> int:
@@ -226,7 +227,7 @@ def append_results(path: str, first: DataFrame, *more: DataFrame) -> None:
     for other in more:
         rows = rows.unionByName(other, allowMissingColumns=True)
     spark = rows.sparkSession
-    if _exists(spark, path):
+    if Files(spark, path).exists(path):
         columns = spark.read.option("header", True).csv(path).columns
         extra = sorted(set(rows.columns) - set(columns))
         if extra:

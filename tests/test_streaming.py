@@ -182,18 +182,47 @@ def test_state_and_measurements_of_a_stream(spark, tmp_path):
     want = S.latest_state(S.sessionize(spark.createDataFrame(rows, COLUMNS), 1000))
     assert state.exceptAll(want).count() == want.exceptAll(state).count() == 0
     assert S.active_sessions(state, F.lit(0), 1).first()[0] == want.count()
-    measured = progress.batch_metrics(spark, stream.query, "sessions", 100)
-    row = measured.first()
+
+
+def test_every_batch_of_a_stream_is_measured(spark, tmp_path):
+    """More batches than Spark keeps, restarted in between; a joined file and single ones."""
+    rows = sorted(random_events(7, n=80), key=lambda e: (e[0], e[4]))
+    log = progress.ProgressLog(spark, f"{tmp_path}/progress")
+    spark.streams.addListener(log)
+    try:
+        for part in (rows[:50], rows[50:]):
+            many = spark.createDataFrame(part + part[:15], COLUMNS).coalesce(1)  # a file a row
+            many.write.option("maxRecordsPerFile", 1).mode("append").parquet(f"{tmp_path}/in")
+            events = spark.readStream.schema(COLUMNS).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+            writer = progress.counted(events).writeStream.queryName("numbers").format("noop")
+            assert log.wait(streams.run_available(writer, f"{tmp_path}/checkpoint"))
+        stream = Stream(spark, tmp_path / "state")
+        stream.run(rows)
+        assert log.wait(stream.query)
+    finally:
+        spark.streams.removeListener(log)
+    reports = progress.read_progress(spark, f"{tmp_path}/progress")
+    measured = progress.batch_metrics(reports, 100)
+    plain = measured.filter("group_id = 'numbers'")
+    assert plain.count() == 110 and plain.filter("batch_size <> 1 or pg_events_ms = 0 and poll_ms = 0").count() == 0
+    assert progress.produced(reports).agg(F.sum("messages"), F.count("*")).first() == (110, 110)
+    row = measured.filter("group_id is null or group_id <> 'numbers'").orderBy(F.desc("batch_size")).first()
     assert row.batch_size == 80 and row.valkey_ms > 0 and row.pg_events_ms == 0
-    assert batches.batch_summary(measured, None).first().events == 80
-    assert progress.offsets(spark, stream.query).count() == 0
+    assert batches.batch_summary(measured, None).agg(F.sum("events")).first()[0] == 190
+    assert progress.offsets(reports).count() == 0
+
 
+def test_offsets_of_a_broker_source(spark, tmp_path):
+    def report(batch, reached, newest, time):
+        sources = [{"endOffset": reached, "latestOffset": newest}]
+        return json.dumps({"id": "q", "batchId": batch, "timestamp": time, "sources": sources}) + "\n"
 
-def test_offsets_of_a_broker_source(spark):
-    report = {"sources": [{"endOffset": '{"t":{"0":5,"1":7}}', "latestOffset": "{'t': {'0': 9}}"}]}
-    rows = progress.offset_rows(report)
-    assert rows == [("t", 0, 5, 9), ("t", 1, 7, None)]
-    df = spark.createDataFrame(rows, progress.OFFSETS)
+    times = ["2024-01-01T00:00:01.000Z", "2024-01-01T00:00:02.000Z"]
+    (tmp_path / "a.json").write_text(
+        report(0, {"t": {"0": 1}}, {"t": {"0": 9}}, times[0]) + report(1, {"t": {"0": 4, "1": 7}}, None, times[0]))
+    (tmp_path / "b.json").write_text(report(1, {"t": {"0": 5, "1": 7}}, {"t": {"0": 9}}, times[1]))
+    df = progress.offsets(progress.read_progress(spark, str(tmp_path)))
+    assert sorted(tuple(r) for r in df.collect()) == [("q", "t", 0, 5, 9), ("q", "t", 1, 7, None)]
     lags = lag.live_lag(df.drop("end_offset"), df.select("topic", "part", "end_offset"))
     assert {r.part: r.lag for r in lags.collect()} == {0: 4, 1: None}
 
