@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,11 @@ from pathwake.sinks import tables as sinks
 from pathwake.sources import adapters as views
 from pathwake.sources import files
 from pathwake.streaming import source as streams
-from pathwake.streaming.sessions import stream_dedup
+from pathwake.sources.partitioned import stream_events_csv
+from pathwake.streaming import progress
 from pathwake.streaming import tables as stream_tables
+from pathwake.streaming.sessions import state_changes, stored_state, stream_closed_sessions
+from pathwake.streaming.supervision import supervise
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -431,15 +435,26 @@ def _status(spark, d):
 SPLIT = "2024-01-16 12:00:00"  # everything before, then the rest
 
 
-def _in_portions(spark, source: DataFrame, start: Callable[[DataFrame, str], object]) -> str:
-    """Run ``start(messages, folder)`` over the portions; returns the folder written to."""
-    base = new_path(spark, "stream")
+def _published(source: DataFrame) -> DataFrame:
+    """Message rows of events, with the time of the event."""
     published = messages.publish_events(source.withColumn("ts", F.timestamp_millis("timestamp")))
-    timed = published.withColumn(
+    return published.withColumn(
         "timestamp", F.timestamp_millis(F.get_json_object("value", "$.timestamp").cast("bigint"))
     ).withColumnRenamed("seq", "offset")
+
+
+def _in_portions(
+    spark, source: DataFrame, start: Callable[[DataFrame, str], object], late: bool = False
+) -> str:
+    """Run ``start(messages, folder)`` over the portions; returns the folder written to.
+
+    With ``late`` the earlier portion comes second.
+    """
+    base = new_path(spark, "stream")
+    timed = _published(source)
     before = F.coalesce(F.col("timestamp") < SPLIT, F.lit(False))
-    for portion in (timed.filter(before), timed.filter(~before)):
+    portions = (timed.filter(before), timed.filter(~before))
+    for portion in reversed(portions) if late else portions:
         sinks.publish(portion, path=f"{base}/messages")
         writer = start(streams.stream_source(spark, f"{base}/messages"), f"{base}/out")
         with streams.state_partitions(spark):
@@ -476,11 +491,26 @@ def _run_available(spark, d):
 def _stream_dedup(spark, d):
     out = _in_portions(
         spark, views.clicks_with_copies(spark, d),
-        lambda m, path: _to_parquet(
-            stream_dedup(stream_tables.decoded_events(m), "400 days"), path
-        ),
+        lambda m, path: stream_tables.first_rows_writer(m, f"{path}/first", f"{path}/late"),
+    )
+    first = spark.read.parquet(f"{out}/first")
+    return first.select("timestamp", "visitor_id", "event", "item_id", "transaction_id")
+
+
+@query("stream_dedup_late")
+def _stream_dedup_late(spark, d):
+    """The earlier portion comes second; what is more than sixteen days old then is set apart."""
+    out = _in_portions(
+        spark, views.clicks_with_copies(spark, d),
+        lambda m, path: stream_tables.first_rows_writer(m, f"{path}/first", f"{path}/late", "16 days"),
+        late=True,
+    )
+    parts = [
+        spark.read.parquet(f"{out}/{part}").withColumn("part", F.lit(part)) for part in ("first", "late")
+    ]
+    return parts[0].unionByName(parts[1]).groupBy("part", "event").agg(
+        F.count("*").alias("events"), F.sum("timestamp").alias("time_sum"), F.sum("seq").alias("seq_sum")
     )
-    return spark.read.parquet(out).select("timestamp", "visitor_id", "event", "item_id")
 
 
 @query("stream_events_table")
@@ -546,3 +576,171 @@ def _stream_events_over_time(spark, d):
             F.max_by("events", "batch_id").alias("events")
         )
     )
+
+
+@query("stream_closed_sessions")
+def _stream_closed_sessions(spark, d):
+    out = _in_portions(
+        spark, views.clicks_with_copies(spark, d),
+        lambda m, path: _to_parquet(
+            stream_closed_sessions(stream_tables.decoded_events(m), HALF_DAY_MS), path
+        ),
+    )
+    return flat(spark.read.parquet(out))
+
+
+@query("stream_late_events")
+def _stream_late_events(spark, d):
+    """The earlier portion comes second: events of any age join a session or open the next."""
+    out = _in_portions(
+        spark, views.clicks(spark, d),
+        lambda m, path: stream_tables.sessions_writer(m, path, HALF_DAY_MS), late=True,
+    )
+    return flat(sinks.read_sessions(spark, out).select(
+        "session_id", "visitor_id", "session_start", "session_end", "event_count", "view_count",
+        "cart_count", "transaction_count",
+    ))
+
+
+def _session_state(spark, d, **options) -> str:
+    """Folder of the checkpoint of a session stream over both portions."""
+    out = _in_portions(
+        spark, views.clicks(spark, d),
+        lambda m, path: stream_tables.sessions_writer(m, path, HALF_DAY_MS, **options),
+    )
+    return out.removesuffix("/out") + "/checkpoint"
+
+
+@query("stream_state")
+def _stream_state(spark, d):
+    """Open sessions, read from the state of the stream."""
+    return flat(stored_state(spark, _session_state(spark, d)))
+
+
+@query("stream_state_active")
+def _stream_state_active(spark, d):
+    """What a time to live of two days has left in the state of the stream."""
+    state = stored_state(spark, _session_state(spark, d, ttl_ms=2 * DAY_MS))
+    return state.filter("last_activity > 0").select("visitor_id", "session_id", "last_activity", "event_count")
+
+
+@query("stream_state_changes")
+def _stream_state_changes(spark, d):
+    """Changes of state by batch."""
+    changes = state_changes(spark, _session_state(spark, d))
+    return changes.groupBy("batch_id", "change_type").agg(
+        F.count("*").alias("visitors"), F.sum("session.event_count").alias("events")
+    )
+
+
+FILES = 105  # more micro-batches than Spark keeps reports of
+
+
+@query("stream_progress")
+def _stream_progress(spark, d):
+    """A micro-batch a file; sizes of all batches and counts of messages, from the stored reports."""
+    base = new_path(spark, "stream")
+    timed = _published(views.clicks(spark, d)).withColumn("portion", F.col("offset") % FILES)
+    timed.repartition("portion").write.partitionBy("portion").parquet(f"{base}/messages")
+    log = progress.ProgressLog(spark, f"{base}/progress")
+    spark.streams.addListener(log)
+    try:
+        counted = progress.counted(streams.stream_source(spark, f"{base}/messages/*", max_per_batch=1))
+        writer = counted.writeStream.queryName("clicks").format("noop")
+        log.wait(streams.run_available(writer, f"{base}/checkpoint"))
+    finally:
+        spark.streams.removeListener(log)
+    reports = stored(progress.read_progress(spark, f"{base}/progress"), "reports")
+    sizes = progress.batch_metrics(reports).select("batch_id", "group_id", "batch_size")
+    both = sizes.join(progress.produced(reports).drop("id"), "batch_id")
+    return both.groupBy("group_id", "batch_size", "messages").agg(F.count("*").alias("batches"))
+
+
+@query("continuous_run")
+def _continuous_run(spark, d):
+    """A micro-batch an interval, stopped when all is processed."""
+    base = new_path(spark, "stream")
+    sinks.publish(_published(views.clicks(spark, d)), path=f"{base}/messages")
+    events = stream_tables.decoded_events(streams.stream_source(spark, f"{base}/messages", max_per_batch=4))
+    running = streams.run_continuously(_to_parquet(events, f"{base}/out"), f"{base}/checkpoint", "100 milliseconds")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.parquet(f"{base}/out").select("timestamp", "visitor_id", "event", "item_id")
+
+
+@query("stream_csv_folder")
+def _stream_csv_folder(spark, d):
+    """CSV files by the library's own source; the later portion is read from the stored offsets."""
+    base = new_path(spark, "stream")
+    rows = views.raw_csv(spark, d).drop("seq")
+    before = F.col("timestamp") < MIDDLE_MS
+    for portion in (rows.filter(before), rows.filter(~before)):
+        portion.write.mode("append").option("header", True).csv(f"{base}/files")
+        read = stream_events_csv(spark, f"{base}/files", part_bytes=1 << 16)
+        streams.run_available(_to_parquet(events.normalize_events(read), f"{base}/out"), f"{base}/checkpoint")
+    return flat(spark.read.parquet(f"{base}/out"))
+
+
+@query("pipeline_tables")
+def _pipeline_tables(spark, d):
+    """All four streams under supervision, the catalog's tables filled from them, then a reset."""
+    base, database = new_path(spark, "pipeline"), f"pathwake_{uuid.uuid4().hex}"
+    sinks.publish(_published(views.all_events(spark, d).drop("event_type")), path=f"{base}/messages")
+    with streams.state_partitions(spark):
+        stream_tables.supervised_pipeline(
+            streams.stream_source(spark, f"{base}/messages"), f"{base}/tables", f"{base}/progress", timeout_ms=HALF_DAY_MS
+        )
+    sinks.create_tables(spark, database)
+    sinks.fill_tables(spark, database, f"{base}/tables")
+
+    def counts(stage: str) -> DataFrame:
+        tables = {name: spark.table(f"{database}.{name}") for name in sinks.TABLES}
+        aside = f"{base}/tables/quarantine"
+        if stage == "filled":
+            tables |= {"documents": sinks.read_documents(spark, f"{base}/tables/documents"), "quarantine": spark.read.parquet(aside)}
+        counted = traffic.table_counts(**tables)
+        return stored(counted.withColumn("stage", F.lit(stage)), "counts")
+
+    filled = counts("filled")
+    sinks.reset_tables(spark, database, f"{base}/tables", f"{base}/progress")
+    empty = counts("reset")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return filled.unionByName(empty)
+
+
+@query("failing_sink")
+def _failing_sink(spark, d):
+    """The event sink fails twice after writing; its stream goes on without loss or double rows."""
+    base, left = new_path(spark, "stream"), [2]
+    sinks.publish(_published(views.clicks_with_copies(spark, d)), path=f"{base}/messages")
+    rows = stream_tables.decoded_events(streams.stream_source(spark, f"{base}/messages"))
+
+    def store(batch, batch_id):
+        sinks.insert_events(batch, batch_id, f"{base}/out")
+        if left[0]:
+            left[0] -= 1
+            raise OSError("the sink went away")
+
+    def start():
+        return streams.run_available(stream_tables.to_sink(rows, store), f"{base}/checkpoint", wait=False)
+
+    restarts = supervise({"events": start}, delay_sec=0.1)
+    found = sinks.read_events(spark, f"{base}/out").select(*EVENT_KEY, "transaction_id")
+    return found.withColumn("restarts", F.lit(restarts["events"]))
+
+
+@query("results_csv")
+def _results_csv(spark, d):
+    """Two results with different columns appended to one CSV, then a third; one header, one layout."""
+    path = new_path(spark, "results")
+    runs = views.bench_runs(spark, d).selectExpr(
+        "date_format(timestamp_millis(ts_ms), \"yyyy-MM-dd'T'HH:mm:ss\") AS timestamp", "environment",
+        "impl AS consumer_impl", "partitions", "events_consumed", "duration_sec", "throughput AS throughput_events_sec",
+    )
+    sinks.append_results(
+        path, runs.filter("partitions = 1").drop("duration_sec"), runs.filter("partitions = 2").drop("throughput_events_sec")
+    )
+    sinks.append_results(path, runs.filter("partitions > 2").drop("environment"))
+    return files.scan_results_csv(spark, path).drop("timestamp")

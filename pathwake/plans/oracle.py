@@ -308,6 +308,7 @@ _SUMMARY = """count(*) AS batches, CAST(sum(batch_size) AS BIGINT) AS events,
         THEN avg(idle_ms) / (avg(poll_ms) + avg(commit_ms) + avg(idle_ms)) * 100 ELSE 0 END, 6)
         AS headroom"""
 
+SPLIT_MS = 1_705_406_400_000  # 2024-01-16 12:00:00
 STREAM_EVENTS = f"{_with(*_CLICKS)} SELECT timestamp, visitor_id, event, item_id FROM clicks"
 
 
@@ -637,7 +638,90 @@ def oracle_sql() -> dict[str, str]:
     sql["run_available"] = f"""{_with(*_CLICKS)}
         SELECT event, count(*) AS events, CAST(sum(item_id) AS BIGINT) AS item_sum
         FROM clicks GROUP BY event"""
-    sql["stream_dedup"] = STREAM_EVENTS
+    sql["stream_dedup"] = f"""{_with(*_COPIES)}
+        SELECT timestamp, visitor_id, event, item_id, transaction_id FROM first_copies"""
+    sql["stream_dedup_late"] = f"""{_with(*_COPIES)},
+        parts AS (SELECT *, timestamp < {SPLIT_MS} AND (timestamp // 3600000 + 1) * 3600000
+                <= (SELECT max(timestamp) FROM copies) - 16 * 86400000 AS late FROM copies)
+        SELECT 'late' AS part, event, count(*) AS events, CAST(sum(timestamp) AS BIGINT) AS time_sum,
+            CAST(sum(seq) AS BIGINT) AS seq_sum FROM parts WHERE late GROUP BY event
+        UNION ALL
+        SELECT 'first', event, count(*), CAST(sum(timestamp) AS BIGINT), CAST(sum(seq) AS BIGINT)
+        FROM (SELECT event, timestamp, min(seq) AS seq FROM parts WHERE NOT late
+              GROUP BY visitor_id, timestamp, event, item_id) GROUP BY event"""
+    items = "coalesce((SELECT string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) FROM unnest({}) AS t(i)), '')"
+    lists = ", ".join(f"{items.format(f's_{n}')} AS {n}" for n in ("items_viewed", "items_carted", "items_purchased"))
+    sql["stream_closed_sessions"] = f"""{_with(*_CLICKS, 'copies')},
+        gaps AS (SELECT *, timestamp - lag(timestamp) OVER w AS gap FROM copies
+                 WINDOW w AS (PARTITION BY visitor_id ORDER BY timestamp, seq)),
+        numbered AS (SELECT *, sum(CASE WHEN gap > 43200000 THEN 1 ELSE 0 END) OVER (
+                PARTITION BY visitor_id ORDER BY timestamp, seq ROWS UNBOUNDED PRECEDING) AS num FROM gaps),
+        made AS (SELECT visitor_id, min(timestamp) AS session_start, max(timestamp) AS session_end,
+                count(*) AS event_count, count(*) FILTER (event = 'view') AS view_count,
+                count(*) FILTER (event = 'addtocart') AS cart_count,
+                count(*) FILTER (event = 'transaction') AS transaction_count,
+                list(DISTINCT item_id) FILTER (event = 'view') AS s_items_viewed,
+                list(DISTINCT item_id) FILTER (event = 'addtocart') AS s_items_carted,
+                list(DISTINCT item_id) FILTER (event = 'transaction') AS s_items_purchased
+            FROM numbered GROUP BY visitor_id, num)
+        SELECT visitor_id, session_start, session_end, event_count, view_count, cart_count, transaction_count, {lists}
+        FROM made WHERE session_end + 43200001 <= (SELECT max(timestamp) FROM copies) - 86400000"""
+    sql["stream_late_events"] = f"""{_with(*_CLICKS)},
+        arrived AS (SELECT *, timestamp < {SPLIT_MS} AS late FROM clicks),
+        gaps AS (SELECT *, timestamp - lag(timestamp) OVER (
+                PARTITION BY visitor_id ORDER BY late, timestamp, seq) AS gap FROM arrived),
+        numbered AS (SELECT *, 1 + sum(CASE WHEN gap > 43200000 THEN 1 ELSE 0 END) OVER (
+                PARTITION BY visitor_id ORDER BY late, timestamp, seq ROWS UNBOUNDED PRECEDING) AS num FROM gaps)
+        SELECT visitor_id || '_' || num AS session_id, visitor_id,
+            make_timestamp(arg_min(timestamp, (late, timestamp, seq)) * 1000) AS session_start,
+            make_timestamp(max(timestamp) * 1000) AS session_end, count(*) AS event_count,
+            count(*) FILTER (event = 'view') AS view_count, count(*) FILTER (event = 'addtocart') AS cart_count,
+            count(*) FILTER (event = 'transaction') AS transaction_count
+        FROM numbered GROUP BY visitor_id, num"""
+    latest = f"""{_with(*_CLICKS)}, {sessions_views('clicks', 43200000)},
+        latest AS (SELECT * FROM sessions QUALIFY session_num = max(session_num) OVER (PARTITION BY visitor_id))"""
+    sql["stream_state"] = f"{latest} SELECT *, session_end AS last_activity FROM latest"
+    sql["stream_state_active"] = f"""{latest}
+        SELECT visitor_id, session_id, session_end AS last_activity, event_count FROM latest
+        WHERE session_end + 2 * 86400000 > (SELECT max(timestamp) FROM clicks) - 86400000"""
+    sql["stream_state_changes"] = f"""{_with(*_CLICKS)},
+        early AS (SELECT * FROM clicks WHERE timestamp < {SPLIT_MS}),
+        {sessions_views('early', 43200000, 'first_sessions')}, {sessions_views('clicks', 43200000)},
+        states AS (
+            SELECT 0 AS batch_id, visitor_id, event_count FROM first_sessions
+            QUALIFY session_num = max(session_num) OVER (PARTITION BY visitor_id)
+            UNION ALL SELECT 1, visitor_id, event_count FROM sessions
+            WHERE visitor_id IN (SELECT visitor_id FROM clicks WHERE timestamp >= {SPLIT_MS})
+            QUALIFY session_num = max(session_num) OVER (PARTITION BY visitor_id))
+        SELECT batch_id, 'update' AS change_type, count(*) AS visitors, CAST(sum(event_count) AS BIGINT) AS events
+        FROM states GROUP BY batch_id"""
+    sql["stream_progress"] = f"""{_with(*_CLICKS)}
+        SELECT 'clicks' AS group_id, n AS batch_size, n AS messages, count(*) AS batches
+        FROM (SELECT count(*) AS n FROM clicks GROUP BY seq % 105) GROUP BY n"""
+    sql["continuous_run"] = STREAM_EVENTS
+    sql["stream_csv_folder"] = f"""{_with(*_CLICKS)}
+        SELECT timestamp, visitor_id, event, item_id, nullif(transaction_id, 0) AS transaction_id,
+               make_timestamp(timestamp * 1000) AS event_time FROM clicks"""
+    sql["pipeline_tables"] = f"""{_with(*_CLICKS)}, {sessions_views('all_events', 43200000)},
+        keys AS (SELECT DISTINCT visitor_id, timestamp, event, item_id FROM clicks),
+        counts AS (
+            SELECT 'events' AS table_name, count(*) AS rows FROM keys
+            UNION ALL SELECT 'documents', count(*) FROM keys
+            UNION ALL SELECT 'sessions', count(*) FROM sessions
+            UNION ALL SELECT 'item_metrics', count(*) FROM (SELECT DISTINCT item_id FROM keys)
+            UNION ALL SELECT 'visitor_metrics', count(*) FROM (SELECT DISTINCT visitor_id FROM keys)
+            UNION ALL SELECT 'quarantine', count(*) FROM all_events WHERE event NOT IN ('view', 'addtocart', 'transaction'))
+        SELECT 'filled' AS stage, * FROM counts
+        UNION ALL SELECT 'reset', table_name, 0 FROM counts WHERE table_name NOT IN ('documents', 'quarantine')"""
+    sql["failing_sink"] = f"""{_with(*_COPIES)}
+        SELECT timestamp, visitor_id, event, item_id, transaction_id, 2 AS restarts FROM first_copies"""
+    sql["results_csv"] = f"""
+        SELECT {MS} - {MS} % 1000 AS ts_ms,
+            CASE WHEN user_id % 4 < 2 THEN CASE user_id % 2 WHEN 0 THEN 'local' ELSE 'cloud' END END AS environment,
+            event_type AS consumer_impl, 1 + user_id % 4 AS partitions, {K} * 100 AS events_consumed,
+            CASE WHEN user_id % 4 <> 0 THEN 1 + {K} END AS duration_sec,
+            CASE WHEN user_id % 4 <> 1 THEN CAST(floor(value * 100) AS BIGINT) END AS throughput_events_sec
+        FROM events"""
     sql["stream_events_table"] = f"""{_with(*_COPIES)}
         SELECT timestamp, visitor_id, event, item_id, transaction_id FROM first_copies"""
     sql["stream_sessions"] = sql["sessionize_copies"]

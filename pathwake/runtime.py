@@ -18,6 +18,8 @@ def configure(spark: SparkSession) -> SparkSession:
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
+    # A batch then commits what it changed in place of a snapshot, and its changes can be read.
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return spark
 
 

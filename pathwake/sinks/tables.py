@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pathwake.functions.columns import event_time
 from pathwake.operators.events import index_documents, insert_new_events
+from pathwake.operators.traffic import item_metrics, visitor_metrics
 from pathwake.schemas import (
     EVENT,
     EVENT_TABLE,
@@ -239,19 +240,56 @@ def append_results(path: str, first: DataFrame, *more: DataFrame) -> None:
     rows.write.mode("append").option("header", True).csv(path)
 
 
+PARTITIONED = {"events": "event_date"}  # of the tables below; others are replaced as a whole
+
+
 def create_tables(spark: SparkSession, database: str) -> None:
     """Create the tables of the data model where they do not exist."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, layout in TABLES.items():
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in layout)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")
+        parted = ""
+        if name in PARTITIONED:
+            columns += f", {PARTITIONED[name]} date"
+            parted = f" PARTITIONED BY ({PARTITIONED[name]})"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet{parted}")
+
+
+def fill_tables(
+    spark: SparkSession, database: str, folder: str, since: str | None = None
+) -> None:
+    """Bring the catalog's tables up to date with what streams have stored under ``folder``.
+
+    Events replace the dates they have, from ``since`` (a date) on if given; the other dates of
+    the table stay. Sessions and the metrics of items and visitors are replaced; these are
+    computed from the stored events and sessions.
+    """
+    events = read_events(spark, f"{folder}/events")
+    sessions = read_sessions(spark, f"{folder}/sessions")
+    rows = events if since is None else events.filter(F.col("event_date") >= F.lit(since).cast("date"))
+    timed = rows.withColumn("event_time", event_time(F.col("timestamp")))
+    # Only the dates that come with the rows are replaced.
+    (
+        timed.select(*EVENT_TABLE.names, "event_date").hint("rebalance", "event_date")
+        .write.option("partitionOverwriteMode", "dynamic").insertInto(f"{database}.events", overwrite=True)
+    )
+    replaced = {
+        "sessions": sessions,
+        "item_metrics": item_metrics(events),
+        "visitor_metrics": visitor_metrics(events, sessions),
+    }
+    for name, made in replaced.items():
+        made.select(*TABLES[name].names).write.insertInto(f"{database}.{name}", overwrite=True)
 
 
-def reset_tables(spark: SparkSession, database: str) -> None:
+def reset_tables(spark: SparkSession, database: str, *folders: str) -> None:
     """Drop the tables with their rows and create them empty.
 
-    Streams have to be started on a new checkpoint afterwards.
+    ``folders``, those of the stored tables and of the checkpoints, are removed too: a stream
+    started afterwards begins anew and finds nothing stored. No stream may run meanwhile.
     """
     for name in TABLES:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+    for folder in folders:
+        Files(spark, folder).remove(folder)
     create_tables(spark, database)

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from pathwake.functions.columns import event_time
 from pathwake.operators.sessions import TYPED
-from pathwake.schemas import EVENT_KEY, SESSION_TIMEOUT_MS, STATE
+from pathwake.schemas import SESSION_TIMEOUT_MS, STATE
 
 # A visitor's combined events of one task, as parallel lists.
 COMBINED = (
@@ -215,7 +215,36 @@ def stored_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     return store.select("value.*").select(*_NAMES)
 
 
-def stream_dedup(events: DataFrame, late_after: str = "1 day") -> DataFrame:
-    """First row per event key; keys are remembered for ``late_after`` of event time."""
-    timed = events.withColumn("event_time", event_time(F.col("timestamp")))
-    return timed.withWatermark("event_time", late_after).dropDuplicatesWithinWatermark(EVENT_KEY)
+def state_changes(spark: SparkSession, checkpoint: str, first_batch: int = 0) -> DataFrame:
+    """``(batch_id, change_type, visitor_id)`` and the session, for every change of state since a batch."""
+    store = (
+        spark.read.format("statestore").option("stateVarName", "session")
+        .option("readChangeFeed", True).option("changeStartBatchId", first_batch).load(checkpoint)
+    )
+    return store.select("batch_id", "change_type", F.col("key.visitor_id").alias("visitor_id"), F.col("value").alias("session"))
+
+
+def stream_closed_sessions(
+    events: DataFrame, timeout_ms: int = SESSION_TIMEOUT_MS, late_after: str = "1 day"
+) -> DataFrame:
+    """Each session once, when it can no longer change: an append-only stream.
+
+    A session is closed when event time, ``late_after`` behind the newest event, has passed its
+    last event by more than the timeout. Sessions have no numbers here and hold their items as
+    sorted sets. Spark drops rows whose session would be closed already; its progress reports
+    count them. :func:`stream_sessions` keeps them.
+    """
+    timed = events.withColumn("event_time", event_time(F.col("timestamp"))).withWatermark("event_time", late_after)
+    # A window ends where its gap ends, which is no longer part of it; an equal gap has to be.
+    window = F.session_window("event_time", f"{timeout_ms + 1} milliseconds")
+    typed = []
+    for kind, (counter, items) in TYPED.items():
+        typed += [
+            F.count_if(F.col("event") == kind).alias(counter),
+            F.array_sort(F.collect_set(F.when(F.col("event") == kind, F.col("item_id")))).alias(items),
+        ]
+    closed = timed.groupBy("visitor_id", window.alias("window")).agg(
+        F.min("timestamp").alias("session_start"), F.max("timestamp").alias("session_end"),
+        F.count("*").alias("event_count"), *typed,
+    )
+    return closed.drop("window")

@@ -64,15 +64,17 @@ def state_partitions(spark: SparkSession, number: int | None = None) -> Iterator
         spark.conf.set(key, before)
 
 
-def run_available(writer, checkpoint: str) -> StreamingQuery:
+def run_available(writer, checkpoint: str, wait: bool = True) -> StreamingQuery:
     """Process everything available now, then stop. Later calls go on from the checkpoint.
 
-    Readers with different checkpoints are independent and each sees the whole stream.
+    Readers with different checkpoints are independent and each sees the whole stream. Without
+    ``wait`` the query is returned while it runs.
     """
     query = (
         writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
-    query.awaitTermination()
+    if wait:
+        query.awaitTermination()
     return query
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from pathwake.sinks.tables import (
     quarantine_batch,
 )
 from pathwake.streaming.source import run_available
+from pathwake.streaming.supervision import supervise
+from pathwake.streaming.dedup import split_late, stream_dedup
 from pathwake.streaming.sessions import stream_sessions
 
 BatchSink = Callable[..., None]
@@ -82,6 +85,23 @@ def documents_writer(messages: DataFrame, path: str, stream_id: str = DEFAULT_ST
     return to_sink(decoded_events(messages), lambda b, i: index_batch(b, i, path, stream_id))
 
 
+def first_rows_writer(
+    messages: DataFrame, path: str, late_path: str, late_after: str = "1 day"
+):
+    """First rows per key to ``path``, rows that come too late to judge to ``late_path``."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for rows, target in zip(split_late(batch), (path, late_path), strict=True):
+                rows.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    first = stream_dedup(decoded_events(messages), late_after)
+    return first.writeStream.outputMode("append").foreachBatch(store)
+
+
 def quarantine_writer(messages: DataFrame, path: str, stream_id: str = DEFAULT_STREAM):
     """Set aside what the event table does not take, with reasons."""
     return to_sink(
@@ -104,7 +124,20 @@ def session_pipeline(
     Tables lie in subfolders of ``folder`` with these names, progress in those of
     ``checkpoints``. Returns what ``run`` gave for each.
     """
-    writers = {
+    writers = pipeline_writers(messages, folder, timeout_ms, ttl_ms, stream_id, late_after)
+    return [run(writer, f"{checkpoints}/{name}") for name, writer in writers.items()]
+
+
+def pipeline_writers(
+    messages: DataFrame,
+    folder: str,
+    timeout_ms: int = SESSION_TIMEOUT_MS,
+    ttl_ms: int | None = None,
+    stream_id: str = DEFAULT_STREAM,
+    late_after: str = "1 day",
+) -> dict:
+    """The writers of :func:`session_pipeline` by table."""
+    return {
         "events": events_writer(messages, f"{folder}/events", stream_id),
         "sessions": sessions_writer(
             messages, f"{folder}/sessions", timeout_ms, ttl_ms, stream_id, late_after
@@ -112,4 +145,16 @@ def session_pipeline(
         "documents": documents_writer(messages, f"{folder}/documents", stream_id),
         "quarantine": quarantine_writer(messages, f"{folder}/quarantine", stream_id),
     }
-    return [run(writer, f"{checkpoints}/{name}") for name, writer in writers.items()]
+
+
+def supervised_pipeline(messages: DataFrame, folder: str, checkpoints: str, attempts: int = 5, delay_sec: float = 1.0, **options) -> dict[str, int]:
+    """:func:`session_pipeline` with all four streams at once; one that fails is started again.
+
+    Each takes what is available and stops. Returns how often each was started again.
+    """
+    writers = pipeline_writers(messages, folder, **options)
+    starts = {
+        name: partial(run_available, writer, f"{checkpoints}/{name}", wait=False)
+        for name, writer in writers.items()
+    }
+    return supervise(starts, attempts, delay_sec)
