@@ -1,9 +1,12 @@
 """Benchmark decontamination: windows of benchmark words found in documents, in SQL expressions.
 
-The benchmark's windows are the hash set: of each window the hash of its first words is the
-key. A document is split into words once; hashes of neighbouring words are combined to the
-hashes of two and four words; positions whose hash is a key are looked up, and a hit counts
-only if all words of the window are equal. Documents are neither exploded nor shuffled as text.
+Each benchmark window has one 64-bit hash of all its words; these are the hash set. A document is
+split into words once; hashes of neighbouring words are combined to those of two, four and eight
+and then to those of whole windows. A bitmap of the set, which is part of the plan and bounded in
+size, passes over nearly all positions that are no hit; what it lets through is looked up by hash,
+and a hit counts only if all words are equal. Only these positions leave their document, each with
+the words of one window; texts are neither exploded nor shuffled. The plan is the same for a
+benchmark of any size.
 """
 
 from __future__ import annotations
@@ -14,13 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathwake.llm.hot import hot_keys, spread_join
-from pathwake.runtime import BROADCAST_ROWS, stored
+from pathwake.runtime import stored
 
 WINDOW = 13
 PART = 20  # contaminated: at least one word in 20 is hit
-ANCHOR = 4
-# Keys that are put into the plan as a set; a benchmark with more is joined by shuffle instead.
-MAX_KEYS = 20_000
+# Bits of the bitmap: so many a window, within these bounds (the upper one are 2 MB). A larger
+# benchmark lets more positions through, which the lookup by hash then rejects.
+BITS, LEAST_BITS, MOST_BITS = 64, 1 << 12, 1 << 24
 _END = 1 << 30
 # Fixed by the definition of a word: what separates words after lower-casing ASCII letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -38,100 +41,114 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(low, SEPARATORS), "")
 
 
-def _with_grams(df: DataFrame, sizes: set[int]) -> DataFrame:
-    """Columns g1..g4 with the hashes of so many consecutive words; element i starts at word i.
+def _grams(words: Column, sizes: set[int]) -> dict[int, Column]:
+    """Hashes of so many consecutive words; element i starts at word i.
 
     At the end of a text a gram lacks words; the comparison of words rejects such positions.
     """
 
-    def both(x: Column, y: Column) -> Column:
-        return F.xxhash64(x, y)
+    def joined(x: Column, size: int, y: Column) -> Column:
+        return F.zip_with(x, F.slice(y, size + 1, _END), lambda a, b: F.xxhash64(a, b))
 
-    df = df.withColumn("g1", F.transform("words", lambda w: F.xxhash64(w)))
-    if sizes - {1}:
-        df = df.withColumn("g2", F.zip_with("g1", F.slice("g1", 2, _END), both))
-    if 3 in sizes:
-        df = df.withColumn("g3", F.zip_with("g2", F.slice("g1", 3, _END), both))
-    if 4 in sizes:
-        df = df.withColumn("g4", F.zip_with("g2", F.slice("g2", 3, _END), both))
-    return df
+    doubled = {1: F.transform(words, lambda w: F.xxhash64(w))}
+    while 2 * max(doubled) <= max(sizes):
+        half = max(doubled)
+        doubled[2 * half] = joined(doubled[half], half, doubled[half])
+    found = {}
+    for size in sizes:
+        have = 0
+        for part in sorted(doubled, reverse=True):
+            if size - have >= part:
+                found[size] = doubled[part] if not have else joined(found[size], have, doubled[part])
+                have += part
+    return found
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``(window, size, anchor, key, items)``: distinct windows with the sorted ids of their items.
+    """``(size, key, windows)``: distinct windows with the sorted ids of their items, by hash.
 
-    An item of fewer than 13 words is one window; one without words has none.
+    An item of fewer than 13 words is one window; one without words has none. ``windows`` lists
+    (window, items), one but for equal hashes.
     """
     words = benchmark.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("words")).filter(F.size("words") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - WINDOW + 1))
     windows = words.select("item", F.explode(F.transform(starts, lambda i: F.slice("words", i, WINDOW))).alias("window"))
-    grouped = windows.groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    sized = grouped.withColumn("size", F.size("window")).withColumn("anchor", F.least(F.lit(ANCHOR), "size"))
-    grams = _with_grams(sized.withColumn("words", F.slice("window", 1, ANCHOR)), {1, 2, 3, 4})
-    key = F.when(F.col("anchor") == 1, F.col("g1")[0])
-    for n in (2, 3, 4):
-        key = key.when(F.col("anchor") == n, F.col(f"g{n}")[0])
-    return grams.select("window", "size", "anchor", key.alias("key"), "items")
+    grouped = windows.groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items")).withColumn("size", F.size("window"))
+    grams = _grams(F.col("window"), set(range(1, WINDOW + 1)))
+    key = F.when(F.col("size") == 1, grams[1][0])
+    for size in range(2, WINDOW + 1):
+        key = key.when(F.col("size") == size, grams[size][0])
+    keyed = grouped.select("size", key.alias("key"), F.struct("window", "items").alias("w"))
+    return keyed.groupBy("size", "key").agg(F.collect_list("w").alias("windows"))
 
 
-def _places(anchor: int, keys: list[int] | None) -> Column:
-    """Positions of a document whose gram is one of the keys; every position if there is no list."""
-    found = "true" if keys is None else f"x in ({', '.join(f'{k}L' if k > -(1 << 63) else 'bigint({})'.format(k) for k in keys)})"
-    return F.expr(f"array_compact(transform(g{anchor}, (x, i) -> if({found}, named_struct('anchor', {anchor}, 'key', x, 'at', i), null)))")
+def _bit(key: Column, shift: int) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), (F.shiftright(key, shift).bitwiseAND(63)).cast("int"))
 
 
-def find_windows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: its columns but ``text``, n_words, and ``hits``.
+def _mask(key: Column) -> Column:
+    """Two bits of one word of the bitmap stand for a key."""
+    return _bit(key, 52).bitwiseOR(_bit(key, 58))
+
+
+def bitmap(windows: DataFrame) -> tuple[Column, int]:
+    """The keys as a bitmap of 64-bit words, and their number. Only the words reach the driver."""
+    keys, bits = windows.count(), LEAST_BITS
+    while bits < min(MOST_BITS, BITS * keys):
+        bits *= 2
+    word = F.col("key").bitwiseAND(bits // 64 - 1)
+    rows = windows.groupBy(word.alias("word")).agg(F.bit_or(_mask(F.col("key"))).alias("bits")).collect()
+    words = [0] * (bits // 64)
+    for row in rows:
+        words[row["word"]] = row["bits"]
+    return F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>"), len(words)  # folded to one literal
 
-    ``hits`` lists (at, size, items) of every occurrence of a benchmark window, by position.
-    The result holds the columns of ``docs`` under ``doc`` so that no name can clash.
-    """
-    windows = stored(benchmark_windows(benchmark), "windows")
-    counts = {r["anchor"]: r["n"] for r in windows.groupBy("anchor").agg(F.count_distinct("key").alias("n")).collect()}
-    small = sum(counts.values()) <= MAX_KEYS
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns if c != "text"]).alias("doc"), words_of(docs["text"]).alias("words"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
-    if not small:
-        return _find_many(rows, windows, counts)
-    keys = {r["anchor"]: sorted(r["keys"]) for r in windows.groupBy("anchor").agg(F.collect_set("key").alias("keys")).collect()}
-    rows = _with_grams(rows, set(counts))
-    places = [_places(a, k) for a, k in sorted(keys.items())]
-    none = F.expr("cast(array() as array<struct<anchor: int, key: bigint, at: int>>)")
-    places = F.concat(none, *places)
-    placed = rows.select("row", "doc", "words", F.size("words").alias("n_words"), places.alias("places"))
-    placed = placed.select("row", "doc", "words", "n_words", F.explode_outer("places").alias("place"))
-    known = F.broadcast(windows).withColumnRenamed("anchor", "of").withColumnRenamed("key", "of_key")
-    joined = placed.join(known, (F.col("place.key") == F.col("of_key")) & (F.col("place.anchor") == F.col("of")), "left")
-    here = F.slice("words", F.col("place.at") + 1, F.col("size")) == F.col("window")
-    hit = F.when(F.col("place").isNotNull() & here, F.struct(F.col("place.at").alias("at"), "size", "items"))
-    return (
-        joined.select("row", "doc", "n_words", hit.alias("hit")).groupBy("row")
-        .agg(F.first("doc").alias("doc"), F.first("n_words").cast("long").alias("n_words"), F.array_sort(F.collect_list("hit")).alias("hits"))
-        .drop("row")
-    )
 
+def _places(size: int, grams: Column, words: int, filled: Column) -> Column:
+    """Positions of a document whose gram the bitmap holds."""
 
-def _find_many(rows: DataFrame, windows: DataFrame, counts: dict[int, int]) -> DataFrame:
-    """:func:`find_windows` for keys too many for the plan.
+    def place(key: Column, at: Column) -> Column:
+        mask = _mask(key)
+        held = F.get(filled, key.bitwiseAND(words - 1).cast("int")).bitwiseAND(mask) == mask
+        return F.when(held, F.struct(F.lit(size).alias("size"), key.alias("key"), at.alias("at")))
 
-    Positions are looked up without words; those of a key get the words of one window each.
+    return F.array_compact(F.transform(grams, place))
+
+
+def find_windows(docs: DataFrame, benchmark: DataFrame, text: bool = False) -> DataFrame:
+    """One row per row of ``docs``: ``doc``, n_words, and ``hits``.
+
+    ``hits`` lists (at, size, items) of every occurrence of a benchmark window, by position.
+    ``doc`` holds the columns of ``docs``, so that no name can clash; ``text`` only if asked for.
     """
-    at_key = ["anchor", "key"]
-    rows = stored(rows, "rows")
-    places = F.concat(*[_places(a, None) for a in sorted(counts)])
-    positions = _with_grams(rows, set(counts)).select("row", F.explode(places).alias("place")).select("row", "place.*")
-    keys = windows.select(*at_key).distinct()
-    keys = F.broadcast(keys) if sum(counts.values()) <= BROADCAST_ROWS else keys
-    found = stored(positions.join(keys, at_key, "left_semi"), "places")
-    by_row = found.groupBy("row").agg(F.collect_list(F.struct(*at_key, "at")).alias("places"))
-    here = F.transform("places", lambda p: F.struct(*[p[c].alias(c) for c in (*at_key, "at")], F.slice("words", p["at"] + 1, WINDOW).alias("here")))
-    placed = rows.join(by_row, "row").select("row", F.explode(here).alias("place")).select("row", "place.*")
-    frequent = hot_keys(found.groupBy(*at_key).agg(F.count("*").alias("n")), at_key)
-    joined = spread_join(placed, windows, at_key, frequent, F.col("row")).filter(F.slice("here", 1, F.col("size")) == F.col("window"))
-    hits = joined.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "size", "items"))).alias("hits"))
+    windows = stored(benchmark_windows(benchmark), "windows")
+    filled, length = bitmap(windows)
+    sizes = {r["size"] for r in windows.select("size").distinct().collect()}  # 13 at most
+    words = F.col("words")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns if text or c != "text"]).alias("doc"), words_of(docs["text"]).alias("words"))
+    places = F.expr("cast(array() as array<struct<size: int, key: bigint, at: int>>)")
+    if sizes:
+        grams = _grams(words, sizes)
+        places = F.concat(places, *[_places(s, grams[s], length, filled) for s in sorted(sizes)])
+    here = F.transform(
+        "places", lambda p: F.struct(p["size"].alias("size"), p["key"].alias("key"), p["at"].alias("at"), F.slice(words, p["at"] + 1, p["size"]).alias("here"))
+    )
+    marked = rows.withColumn("places", places).select("doc", F.size("words").cast("long").alias("n_words"), here.alias("places"))
+    # Numbered as stored, so a repeated task finds the same numbers.
+    marked = stored(marked, "marked").withColumn("row", F.monotonically_increasing_id())
+    some = marked.filter(F.size("places") > 0)
+    at_key = ["size", "key"]
+    each = some.select("row", F.explode("places").alias("place")).select("row", "place.*")
+    frequent = hot_keys(each.groupBy(*at_key).agg(F.count("*").alias("n")), at_key)
+    found = spread_join(each, windows, at_key, frequent, F.col("row"))
+    equal = F.filter("windows", lambda w: w["window"] == F.col("here"))
+    hits = (
+        found.withColumn("equal", equal).filter(F.size("equal") > 0)
+        .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "size", F.col("equal")[0]["items"].alias("items")))).alias("hits"))
+    )
     none = F.array().cast(hits.schema["hits"].dataType)
-    counted = rows.select("row", "doc", F.size("words").cast("long").alias("n_words"))
-    return counted.join(hits, "row", "left").select("doc", "n_words", F.coalesce("hits", none).alias("hits"))
+    with_hits = some.select("row", "doc", "n_words").join(hits, "row", "left").select("doc", "n_words", F.coalesce("hits", none).alias("hits"))
+    return marked.filter(F.size("places") == 0).select("doc", "n_words", none.alias("hits")).union(with_hits)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -183,9 +200,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with every hit word, and the separators after it, cut out of ``text``."""
-    marked = docs.withColumn("_text", F.col("text"))
-    found = find_windows(marked, benchmark)
-    text = F.col("doc._text")
+    found = find_windows(docs, benchmark, text=True)
+    text = F.col("doc.text")
     pieces = F.regexp_extract_all(text, F.lit(_PIECE), F.lit(1))
     clean = F.array_join(
         F.filter(pieces, lambda _, i: ~F.exists("hits", lambda h: (h["at"] <= i) & (i < h["at"] + h["size"]))), ""

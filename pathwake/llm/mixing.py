@@ -128,13 +128,18 @@ def _literal(name: str | None) -> str:
     return "decode(unhex('" + name.encode().hex() + "'), 'UTF-8')"
 
 
+def _placed(docs: DataFrame, weights: Mapping[str | None, int] | None, block_docs: int) -> DataFrame:
+    """``doc``, the columns of ``docs``, with ``slot`` and ``place``; no name of ``docs`` can clash."""
+    order = mixture(docs.select("doc_id", "source"), weights, block_docs).select("doc_id", "source", "slot", "place")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"))
+    same = F.col("doc.doc_id").cast("long").eqNullSafe(F.col("doc_id")) & F.col("doc.source").cast("string").eqNullSafe(F.col("source"))
+    return rows.join(order, same, "left").select("doc", "slot", "place")
+
+
 def mixed(docs: DataFrame, weights: Mapping[str | None, int] | None = None, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """``docs`` with ``slot`` and ``place`` as the columns ``_slot`` and ``_place``."""
-    order = mixture(docs, weights, block_docs).select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("slot").alias("_slot"), F.col("place").alias("_place")
-    )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.col("source").cast("string").eqNullSafe(F.col("_source"))
-    return docs.join(order, same, "left").drop("_id", "_source")
+    """``docs`` with ``slot`` and ``place`` as the columns ``_slot`` and ``_place``, in place of such columns."""
+    kept = [f"doc.`{c}`" for c in docs.columns if c not in ("_slot", "_place")]
+    return _placed(docs, weights, block_docs).select(*kept, F.col("slot").alias("_slot"), F.col("place").alias("_place"))
 
 
 def in_mixture_order(docs: DataFrame, weights: Mapping[str | None, int] | None = None, block_docs: int = BLOCK_DOCS) -> DataFrame:
@@ -142,5 +147,6 @@ def in_mixture_order(docs: DataFrame, weights: Mapping[str | None, int] | None =
 
     Partitions, and so the files of a later write, are ranges of slots in ascending order.
     """
-    order = ["_slot", "_place", "doc_id"]
-    return mixed(docs, weights, block_docs).repartitionByRange(*order).sortWithinPartitions(*order).drop("_slot", "_place")
+    order = ["slot", "place", "doc.doc_id"]
+    laid = _placed(docs, weights, block_docs).repartitionByRange(*order).sortWithinPartitions(*order)
+    return laid.select("doc.*")

@@ -391,31 +391,32 @@ def brute_contamination(rows, items):
     return out
 
 
-@pytest.mark.parametrize("keys", [decontaminate.MAX_KEYS, 0])
-def test_contamination(spark, table, monkeypatch, keys):
-    monkeypatch.setattr(decontaminate, "MAX_KEYS", keys)
+@pytest.mark.parametrize("bits", [decontaminate.MOST_BITS, 64])
+def test_contamination(spark, table, monkeypatch, bits):
+    """A bitmap of one word lets nearly everything through; results are the same."""
+    monkeypatch.setattr(decontaminate, "LEAST_BITS", min(bits, decontaminate.LEAST_BITS))
+    monkeypatch.setattr(decontaminate, "MOST_BITS", bits)
     items = [(1, "one two three"), (2, "the LAZY dog"), (3, None), (4, "?!"), (10, " ".join(f"n{i}" for i in range(30))), (None, "it jumps"), (2, "the LAZY dog"), (5, "é"), (6, "quick brown fox it")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     extra = spark.createDataFrame([(50, " ".join(f"n{i}" for i in range(5, 25)), None, None, 0, 0, 0, "")], SCHEMA)
     docs = table.union(extra)
     want = brute_contamination(pairs(docs), items)
     same([tuple(r) for r in decontaminate.contamination(docs, bench).collect()], want)
-    bad = {d for d, *_, c in want if c}
-    assert {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()} == {d for d, _ in pairs(docs)} - bad
+    clean = [p for p in pairs(docs) if not brute_contamination([p], items)[0][-1]]
+    same(pairs(decontaminate.drop_contaminated(docs, bench)), clean)
     cut = decontaminate.remove_spans(docs, bench)
     assert cut.columns == docs.columns
     assert {r.doc_id: r.text for r in cut.collect()}[6] == ""
     assert [tuple(r) for r in decontaminate.contamination(docs, bench.limit(0)).filter("n_hit > 0").collect()] == []
 
 
-def test_large_benchmark_keeps_words_out_of_the_join(spark, documents, monkeypatch):
+def test_positions_leave_a_text_without_it(spark):
     """No row of a position holds all words of its text, so the work does not grow with their square."""
-    monkeypatch.setattr(decontaminate, "MAX_KEYS", 0)
-    bench = spark.createDataFrame([(1, "alpha beta gamma delta"), (2, " ".join(f"w{i}" for i in range(500, 520)))], "item_id long, text string")
+    bench = spark.createDataFrame([(1, "alpha beta gamma delta"), (2, " ".join(f"w{i}" for i in range(500, 520))), (3, "the")], "item_id long, text string")
     words = [f"w{i}" for i in range(20_000)]
-    docs = spark.createDataFrame([(i, " ".join(words) + " alpha beta gamma delta") for i in range(40)], "doc_id long, text string")
+    docs = spark.createDataFrame([(i, " ".join(words) + " alpha beta gamma delta" + " the" * 5000) for i in range(20)], "doc_id long, text string")
     found = decontaminate.contamination(docs, bench)
-    assert [(r.n_words, r.n_hit, r.n_items) for r in found.collect()] == [(20_004, 24, 2)] * 40
+    assert [(r.n_words, r.n_hit, r.n_items) for r in found.collect()] == [(25_004, 5024, 3)] * 20
     nodes = [found._jdf.queryExecution().optimizedPlan()]
     for node in nodes:
         nodes += [node.children().apply(i) for i in range(node.children().size())]
@@ -423,6 +424,22 @@ def test_large_benchmark_keeps_words_out_of_the_join(spark, documents, monkeypat
         assert node.nodeName() != "Generate" or "words" not in names
 
 
+def test_a_large_benchmark_takes_the_same_plan(spark):
+    """50,000 items, a million windows."""
+    bench = spark.range(50_000).selectExpr("id as item_id", "array_join(transform(sequence(0, 31), i -> concat('q', id * 7 + i)), ' ') as text")
+    docs = spark.range(300).selectExpr("id as doc_id", "array_join(transform(sequence(0, 999), i -> concat('z', id * 1000 + i)), ' ') as text")
+    hit = spark.createDataFrame([(1000, "a b " + " ".join(f"q{700 + i}" for i in range(20)) + " c d")], "doc_id long, text string")
+    found = {r.doc_id: r for r in decontaminate.contamination(docs.union(hit), bench).collect()}
+    assert len(found) == 301 and found[1000].n_hit == 20 and sum(r.n_hit for r in found.values()) == 20
+
+
+def test_names_do_not_clash(spark):
+    bench = spark.createDataFrame([("q", "one two three four")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "a one two three four b", "mine", 5)], "doc_id long, text string, _text string, row int")
+    row = decontaminate.remove_spans(docs, bench).first()
+    assert (row.text, row._text, row.row) == ("a b", "mine", 5)
+
+
 # -- secrets --------------------------------------------------------------------------------
 
 
