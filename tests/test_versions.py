@@ -90,19 +90,23 @@ def test_sessions_do_not_depend_on_how_versions_were_grouped(spark, tmp_path, se
 
 def test_lookups_read_only_the_dates_and_times_of_the_batch(spark, tmp_path):
     path = f"{tmp_path}/events"
-    many = spark.range(1000).selectExpr(
+    many = spark.range(150).selectExpr(
         f"id * {DAY} as timestamp", "1L as visitor_id", "'view' as event", "1L as item_id", "id as transaction_id", "id as seq")
     K.insert_events(many, 0, path)
     table = K.event_table(spark, path)
     table.fold()
-    K.insert_events(batch(spark, (5 * DAY, 0), (5 * DAY + 1, 0), (900 * DAY, 0)), 1, path)
-    assert table.read().count() == 1001
+    K.insert_events(batch(spark, (5 * DAY, 0), (5 * DAY + 1, 0), (140 * DAY, 0)), 1, path)
+    assert table.read().count() == 151
     again = batch(spark, (5 * DAY, 0), (7 * DAY + 5, 0))
     lookup = K.stored_keys(again, table.rows()).select(*EVENT_KEY)
+    length = "spark.sql.maxMetadataStringLength"
+    before = spark.conf.get(length)
+    spark.conf.set(length, "10000")
     text = lookup._jdf.queryExecution().executedPlan().toString()
-    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters: \[(.*?)\]", text, re.S)
-    assert "event_date" in filters.group(1) and "1970-01-06" in text
-    assert f"GreaterThanOrEqual(timestamp,{5 * DAY})" in filters.group(2)
+    spark.conf.set(length, before)
+    pruned, pushed = (re.search(rf"{kind}Filters: (.*)", text).group(1) for kind in ("Partition", "Pushed"))
+    assert "event_date" in pruned.split("PushedFilters")[0] and "1970-01-06" in pruned
+    assert f"GreaterThanOrEqual(timestamp,{5 * DAY})" in pushed
     files = {r[0].rsplit("event_date=", 1)[1][:10] for r in lookup.select(F.input_file_name()).collect()}
     assert files == {"1970-01-06"}
     lookup.collect()
