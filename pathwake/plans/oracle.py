@@ -665,7 +665,7 @@ def oracle_sql() -> dict[str, str]:
                 list(DISTINCT item_id) FILTER (event = 'transaction') AS s_items_purchased
             FROM numbered GROUP BY visitor_id, num)
         SELECT visitor_id, session_start, session_end, event_count, view_count, cart_count, transaction_count, {lists}
-        FROM made WHERE session_end + 43200001 <= (SELECT max(timestamp) FROM copies) - 86400000"""
+        FROM made WHERE session_end + 43200000 <= (SELECT max(timestamp) FROM copies) - 86400000"""
     sql["stream_late_events"] = f"""{_with(*_CLICKS)},
         arrived AS (SELECT *, timestamp < {SPLIT_MS} AS late FROM clicks),
         gaps AS (SELECT *, timestamp - lag(timestamp) OVER (

@@ -268,11 +268,15 @@ def fill_tables(
     sessions = read_sessions(spark, f"{folder}/sessions")
     rows = events if since is None else events.filter(F.col("event_date") >= F.lit(since).cast("date"))
     timed = rows.withColumn("event_time", event_time(F.col("timestamp")))
-    # Only the dates that come with the rows are replaced.
-    (
-        timed.select(*EVENT_TABLE.names, "event_date").hint("rebalance", "event_date")
-        .write.option("partitionOverwriteMode", "dynamic").insertInto(f"{database}.events", overwrite=True)
-    )
+    # Only the dates that come with the rows are replaced; tables of the catalog go by the setting.
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        days = timed.select(*EVENT_TABLE.names, "event_date").hint("rebalance", "event_date")
+        days.write.insertInto(f"{database}.events", overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
     replaced = {
         "sessions": sessions,
         "item_metrics": item_metrics(events),

@@ -230,13 +230,13 @@ def stream_closed_sessions(
     """Each session once, when it can no longer change: an append-only stream.
 
     A session is closed when event time, ``late_after`` behind the newest event, has passed its
-    last event by more than the timeout. Sessions have no numbers here and hold their items as
+    last event by the timeout. Sessions have no numbers here and hold their items as
     sorted sets. Spark drops rows whose session would be closed already; its progress reports
     count them. :func:`stream_sessions` keeps them.
     """
     timed = events.withColumn("event_time", event_time(F.col("timestamp"))).withWatermark("event_time", late_after)
-    # A window ends where its gap ends, which is no longer part of it; an equal gap has to be.
-    window = F.session_window("event_time", f"{timeout_ms + 1} milliseconds")
+    # Windows that touch are one, so an equal gap stays in the session.
+    window = F.session_window("event_time", f"{timeout_ms} milliseconds")
     typed = []
     for kind, (counter, items) in TYPED.items():
         typed += [
