@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pathwake.llm.arrays import ASCII_LOWER, SPACES, U64, mix, sequence_hashes, span_hashes, text_slices, word_spans
+from pathwake.llm.hot import hot_keys, spread_join
+from pathwake.runtime import stored
 
 RUN_WORDS = 25
 LONG_SENTENCE = 50
@@ -177,8 +179,10 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     keyed = rows.withColumn("id", F.coalesce("doc_id", F.lit(least))).withColumn("check", F.hash("text"))
     runs = keyed.select("id", "check", "text").mapInArrow(_run_batches, "high bigint, low bigint, id bigint, check int, place int")
     # Combined before the shuffle; a run that is everywhere is one row of each task.
-    firsts = runs.groupBy("high", "low").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("high", "low", "first")
-    again = runs.join(firsts, ["high", "low"]).filter("id > first")
+    keys = ["high", "low"]
+    counted = runs.groupBy(*keys).agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"))
+    firsts = stored(counted.filter("first < last").select(*keys, "first", "n"), "firsts")
+    again = spread_join(runs, firsts.drop("n"), keys, hot_keys(firsts, keys), F.col("id")).filter("id > first")
     marks = again.groupBy("id", "check").agg(F.collect_set("place").alias("places"))
     marked = keyed.join(marks, ["id", "check"], "left").select("doc_id", "text", "places")
     return marked.mapInArrow(_cut_batches, "doc_id bigint, n_sentences bigint, n_removed bigint, spans string, text string")

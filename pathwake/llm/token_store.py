@@ -31,6 +31,7 @@ from pathwake.runtime import new_path
 CHUNK_BITS = 8
 RANK_BLOCK = 512
 SEGMENT_IDS = 1 << 18
+STRETCH = 1 << 16  # ids whose positions are looked up together
 # Distinct pieces whose ids a Python worker remembers; beyond this it forgets all and goes on.
 REMEMBERED = 1_000_000
 END_ID = 2
@@ -270,27 +271,36 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 def tokens_at(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     """``(doc_id, at, id)`` for each row of ``wanted(doc_id, at)``; only those codes are read.
 
-    A position outside its document, and a document that is not stored, give no row.
+    A position outside its document, and a document that is not stored, give no row. Positions
+    of a stretch of ``STRETCH`` ids are looked up together, so its segment's codes travel once.
     """
     store = spark.read.schema(STORE).parquet(path)
-    places = F.transform("lengths", lambda _, i: F.aggregate(F.slice("lengths", F.lit(1), i), F.lit(0).cast("long"), lambda a, x: a + x))
-    index = store.select("shard", "segment", F.explode(F.arrays_zip("doc_ids", "lengths", places.alias("places"))).alias("d"))
-    index = index.select("shard", "segment", F.col("d.doc_ids").alias("doc_id"), F.col("d.lengths").alias("length"), F.col("d.places").alias("place"))
-    asked = index.join(wanted.select("doc_id", "at"), "doc_id").filter("at >= 0 and at < length")
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                docs, lengths = batch.column(2)[i].values, batch.column(3)[i].values.to_numpy()
+                begins = np.cumsum(lengths) - lengths
+                one = [pa.array(np.full(len(docs), batch.column(c)[i].as_py())) for c in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*one, docs, pa.array(lengths, pa.int64()), pa.array(begins, pa.int64())], names=["shard", "segment", "doc_id", "length", "place"])
+
+    index = store.select(F.col("shard").cast("long"), F.col("segment").cast("long"), "doc_ids", "lengths").mapInArrow(
+        places, "shard bigint, segment bigint, doc_id bigint, length bigint, place bigint"
+    )
+    wanted = wanted.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("at").cast("long").alias("at"))
+    asked = index.join(wanted, "doc_id").filter("at >= 0 and at < length").withColumn("place", F.col("place") + F.col("at"))
+    together = asked.groupBy("shard", "segment", F.expr(f"place div {STRETCH}").alias("stretch")).agg(F.collect_list(F.struct("doc_id", "at", "place")).alias("asked"))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, at, place, codes = batch.columns
-            found, last, reader = [], None, None
             for i in range(batch.num_rows):
-                data = codes[i].as_py()
-                if data is not last:
-                    last, reader = data, Codes(data)
-                found.append(reader.at(place[i].as_py() + at[i].as_py()))
-            yield pa.RecordBatch.from_arrays([names, at, pa.array(found, pa.int64())], names=["doc_id", "at", "id"])
-
-    joined = asked.join(store.select("shard", "segment", "codes"), ["shard", "segment"])
-    return joined.select(F.col("doc_id").cast("long"), F.col("at").cast("long"), F.col("place").cast("long"), "codes").mapInArrow(look, "doc_id bigint, at bigint, id bigint")
+                reader, rows = Codes(batch.column(1)[i].as_py()), batch.column(0)[i].values
+                names, at, place = (rows.field(c) for c in ("doc_id", "at", "place"))
+                found = [reader.at(x) for x in place.to_pylist()]
+                yield pa.RecordBatch.from_arrays([names, at, pa.array(found, pa.int64())], names=["doc_id", "at", "id"])
+
+    joined = together.join(store.select("shard", "segment", "codes"), ["shard", "segment"])
+    return joined.select("asked", "codes").mapInArrow(look, "doc_id bigint, at bigint, id bigint")
 
 
 def stored_tokens(docs: DataFrame, vocabulary: str, order: tuple[str, ...] = ("doc_id",)) -> DataFrame:
