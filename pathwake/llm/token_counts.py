@@ -14,6 +14,12 @@ that ends a prefix agrees with the last token before it; two tokens agree if und
 merges, the latest first, never shows a pair across the border that would have been merged
 earlier. A transition adds the count before that token plus one; the transition that ends a
 word uses the tokens with the word-end mark. All new words of a slice step together.
+
+A transition looks back no further than the longest token, so two runs that agree on so many
+prefixes in a row, and differ by one number in all their counts, go on alike. A long word is read
+in chunks side by side, each from some way before its start as if a word began there. Where
+neighbours agree up to the border, a chunk's map takes every state before it to the same state
+and adds to the count what the border shows; the sums over the borders compose the maps.
 """
 
 from __future__ import annotations
@@ -34,6 +40,9 @@ SLICE_CHARS = 1 << 20
 CHUNK = 512
 # Distinct words whose counts a Python worker remembers; beyond this it forgets all and goes on.
 REMEMBERED = 1_000_000
+# Ways before a chunk of a long word, tried in order: multiples of many small numbers, so that
+# words that repeat a piece fall into step too. A word that never does is read in one go.
+OVERLAPS = (1680, 6720, 26880)
 
 # Classes of characters. S, R, V, L, E are letters that contractions are made of.
 SPACE, LETTER, NUMBER, SIGN, QUOTE, S, R, V, L, E = range(10)
@@ -169,6 +178,7 @@ class WordCounter:
                     final.append(-1)
                 node = edges[key]
             (final if ends else inner)[node] = token
+        self.longest = max((len(text) for text in vocabulary), default=1)
         self.edge_keys = np.array(sorted(edges), dtype=np.int64)
         self.edge_to = np.array([edges[k] for k in self.edge_keys.tolist()], dtype=np.int64)
         self.inner, self.final = np.array(inner), np.array(final)
@@ -216,16 +226,43 @@ class WordCounter:
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         out = np.zeros(len(words), dtype=np.int64)
         order = np.argsort(lengths, kind="stable")
-        at = 0
+        at, long = 0, int((lengths > 3 * OVERLAPS[0]).sum())
+        for i in order[len(order) - long:].tolist():
+            out[i] = self._long(words[i])
+        order = order[:len(order) - long]
         while at < len(order):  # words of similar length step together
             top = max(16, 2 * int(lengths[order[at]]))
             to = int(np.searchsorted(lengths[order], top, side="right"))
             part = order[at:to]
-            out[part] = self._counts([words[i] for i in part], lengths[part])
+            out[part] = self._steps([words[i] for i in part], lengths[part], np.ones(len(part), dtype=bool))[2]
             at = to
         return out
 
-    def _counts(self, words: list[bytes], lengths: np.ndarray) -> np.ndarray:
+    def _long(self, word: bytes) -> int:
+        for overlap in OVERLAPS:
+            if len(word) > 3 * overlap and (found := self._scanned(word, 2 * overlap, overlap)) is not None:
+                return found
+        return int(self._steps([word], np.array([len(word)]), np.ones(1, dtype=bool))[2][0])
+
+    def _scanned(self, word: bytes, chunk: int, overlap: int) -> int | None:
+        """Count of a word read in chunks; None if neighbours disagree at a border."""
+        starts = np.arange(0, len(word), chunk)
+        begins = np.maximum(starts - overlap, 0)
+        ends = np.minimum(starts + chunk, len(word))
+        closed = ends == len(word)
+        last, before, total = self._steps([word[a:b] for a, b in zip(begins, ends, strict=True)], ends - begins, closed)
+        count = 0
+        for c in range(1, len(starts)):
+            border = np.arange(starts[c] - self.longest, starts[c] + 1)
+            ahead, here = border - begins[c - 1], border - begins[c]
+            added = before[c - 1, ahead] - before[c, here]
+            if (last[c - 1, ahead] != last[c, here]).any() or (added != added[0]).any():
+                return None
+            count += int(added[0])
+        return count + int(total[-1])
+
+    def _steps(self, words: list[bytes], lengths: np.ndarray, closed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Last token and count for each prefix, and the counts of words that are ``closed``."""
         width = int(lengths.max(initial=0))
         matrix = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(len(words), width)
         last = np.zeros((len(words), width + 1), dtype=np.int64)
@@ -239,7 +276,7 @@ class WordCounter:
             at = np.minimum(np.searchsorted(self.edge_keys, keys), len(self.edge_keys) - 1)
             go = self.edge_keys[at] == keys
             alive = np.stack([alive[0][go], alive[1][go], self.edge_to[at[go]]])
-            ending = lengths[alive[0]] == i + 1
+            ending = (lengths[alive[0]] == i + 1) & closed[alive[0]]
             for table, here in ((self.inner, ~ending), (self.final, ending)):
                 tokens = table[alive[2]]
                 some = np.flatnonzero(here & (tokens >= 0))
@@ -250,7 +287,7 @@ class WordCounter:
                     last[w, i + 1], before[w, i + 1] = tokens, before[w, begin] + 1
                 else:
                     total[w] = before[w, begin] + 1
-        return total
+        return last, before, total
 
 
 class TokenCounter:
@@ -342,7 +379,9 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
 
     Defined for every input: null reads as empty, with no bytes and no tokens; special tokens'
     strings inside a text count one each; repeated rows give equal rows; an empty table gives
-    an empty result; columns other than doc_id and text are not read.
+    an empty result; columns other than doc_id and text are not read. A text is read whole; a
+    task holds about ``SLICE_CHARS`` characters or one longer text, and for a long word some
+    thirty bytes a byte of it.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), token_count(text, path).alias("n_tokens"))
