@@ -250,3 +250,36 @@ def batch_summary(
             "headroom": F.when(loop > 0, F.col("avg_idle_ms") / loop * 100).otherwise(F.lit(0.0)),
         }
     ).drop("elapsed")
+
+
+def batch_report(
+    batches: DataFrame,
+    rebalances: DataFrame,
+    max_poll_ms: int = MAX_POLL_INTERVAL_MS,
+    limit: float = SLOPE_LIMIT,
+    block: int = BLOCK_ROWS,
+) -> DataFrame:
+    """The closing report of each reader: lifetime figures, worst proximity, rebalances, trends.
+
+    ``trends`` lists the stages that rise by more than ``limit`` ms per batch over the latest
+    hundred, in their order, as ``stage first > last`` in whole milliseconds. ``sessions`` is
+    the number of sessions written, 0 where ``batches`` has no such column.
+    """
+    written = F.sum("sessions") if "sessions" in batches.columns else F.lit(0).cast("bigint")
+    worst = batches.groupBy(*READER).agg(
+        F.max(_proximity(max_poll_ms)).alias("max_poll_proximity"), F.coalesce(written, F.lit(0)).alias("sessions")
+    )
+    moved = rebalances.groupBy(*READER).agg(F.count("*").alias("rebalances"))
+    text = F.concat(
+        "stage", F.lit(" "), F.floor("first_ms").cast("string"), F.lit(" > "), F.floor("last_ms").cast("string")
+    )
+    rising = stage_slopes(batches).filter(F.col("slope") > limit)
+    trends = rising.groupBy(*READER).agg(
+        F.array_sort(F.collect_list(F.struct("stage_order", text.alias("text")))).alias("t")
+    ).select(*READER, F.array_join("t.text", " | ").alias("trends"))
+    joined = (
+        batch_summary(batches, None, block).join(worst, READER).join(moved, READER, "left").join(trends, READER, "left")
+    )
+    return joined.withColumns(
+        {"rebalances": F.coalesce("rebalances", F.lit(0)), "trends": F.coalesce("trends", F.lit(""))}
+    )

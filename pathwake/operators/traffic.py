@@ -159,13 +159,14 @@ def event_type_breakdown(events: DataFrame, size: int = 5) -> DataFrame:
 
 def events_over_time(
     events: DataFrame,
-    interval: str = "1 hour",
+    interval: str | None = "1 hour",
     start: str | None = None,
     end: str | None = None,
 ) -> DataFrame:
     """Events per time bucket within ``[start, end]``; empty buckets do not appear.
 
-    Works on streams too. ``interval`` is any duration ``window`` takes.
+    Works on streams too. ``interval`` is any duration ``window`` takes; None chooses it from
+    the range, of which a side that is not given is looked up in the events.
     """
 
     def ms(text: str) -> Column:  # a constant, so the filter reaches the scan
@@ -175,6 +176,12 @@ def events_over_time(
         events = events.filter(F.col("timestamp") >= ms(start))
     if end is not None:
         events = events.filter(F.col("timestamp") <= ms(end))
+    if interval is None:
+        low, high = (events.sparkSession.range(1).select(ms(t)).first()[0] if t is not None else None for t in (start, end))
+        if low is None or high is None:
+            first, last = events.agg(F.min("timestamp"), F.max("timestamp")).first()
+            low, high = (first or 0) if low is None else low, (last or 0) if high is None else high
+        interval = auto_interval(low, high)
     timed = events.select(event_time(F.col("timestamp")).alias("event_time"))
     buckets = timed.groupBy(F.window("event_time", interval).alias("w"))
     return buckets.agg(F.count("*").alias("events")).select(

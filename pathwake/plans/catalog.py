@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pathwake.functions.columns import json_rows
 from pathwake.operators import batches, benchmarks, events, lag, messages, replay, sessions, traffic
 from pathwake.plans.overview import status_overview
 from pathwake.runtime import new_path, stored
@@ -228,6 +229,11 @@ query("event_type_bars")(
 query("events_over_time")(
     lambda spark, d: flat(traffic.events_over_time(views.clicks(spark, d)))
 )
+query("events_over_time_auto")(
+    lambda spark, d: flat(
+        traffic.events_over_time(views.clicks(spark, d), None, "2024-01-05", "2024-01-12")
+    )
+)
 query("events_over_time_range")(
     lambda spark, d: flat(
         traffic.events_over_time(
@@ -277,6 +283,10 @@ query("topic_message_counts")(
 query("lag_history")(
     lambda spark, d: flat(lag.lag_history(views.lag_samples(spark, d), None))
 )
+query("lag_json")(lambda spark, d: json_rows(lag.consumer_lag(*_offsets(spark, d))))
+query("lag_history_json")(
+    lambda spark, d: json_rows(lag.lag_history(views.lag_samples(spark, d), None))
+)
 query("lag_history_window")(
     lambda spark, d: flat(lag.lag_history(views.lag_samples(spark, d), DAY))
 )
@@ -371,6 +381,15 @@ SUMMARY = {
 query("batch_summary")(
     lambda spark, d: rounded(batches.batch_summary(views.batch_metrics(spark, d), DAY_MS), SUMMARY)
 )
+
+
+@query("batch_report")
+def _batch_report(spark, d):
+    written = views.batch_metrics(spark, d).withColumn("sessions", F.expr("batch_size div 2"))
+    report = batches.batch_report(written, views.rebalances(spark, d), POLL_LIMIT_MS, 0.02)
+    return rounded(report, SUMMARY | {"max_poll_proximity": 9})
+
+
 query("batch_lifetime")(
     lambda spark, d: rounded(batches.batch_summary(views.batch_metrics(spark, d), None), SUMMARY)
 )

@@ -444,6 +444,9 @@ def oracle_sql() -> dict[str, str]:
     sql["events_over_time"] = f"""{_with(*_CLICKS)}
         SELECT date_trunc('hour', make_timestamp(timestamp * 1000))::TIMESTAMP AS bucket,
             count(*) AS events FROM clicks GROUP BY 1"""
+    sql["events_over_time_auto"] = f"""{_with(*_CLICKS)}
+        SELECT make_timestamp(timestamp // 43200000 * 43200000 * 1000)::TIMESTAMP AS bucket, count(*) AS events FROM clicks
+        WHERE timestamp BETWEEN 1704412800000 AND 1705017600000 GROUP BY 1"""
     sql["events_over_time_range"] = f"""{_with(*_CLICKS)}
         SELECT date_trunc('day', make_timestamp(timestamp * 1000))::TIMESTAMP AS bucket,
             count(*) AS events FROM clicks
@@ -487,6 +490,13 @@ def oracle_sql() -> dict[str, str]:
         SELECT group_id, ts, string_agg(part || ':' || lag, ',' ORDER BY part) AS partitions,
             CAST(sum(lag) AS BIGINT) AS total FROM part_lags
         GROUP BY group_id, ts ORDER BY group_id, ts"""
+    sql["lag_json"] = f"""{_with('committed', 'ends')}
+        SELECT '{{"topic":"' || topic || '","part":' || part || ',"lag":' || greatest(0, end_offset - committed) || '}}' AS json
+        FROM committed JOIN ends USING (topic, part) WHERE committed >= 0"""
+    sql["lag_history_json"] = f"""{_with(*_LAGS)}
+        SELECT '{{"group_id":"' || group_id || '","ts":' || ts || ',"partitions":{{' ||
+            string_agg('"' || part || '":' || lag, ',' ORDER BY part) || '}},"total":' || CAST(sum(lag) AS BIGINT) || '}}' AS json
+        FROM part_lags GROUP BY group_id, ts"""
     sql["lag_history_window"] = f"""{_with(*_LAGS)}
         SELECT group_id, ts, string_agg(part || ':' || lag, ',' ORDER BY part) AS partitions,
             CAST(sum(lag) AS BIGINT) AS total FROM part_lags
@@ -558,6 +568,24 @@ def oracle_sql() -> dict[str, str]:
         SELECT group_id, instance, {_SUMMARY}, round(CAST(sum(batch_size) AS BIGINT) /
             ((max(end_ms) - min(end_ms - loop_ms)) / 1000), 9) AS events_per_sec
         FROM gaps GROUP BY group_id, instance"""
+    ages = "row_number() OVER (PARTITION BY group_id, instance ORDER BY batch_id DESC)"
+    stages = ", ".join(
+        f"({i}, '{stage}', coalesce(regr_slope({stage}_ms, -age), 0), arg_max({stage}_ms, age), arg_min({stage}_ms, age))"
+        for i, stage in enumerate(("pg_events", "valkey", "pg_sessions"))
+    )
+    sql["batch_report"] = f"""{_with(*_LOOP_VIEWS)},
+        newest AS (SELECT *, {ages} AS age FROM batch_metrics),
+        slopes AS (SELECT group_id, instance, unnest([{stages}]) AS s FROM newest WHERE age <= 100 GROUP BY group_id, instance),
+        trends AS (SELECT group_id, instance, string_agg(s[2] || ' ' || CAST(floor(s[4]) AS BIGINT) || ' > ' || CAST(floor(s[5]) AS BIGINT), ' | ' ORDER BY s[1]) AS trends
+            FROM slopes WHERE s[3] > 0.02 GROUP BY group_id, instance),
+        moved AS (SELECT CASE user_id % 2 WHEN 0 THEN 'view' ELSE 'purchase' END AS group_id, user_id % 3 AS instance, count(*) AS rebalances
+            FROM events WHERE event_type = 'error' GROUP BY ALL),
+        life AS (SELECT group_id, instance, {_SUMMARY}, round(CAST(sum(batch_size) AS BIGINT) /
+                ((max(end_ms) - min(end_ms - loop_ms)) / 1000), 9) AS events_per_sec,
+                round(max(loop_ms / 1000), 9) AS max_poll_proximity, CAST(sum(batch_size // 2) AS BIGINT) AS sessions
+            FROM gaps GROUP BY group_id, instance)
+        SELECT life.*, coalesce(rebalances, 0) AS rebalances, coalesce(trends, '') AS trends
+        FROM life LEFT JOIN moved USING (group_id, instance) LEFT JOIN trends USING (group_id, instance)"""
     sql["batch_indicators"] = f"""{_with(*_INDICATOR_VIEWS)}
         SELECT group_id, instance, ts, loops, round(fill_ratio, 9) AS fill_ratio,
             round(poll_proximity, 9) AS poll_proximity, round(idle_ms, 4) AS idle_ms,

@@ -122,6 +122,7 @@ MESSAGE = _struct(
     ("partition", T.IntegerType()),
     ("offset", _LONG),
     ("timestamp", _TIME),
+    ("headers", T.ArrayType(_struct(("key", _TEXT), ("value", T.BinaryType())))),
 )
 
 RUN_RESULT = _struct(

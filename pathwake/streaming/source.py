@@ -20,7 +20,7 @@ def stream_source(
     max_per_batch: int | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Messages from the earliest on, with key, value, topic, partition, offset, timestamp.
+    """Messages from the earliest on: key, value, topic, partition, offset, timestamp, headers.
 
     Without ``path`` the topic is read from the broker in ``options``. ``max_per_batch``
     bounds a micro-batch: messages of a topic, or files of a folder; None takes what is there. Where a query has
