@@ -41,27 +41,30 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(low, SEPARATORS), "")
 
 
-def _grams(words: Column, sizes: set[int]) -> dict[int, Column]:
-    """Hashes of so many consecutive words; element i starts at word i.
+def _with_grams(df: DataFrame, sizes: set[int]) -> DataFrame:
+    """Columns with the hashes of so many consecutive words of ``words``; element i starts at word i.
 
-    At the end of a text a gram lacks words; the comparison of words rejects such positions.
+    Each is a column of its own, since an expression that stands twice in another is worked out
+    twice. At the end of a text a gram lacks words; the comparison of words rejects such positions.
     """
 
-    def joined(x: Column, size: int, y: Column) -> Column:
+    def joined(x: str, size: int, y: str) -> Column:
         return F.zip_with(x, F.slice(y, size + 1, _END), lambda a, b: F.xxhash64(a, b))
 
-    doubled = {1: F.transform(words, lambda w: F.xxhash64(w))}
-    while 2 * max(doubled) <= max(sizes):
-        half = max(doubled)
-        doubled[2 * half] = joined(doubled[half], half, doubled[half])
-    found = {}
-    for size in sizes:
+    df, made = df.withColumn("g1", F.transform("words", lambda w: F.xxhash64(w))), [1]
+    while 2 * made[-1] <= max(sizes):
+        df = df.withColumn(f"g{2 * made[-1]}", joined(f"g{made[-1]}", made[-1], f"g{made[-1]}"))
+        made.append(2 * made[-1])
+    done = set(made)
+    for size in sorted(sizes):
         have = 0
-        for part in sorted(doubled, reverse=True):
+        for part in reversed(made):
             if size - have >= part:
-                found[size] = doubled[part] if not have else joined(found[size], have, doubled[part])
+                if have and have + part not in done:
+                    df = df.withColumn(f"g{have + part}", joined(f"g{have}", have, f"g{part}"))
+                    done.add(have + part)
                 have += part
-    return found
+    return df
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
@@ -74,11 +77,11 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - WINDOW + 1))
     windows = words.select("item", F.explode(F.transform(starts, lambda i: F.slice("words", i, WINDOW))).alias("window"))
     grouped = windows.groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items")).withColumn("size", F.size("window"))
-    grams = _grams(F.col("window"), set(range(1, WINDOW + 1)))
-    key = F.when(F.col("size") == 1, grams[1][0])
+    grams = _with_grams(grouped.withColumn("words", F.col("window")), set(range(1, WINDOW + 1)))
+    key = F.when(F.col("size") == 1, F.col("g1")[0])
     for size in range(2, WINDOW + 1):
-        key = key.when(F.col("size") == size, grams[size][0])
-    keyed = grouped.select("size", key.alias("key"), F.struct("window", "items").alias("w"))
+        key = key.when(F.col("size") == size, F.col(f"g{size}")[0])
+    keyed = grams.select("size", key.alias("key"), F.struct("window", "items").alias("w"))
     return keyed.groupBy("size", "key").agg(F.collect_list("w").alias("windows"))
 
 
@@ -104,7 +107,7 @@ def bitmap(windows: DataFrame) -> tuple[Column, int]:
     return F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>"), len(words)  # folded to one literal
 
 
-def _places(size: int, grams: Column, words: int, filled: Column) -> Column:
+def _places(size: int, words: int, filled: Column) -> Column:
     """Positions of a document whose gram the bitmap holds."""
 
     def place(key: Column, at: Column) -> Column:
@@ -112,7 +115,7 @@ def _places(size: int, grams: Column, words: int, filled: Column) -> Column:
         held = F.get(filled, key.bitwiseAND(words - 1).cast("int")).bitwiseAND(mask) == mask
         return F.when(held, F.struct(F.lit(size).alias("size"), key.alias("key"), at.alias("at")))
 
-    return F.array_compact(F.transform(grams, place))
+    return F.array_compact(F.transform(f"g{size}", place))
 
 
 def find_windows(docs: DataFrame, benchmark: DataFrame, text: bool = False) -> DataFrame:
@@ -124,16 +127,15 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, text: bool = False) -> D
     windows = stored(benchmark_windows(benchmark), "windows")
     filled, length = bitmap(windows)
     sizes = {r["size"] for r in windows.select("size").distinct().collect()}  # 13 at most
-    words = F.col("words")
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns if text or c != "text"]).alias("doc"), words_of(docs["text"]).alias("words"))
     places = F.expr("cast(array() as array<struct<size: int, key: bigint, at: int>>)")
     if sizes:
-        grams = _grams(words, sizes)
-        places = F.concat(places, *[_places(s, grams[s], length, filled) for s in sorted(sizes)])
+        rows = _with_grams(rows, sizes)
+        places = F.concat(places, *[_places(s, length, filled) for s in sorted(sizes)])
     here = F.transform(
-        "places", lambda p: F.struct(p["size"].alias("size"), p["key"].alias("key"), p["at"].alias("at"), F.slice(words, p["at"] + 1, p["size"]).alias("here"))
+        "places", lambda p: F.struct(p["size"].alias("size"), p["key"].alias("key"), p["at"].alias("at"), F.slice("words", p["at"] + 1, p["size"]).alias("here"))
     )
-    marked = rows.withColumn("places", places).select("doc", F.size("words").cast("long").alias("n_words"), here.alias("places"))
+    marked = rows.select("doc", "words", places.alias("places")).select("doc", F.size("words").cast("long").alias("n_words"), here.alias("places"))
     # Numbered as stored, so a repeated task finds the same numbers.
     marked = stored(marked, "marked").withColumn("row", F.monotonically_increasing_id())
     some = marked.filter(F.size("places") > 0)
