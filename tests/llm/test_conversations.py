@@ -5,7 +5,6 @@ import itertools
 import random
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
 from pathwake.llm import conversations, queries

@@ -1,7 +1,5 @@
 """Rows that the pipeline's filters keep when ids repeat."""
 
-import pytest
-
 from pathwake.llm import decontaminate, near_dedup
 
 A = "one two three four five six seven eight nine ten eleven twelve"
@@ -17,10 +15,16 @@ def left(df):
     return sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
 
 
-def test_a_unique_text_outlives_a_copy_under_its_id(spark):
-    docs = rows(spark, [(3, B), (7, A), (7, NEAR)])
+C, D = (" ".join(reversed(t.split())) for t in (A, B))
+
+
+def test_rows_go_by_their_own_text(spark):
+    """A unique text outlives a copy under its id; null ids of different groups stay apart."""
+    docs = rows(spark, [(3, B), (7, A), (7, NEAR), (None, C), (None, C), (None, D), (None, D + " now")])
     found = near_dedup.drop_near_duplicates(docs)
-    assert left(found) == [(3, B), (7, A)] and found.columns == docs.columns
+    kept = left(found)
+    assert found.columns == docs.columns and len(kept) == 4
+    assert {(3, B), (7, A), (None, C)} < set(kept) and {t for _, t in kept} & {D, D + " now"}
 
 
 def test_one_row_of_a_group_stays(spark):
@@ -30,11 +34,6 @@ def test_one_row_of_a_group_stays(spark):
     assert found.count((None, None)) == 2 and (5, "") in found and len(found) == 5
 
 
-def test_null_ids_of_different_groups_stay_apart(spark):
-    found = left(near_dedup.drop_near_duplicates(rows(spark, [(None, A), (None, A), (None, B), (None, NEAR)])))
-    assert len(found) == 2 and {t for _, t in found} >= {A}
-
-
 def test_many_texts_under_one_id(spark):
     docs = spark.range(2000).selectExpr("1L as doc_id", "concat_ws(' ', transform(sequence(1, 12), i -> sha2(concat(id, '-', i), 256))) as text")
     both = docs.union(docs.limit(500).selectExpr("null as doc_id", "concat(text, '\n') as text"))

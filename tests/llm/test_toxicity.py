@@ -4,7 +4,6 @@ import random
 import time
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from pathwake.llm import toxicity
