@@ -675,7 +675,7 @@ def _stream_progress(spark, d):
     return both.groupBy("group_id", "batch_size", "messages").agg(F.count("*").alias("batches"))
 
 
-@query("continuous_run")
+@query("stream_continuous_run")
 def _continuous_run(spark, d):
     """A micro-batch an interval, stopped when all is processed."""
     base = new_path(spark, "stream")
@@ -702,7 +702,7 @@ def _stream_csv_folder(spark, d):
     return flat(spark.read.parquet(f"{base}/out"))
 
 
-@query("pipeline_tables")
+@query("stream_pipeline_tables")
 def _pipeline_tables(spark, d):
     """All four streams under supervision, the catalog's tables filled from them, then a reset."""
     base, database = new_path(spark, "pipeline"), f"pathwake_{uuid.uuid4().hex}"
@@ -729,7 +729,7 @@ def _pipeline_tables(spark, d):
     return filled.unionByName(empty)
 
 
-@query("failing_sink")
+@query("stream_failing_sink")
 def _failing_sink(spark, d):
     """The event sink fails twice after writing; its stream goes on without loss or double rows."""
     base, left = new_path(spark, "stream"), [2]

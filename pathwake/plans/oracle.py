@@ -726,11 +726,11 @@ def oracle_sql() -> dict[str, str]:
     sql["stream_progress"] = f"""{_with(*_CLICKS)}
         SELECT 'clicks' AS group_id, n AS batch_size, n AS messages, count(*) AS batches
         FROM (SELECT count(*) AS n FROM clicks GROUP BY seq % 105) GROUP BY n"""
-    sql["continuous_run"] = STREAM_EVENTS
+    sql["stream_continuous_run"] = STREAM_EVENTS
     sql["stream_csv_folder"] = f"""{_with(*_CLICKS)}
         SELECT timestamp, visitor_id, event, item_id, nullif(transaction_id, 0) AS transaction_id,
                make_timestamp(timestamp * 1000) AS event_time FROM clicks"""
-    sql["pipeline_tables"] = f"""{_with(*_CLICKS)}, {sessions_views('all_events', 43200000)},
+    sql["stream_pipeline_tables"] = f"""{_with(*_CLICKS)}, {sessions_views('all_events', 43200000)},
         keys AS (SELECT DISTINCT visitor_id, timestamp, event, item_id FROM clicks),
         counts AS (
             SELECT 'events' AS table_name, count(*) AS rows FROM keys
@@ -741,7 +741,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'quarantine', count(*) FROM all_events WHERE event NOT IN ('view', 'addtocart', 'transaction'))
         SELECT 'filled' AS stage, * FROM counts
         UNION ALL SELECT 'reset', table_name, 0 FROM counts WHERE table_name NOT IN ('documents', 'quarantine')"""
-    sql["failing_sink"] = f"""{_with(*_COPIES)}
+    sql["stream_failing_sink"] = f"""{_with(*_COPIES)}
         SELECT timestamp, visitor_id, event, item_id, transaction_id, 2 AS restarts FROM first_copies"""
     sql["results_csv"] = f"""
         SELECT {MS} - {MS} % 1000 AS ts_ms,
