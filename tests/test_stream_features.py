@@ -45,6 +45,20 @@ def test_first_rows_across_batches_and_late_rows(spark, tmp_path):
     assert found == [([10, 30], []), ([41, 50], []), ([51], []), ([62], [60, 61])]
 
 
+def test_state_of_first_rows_does_not_grow_by_visitor(spark, tmp_path):
+    """State calls cost by place, so many visitors share one; copies of a key stay single."""
+    rows = [(60_000 + i % 7, i, "view", i % 3, i, i) for i in range(300)]
+    for part in (rows[:200] + rows[:100], rows[100:]):
+        append(spark, f"{tmp_path}/in", part)
+        first = stream_dedup(folder_stream(spark, f"{tmp_path}/in"))
+        writer = first.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+        with streams.state_partitions(spark, 2):
+            streams.run_available(writer, f"{tmp_path}/check")
+    assert sorted(r.seq for r in spark.read.parquet(f"{tmp_path}/out").filter("not late").collect()) == list(range(300))
+    seen = spark.read.format("statestore").option("stateVarName", "seen").load(f"{tmp_path}/check")
+    assert seen.select("key").distinct().count() <= 16
+
+
 def test_closed_sessions_come_once(spark, tmp_path):
     parts = [
         [(1000, 1, "view", 2, None, 0), (2000, 1, "addtocart", 1, None, 1), (2000, 1, "view", 1, None, 2)],
