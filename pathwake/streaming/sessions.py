@@ -29,8 +29,8 @@ COMBINED = (
 _LISTS = ["slot", "first_ts", "first_seq", "item_id", "event", "n", "last_ts"]
 _KEYS = ["visitor_id", "slot", "event", "item_id"]
 _PARTS = [*_KEYS, "n", "first_ts", "last_ts", "first_seq"]
-MERGE_ROWS = 50_000  # rows gathered before they are combined anew
-HELD_ROWS = 200_000  # combined rows a task holds before it sends them
+MERGE_ROWS = 25_000  # rows gathered before they are combined anew
+HELD_ROWS = 50_000  # combined rows a task holds before it sends them; a task takes some 120 MB for them
 _NAMES = STATE.names
 _OUTPUT = Row(*_NAMES)
 

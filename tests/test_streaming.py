@@ -98,6 +98,19 @@ def test_a_task_combines_its_batches(monkeypatch, held):
         assert [r["visitor_id"] for r in out].count(1) == 1
 
 
+def test_a_task_holds_few_combined_rows():
+    """What a task holds, and sends at once, does not grow with what it reads."""
+    names = ["visitor_id", "slot", "event", "item_id", "timestamp", "seq"]
+
+    def read(numbers):
+        ids = pa.array(numbers, pa.int64())
+        return pa.RecordBatch.from_arrays([ids, ids, pa.array(["view"] * len(ids)), ids, ids, ids], names)
+
+    batches_in = (read(range(i, i + 10_000)) for i in range(0, 300_000, 10_000))
+    sent = [sum(map(len, b["slot"].to_pylist())) for b in stream_module.combine(batches_in)]
+    assert sum(sent) == 300_000 and max(sent) <= 80_000
+
+
 def test_expired_state_keeps_its_number(spark, tmp_path):
     stream = Stream(spark, tmp_path, ttl_ms=5000, late_after="1 second")
     stream.run([(1000, 7, "view", 1, 0)])
