@@ -16,6 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import ArrayType, BooleanType, StructField, StructType
 
 from pathwake.functions.columns import event_time
 from pathwake.operators.sessions import TYPED
@@ -33,6 +34,11 @@ MERGE_ROWS = 25_000  # rows gathered before they are combined anew
 HELD_ROWS = 50_000  # combined rows a task holds before it sends them; a task takes some 120 MB for them
 _NAMES = STATE.names
 _OUTPUT = Row(*_NAMES)
+_VISITOR, _NUMBER, _COUNT, _LAST = map(_NAMES.index, ("visitor_id", "session_num", "event_count", "last_activity"))
+# State calls cost milliseconds a key and micro-batch, so a key is a place of 16 neighbouring visitor
+# ids. A place is rewritten as a whole; ``changed`` marks the sessions its last update was for.
+PLACE_BITS = 4
+PLACE = StructType().add("sessions", ArrayType(StructType([*STATE.fields, StructField("changed", BooleanType())])))
 
 # Ship the functions of this module with the query: workers then need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -79,10 +85,11 @@ def _by_visitor(parts: pa.Table) -> list[pa.RecordBatch]:
 
 
 class SessionFold(StatefulProcessor):
-    """Keeps a visitor's current session and emits every session a micro-batch touches.
+    """Keeps the current sessions of a place's visitors and emits every session a micro-batch touches.
 
     With timers (``ttl_ms``) an idle session's content is dropped after its time to live; its
-    number stays, so that a returning visitor's session ids never repeat.
+    number stays, so that a returning visitor's session ids never repeat. A place has one timer,
+    for the first of its sessions to run out.
     """
 
     def __init__(self, timeout_ms: int, ttl_ms: int | None):
@@ -91,50 +98,62 @@ class SessionFold(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.session = handle.getValueState("session", STATE)
+        self.sessions = handle.getValueState("sessions", PLACE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        current = self._load()
+        parts: dict[int, list] = {}
+        for row in rows:
+            parts.setdefault(row["visitor_id"], []).append(zip(*(row[name] for name in _LISTS)))
+        sessions, touched = self._load(), []
+        for visitor, found in parts.items():
+            touched += self._fold(visitor, sessions.get(visitor), chain.from_iterable(found))
+            sessions[visitor] = _values(touched[-1])
+        self._save(sessions, parts)
+        for session in touched:
+            yield _OUTPUT(*_values(session))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        sessions, cleared = self._load(), set()
+        passed = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
+        for visitor, session in sessions.items():
+            if session[_COUNT] and session[_LAST] + self.ttl_ms <= passed:
+                sessions[visitor] = _values(_blank(visitor, session[_NUMBER], 0))
+                cleared.add(visitor)
+        self._save(sessions, cleared)
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+    def _fold(self, visitor: int, stored: tuple | None, parts: Iterator[tuple]) -> list[dict]:
+        """The sessions that the combined rows of a visitor touch; the last one is the current one."""
+        current = _opened(stored)
         touched, slot = [], None
-        parts = [zip(*(row[name] for name in _LISTS)) for row in rows]
-        for part in sorted(chain.from_iterable(parts), key=_in_order):
+        for part in sorted(parts, key=_in_order):
             part_slot, first_ts, _, item, kind, n, last_ts = part
             if part_slot != slot:
                 slot = part_slot
                 if self._expired(current, first_ts):
                     number = current["session_num"] + 1 if current else 1
-                    current = _blank(key[0], number, first_ts)
+                    current = _blank(visitor, number, first_ts)
                 if not touched or touched[-1] is not current:
                     touched.append(current)
                 current["last_activity"] = last_ts
             _add(current, kind, item, n, last_ts)
-        self._save(current)
+        return touched
+
+    def _load(self) -> dict[int, tuple]:
+        stored = self.sessions.get()
+        return {s[_VISITOR]: tuple(s)[: len(_NAMES)] for s in stored[0]} if stored else {}
+
+    def _save(self, sessions: dict[int, tuple], changed) -> None:
+        self.sessions.update(([(*values, visitor in changed) for visitor, values in sessions.items()],))
         if self.ttl_ms is not None:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
-            self.handle.registerTimer(current["last_activity"] + self.ttl_ms)
-        for session in touched:
-            closed = _closed(session)
-            yield _OUTPUT(*[closed[name] for name in _NAMES])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self._save(_blank(key[0], self._load()["session_num"], 0))
-        yield from ()
-
-    def close(self) -> None:
-        pass
-
-    def _load(self) -> dict | None:
-        stored = self.session.get()
-        if stored is None:
-            return None
-        current = dict(zip(_NAMES, stored))
-        for _, items in TYPED.values():
-            current[items] = dict.fromkeys(current[items])
-        return current
-
-    def _save(self, current: dict) -> None:
-        self.session.update(tuple(_closed(current)[name] for name in _NAMES))
+            due = [s[_LAST] + self.ttl_ms for s in sessions.values() if s[_COUNT]]
+            if due:
+                self.handle.registerTimer(min(due))
 
     def _expired(self, current: dict | None, first_ts: int) -> bool:
         if current is None or current["last_activity"] == 0:
@@ -170,8 +189,16 @@ def _add(current: dict, kind: str, item: int | None, n: int, last_ts: int) -> No
         current[items].setdefault(item)
 
 
-def _closed(session: dict) -> dict:
-    return session | {items: list(session[items]) for _, items in TYPED.values()}
+def _opened(stored: tuple | None) -> dict | None:
+    if stored is None:
+        return None
+    current = dict(zip(_NAMES, stored))
+    return current | {items: dict.fromkeys(current[items]) for _, items in TYPED.values()}
+
+
+def _values(session: dict) -> tuple:
+    closed = session | {items: list(session[items]) for _, items in TYPED.values()}
+    return tuple(closed[name] for name in _NAMES)
 
 
 def stream_sessions(
@@ -201,7 +228,8 @@ def stream_sessions(
         time = F.struct(*empty, event_time(F.array_max("last_ts")).alias("event_time"))
         rows = combined.select("visitor_id", F.inline(F.array(timeless, time)))
         combined = rows.withWatermark("event_time", late_after)
-    return combined.groupBy("visitor_id").transformWithState(
+    place = F.shiftright("visitor_id", PLACE_BITS)
+    return combined.withColumn("place", place).groupBy("place").transformWithState(
         SessionFold(timeout_ms, ttl_ms),
         outputStructType=STATE,
         outputMode="Update",
@@ -211,17 +239,18 @@ def stream_sessions(
 
 def stored_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Current session of every visitor, read from the checkpoint of a session stream."""
-    store = spark.read.format("statestore").option("stateVarName", "session").load(checkpoint)
-    return store.select("value.*").select(*_NAMES)
+    store = spark.read.format("statestore").option("stateVarName", "sessions").load(checkpoint)
+    return store.select(F.inline("value.sessions")).select(*_NAMES)
 
 
 def state_changes(spark: SparkSession, checkpoint: str, first_batch: int = 0) -> DataFrame:
     """``(batch_id, change_type, visitor_id)`` and the session, for every change of state since a batch."""
     store = (
-        spark.read.format("statestore").option("stateVarName", "session")
+        spark.read.format("statestore").option("stateVarName", "sessions")
         .option("readChangeFeed", True).option("changeStartBatchId", first_batch).load(checkpoint)
     )
-    return store.select("batch_id", "change_type", F.col("key.visitor_id").alias("visitor_id"), F.col("value").alias("session"))
+    changes = store.select("batch_id", "change_type", F.inline("value.sessions")).filter("changed")
+    return changes.select("batch_id", "change_type", "visitor_id", F.struct(*_NAMES).alias("session"))
 
 
 def stream_closed_sessions(

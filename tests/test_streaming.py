@@ -111,6 +111,39 @@ def test_a_task_holds_few_combined_rows():
     assert sum(sent) == 300_000 and max(sent) <= 80_000
 
 
+def test_neighbouring_visitors_share_a_place_of_state(spark, tmp_path):
+    """State calls go by place, not by visitor; each visitor's session changes by itself."""
+    stream = Stream(spark, tmp_path)
+    first = stream.run([(1000 + v, v, "view", v, v) for v in range(-20, 100)])
+    assert len(first) == 120
+    assert sum(s.numRowsUpdated for s in stream.query.lastProgress.stateOperators) <= 16
+    again = stream.run([(1500, 7, "view", 5, 200), (9000, 8, "view", 5, 201)])
+    assert sorted((s["session_id"], s["event_count"]) for s in again) == [("7_1", 2), ("8_2", 1)]
+    state = {r.visitor_id: r.session_id for r in stored_state(spark, f"{tmp_path}/checkpoint").collect()}
+    assert state == {v: f"{v}_{2 if v == 8 else 1}" for v in range(-20, 100)}
+    changes = stream_module.state_changes(spark, f"{tmp_path}/checkpoint")
+    assert changes.filter("batch_id = 0").count() == 120
+    assert sorted(r.visitor_id for r in changes.filter("batch_id = 1").collect()) == [7, 8]
+
+
+def test_sessions_of_a_place_run_out_one_by_one(spark, tmp_path):
+    stream = Stream(spark, tmp_path, ttl_ms=5000, late_after="1 second")
+
+    def live():
+        state = stored_state(spark, f"{tmp_path}/checkpoint").filter("event_count > 0")
+        return sorted(r.visitor_id for r in state.collect())
+
+    stream.run([(1000, 1, "view", 1, 0), (4000, 2, "view", 1, 1), (30_000, 3, "view", 1, 2)])
+    stream.run([(8500, 40, "view", 1, 3)])  # an old event leaves event time at 29,000
+    stream.run([(30_001, 40, "view", 1, 4)])
+    assert live() == [3, 40]
+    stream.run([(37_000, 50, "view", 1, 5)])
+    stream.run([(37_001, 50, "view", 1, 6)])
+    assert live() == [50]
+    assert [s["session_id"] for s in stream.run([(38_000, 2, "view", 1, 7)])] == ["2_2"]
+    assert live() == [2, 50]
+
+
 def test_expired_state_keeps_its_number(spark, tmp_path):
     stream = Stream(spark, tmp_path, ttl_ms=5000, late_after="1 second")
     stream.run([(1000, 7, "view", 1, 0)])
