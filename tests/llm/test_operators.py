@@ -167,6 +167,20 @@ def test_near_duplicates_of_a_large_family(spark):
     assert {r.doc_id for r in kept} == {d for d, _, _, k in brute_components(rows) if k}
 
 
+def test_joins_are_dealt_only_where_a_key_is_hot(spark):
+    """Without a hot key nothing is stored and the join is a plain one; with one the rows are the same."""
+    many = spark.range(3000).selectExpr("id % 500 AS k", "id AS row")
+    one = spark.range(500).selectExpr("id AS k", "id * 7 AS value")
+    assert hot.hot_keys(many.groupBy("k").agg(F.count("*").alias("n")), ["k"]) is None
+    assert hot.hot_keys(many.filter("k < 0").groupBy("k").agg(F.count("*").alias("n")), ["k"]) is None
+    uneven = many.union(spark.range(2000).selectExpr("3 AS k", "id AS row"))
+    found = hot.hot_keys(uneven.groupBy("k").agg(F.count("*").alias("n")), ["k"])
+    assert [r.k for r in found.collect()] == [3]
+    plain, dealt = (hot.spread_join(uneven, one, ["k"], keys, F.col("row")) for keys in (None, found))
+    assert plain.columns == dealt.columns == ["k", "row", "value"]
+    assert plain.count() == 5000 and plain.exceptAll(dealt).count() == dealt.exceptAll(plain).count() == 0
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 300), (5, 5)]
     got = components.components(spark.createDataFrame(links, "a long, b long")).collect()
