@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathwake.llm.hot import hot_keys, spread_join
+from pathwake.llm import hot
+from pathwake.llm.hot import hot_keys, sent, spread_join
 from pathwake.runtime import stored
 
 
@@ -23,21 +24,24 @@ def components(links: DataFrame) -> DataFrame:
         .filter("a is not null and b is not null").distinct(),
         "links",
     )
-    labels = stored(
-        both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels"
-    )
-    hubs = hot_keys(both.groupBy("b").agg(F.count("*").alias("n")), ["b"])
+    n = both.count()
+    small = n <= hot.SMALL_ROWS
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels", n)
+    hubs = None if small else hot_keys(both.groupBy("b").agg(F.count("*").alias("n")), ["b"])
     while True:
         near = (
-            spread_join(both, labels.withColumnRenamed("node", "b"), ["b"], hubs, F.col("a"))
+            spread_join(both, sent(labels.withColumnRenamed("node", "b"), n), ["b"], hubs, F.col("a"))
             .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         )
-        hooked = stored(labels.join(near, "node").select("node", "label", F.least("label", "near").alias("low")), "hooked")
-        large = hot_keys(hooked.groupBy("low").agg(F.count("*").alias("n")), ["low"])
+        hooked = near.join(sent(labels, n), "node").select("node", "label", F.least("label", "near").alias("low"))
+        large = None
+        if not small:
+            hooked = stored(hooked, "hooked", n)
+            large = hot_keys(hooked.groupBy("low").agg(F.count("*").alias("n")), ["low"])
         above = labels.select(F.col("node").alias("low"), F.col("label").alias("next"))
         moved = stored(
-            spread_join(hooked, above, ["low"], large, F.col("node")).select("node", F.least("low", "next").alias("label"), (F.col("low") < F.col("label")).alias("moved")),
-            "labels",
+            spread_join(hooked, sent(above, n), ["low"], large, F.col("node")).select("node", F.least("low", "next").alias("label"), (F.col("low") < F.col("label")).alias("moved")),
+            "labels", n,
         )
         labels = moved.select("node", "label")
         if not moved.filter("moved").limit(1).count():

@@ -9,6 +9,7 @@ from pathwake.runtime import stored
 
 PARTS = 64
 LEAST_ROWS = 1000
+SMALL_ROWS = 100_000  # a table of a few numbers a row is sent to every task up to here, whatever the input
 SHARE = 1000
 
 
@@ -23,11 +24,17 @@ def hot_keys(sizes: DataFrame, keys: list[str], n: str = "n") -> DataFrame | Non
     return stored(sizes.filter(F.col(n) >= least).select(*keys), "hot") if (most or 0) >= least else None
 
 
+def sent(table: DataFrame, rows: int) -> DataFrame:
+    """``table``, to be joined by sending it to every task if its ``rows`` are few."""
+    return F.broadcast(table) if rows <= SMALL_ROWS else table
+
+
 def spread_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame | None, by: Column) -> DataFrame:
     """Inner join of many rows of ``left`` with the one row of ``right`` that has their keys.
 
     Rows of a hot key are dealt to ``PARTS`` parts by the hash of ``by``, a property of the row
-    that a repeated task finds again; its row of ``right`` goes to each part.
+    that a repeated task finds again; its row of ``right`` goes to each part. A table ``right``
+    of few rows needs no ``hot``, see :func:`sent`.
     """
     if hot is None:
         return left.join(right, keys)

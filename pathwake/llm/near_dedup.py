@@ -29,15 +29,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pathwake.llm import hot
 from pathwake.llm.arrays import U64, mix, shingle_sets
 from pathwake.llm.components import components
-from pathwake.llm.hot import hot_keys, spread_join
-from pathwake.runtime import stored
+from pathwake.llm.hot import hot_keys, sent, spread_join
+from pathwake.runtime import stored, tasks_of
 
 SKETCH = 32
 SHARED = 14  # of 32 retained values: what a pair at the threshold shares at least
 PERCENT = 85
 _ROW = ("doc_id", "text_high", "text_low")  # what tells rows apart, but for repeated ones
+PAIRS = 250  # pairs of texts worth a task
 SHORT_LIST = 16  # members of a list that are paired directly; longer lists use full sets
 
 
@@ -85,19 +87,36 @@ def _sizes_fit(x: str, y: str) -> Column:
     return 100 * F.least(F.col(x), F.col(y)) >= PERCENT * F.greatest(F.col(x), F.col(y))
 
 
+def _with_both(pairs: DataFrame, n: int, table: DataFrame, column: str, few: int) -> DataFrame:
+    """The ``n`` pairs ``(a, b)`` with ``column`` of both classes as ``of_a`` and ``of_b``.
+
+    Many pairs are shuffled to the rows of either class. Up to ``few`` are sent to the rows, so
+    that only what a pair needs is shuffled.
+    """
+    of = {side: table.select(F.col("class").alias(side), F.col(column).alias(f"of_{side}")) for side in "ab"}
+    if n <= few:
+        met = [of[side].join(F.broadcast(pairs), side) for side in "ab"]
+        return met[0].join(met[1], ["a", "b"])
+    most = {side: hot_keys(pairs.groupBy(side).agg(F.count("*").alias("n")), [side]) for side in "ab"}
+    for side, other in ("ab", "ba"):
+        pairs = spread_join(pairs, of[side], [side], most[side], F.col(other))
+    return pairs
+
+
 def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, label: str) -> DataFrame:
     """Pairs ``(a, b)`` that pass the estimate and then the exact comparison."""
     pairs = stored(pairs, f"{label}-pairs")
-    hot = {side: hot_keys(pairs.groupBy(side).agg(F.count("*").alias("n")), [side]) for side in "ab"}
-    for side, other in ("ab", "ba"):
-        sketches = classes.select(F.col("class").alias(side), F.col("sketch").alias(f"s{side}"))
-        pairs = spread_join(pairs, sketches, [side], hot[side], F.col(other))
-    likely = pairs.filter(_similar(F.col("sa"), F.col("sb"))).select("a", "b")
-    for side, other in ("ab", "ba"):
-        of_side = texts.select(F.col("class").alias(side), F.col("text").alias(f"t{side}"))
-        likely = spread_join(likely, of_side, [side], hot[side], F.col(other))
-    checked = likely.select("a", "b", "ta", "tb").mapInArrow(_linked_batches, "a bigint, b bigint")
-    return stored(checked, label)
+    n = pairs.count()
+    if not n:
+        return pairs
+    similar = _with_both(pairs, n, classes, "sketch", hot.SMALL_ROWS).filter(_similar(F.col("of_a"), F.col("of_b")))
+    likely = stored(similar.select("a", "b"), f"{label}-likely", n)
+    n = likely.count()
+    if not n:
+        return likely
+    # One class may be in most pairs: its text is repeated by one task for a part of the few only.
+    both = _with_both(likely, n, texts, "text", hot.SMALL_ROWS // 10).select("a", "b", "of_a", "of_b")
+    return stored(both.coalesce(tasks_of(n, PAIRS)).mapInArrow(_linked_batches, "a bigint, b bigint"), label)
 
 
 def _identified(docs: DataFrame) -> list[Column]:
@@ -152,39 +171,45 @@ def _grouped(docs: DataFrame) -> DataFrame:
         .select("class", "n_shingles", F.col("rare.value").alias("value")),
         "keys",
     )
-    wanted = keys.select("class").distinct().join(classes.select("class", "least.*"), "class")
+    wanted = stored(classes.select("class", "least.*").join(keys.select("class").distinct(), "class"), "wanted")
     texts = stored(_texts_of(docs, wanted), "texts")
 
     firsts = stored(
         keys.groupBy("value").agg(F.min(F.struct("class", "n_shingles")).alias("first"), F.count("*").alias("n")).filter("n > 1"),
         "firsts",
     )
-    frequent = hot_keys(firsts, ["value"])
+    n_firsts = firsts.count()
+    frequent = hot_keys(firsts, ["value"]) if n_firsts > hot.SMALL_ROWS else None
     stars = (
-        spread_join(keys, firsts.drop("n"), ["value"], frequent, F.col("class")).filter("first.class < class")
+        spread_join(keys, sent(firsts.drop("n"), n_firsts), ["value"], frequent, F.col("class")).filter("first.class < class")
         .filter(_sizes_fit("n_shingles", "first.n_shingles"))
         .select(F.col("first.class").alias("a"), F.col("class").alias("b")).distinct()
     )
     star_links = _links(stars, classes, texts, "star-links")
     labels = components(star_links).withColumnRenamed("node", "class")
-    open_keys = keys.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    open_keys = keys.join(sent(labels, labels.count()), "class", "left").withColumn("label", F.coalesce("label", "class"))
     lists = stored(
         open_keys.groupBy("value").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
         .filter("low < high").select("value", "n"),
-        "lists",
+        "lists", n_firsts,
     )
-    members = stored(spread_join(open_keys, lists, ["value"], frequent, F.col("class")), "members")
+    members = stored(spread_join(open_keys, sent(lists, n_firsts), ["value"], frequent, F.col("class")), "members")
     links = _long_list_links(members.filter(F.col("n") > SHORT_LIST), star_links, classes, texts)
     links = links.union(_links(_short_list_pairs(members.filter(F.col("n") <= SHORT_LIST)), classes, texts, "short-links"))
     final = components(links).withColumnRenamed("node", "class")
 
-    named = classes.join(final, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    least = stored(named.groupBy("label").agg(F.min("least_id").alias("component_id"), F.count("*").alias("n")), "components")
-    of_class = spread_join(named.drop("n"), least.drop("n"), ["label"], hot_keys(least, ["label"]), F.col("class"))
+    n_final = final.count()
+    placed = classes.select("class", "high", "low", "least_id").join(sent(final, n_final), "class", "left")
+    linked = placed.filter("label is not null")
+    least = stored(linked.groupBy("label").agg(F.min("least_id").alias("component_id"), F.count("*").alias("n")), "components", n_final)
+    large = hot_keys(least, ["label"]) if n_final > hot.SMALL_ROWS else None
+    of_class = spread_join(linked, sent(least.drop("n"), n_final), ["label"], large, F.col("class")).select("high", "low", "component_id", "label")
+    single = placed.filter("label is null").select("high", "low", F.col("least_id").alias("component_id"), F.col("class").alias("label"))
+    of_class = of_class.union(single)
     copies = hot_keys(classes, ["high", "low"])
     # Rows are read from files here, so a repeated task numbers them alike.
     row = F.monotonically_increasing_id()
-    grouped = spread_join(sketches.filter("n_shingles > 0").withColumn("row", row), of_class.select("high", "low", "component_id", "label"), ["high", "low"], copies, F.col("row"))
+    grouped = spread_join(sketches.filter("n_shingles > 0").withColumn("row", row), of_class, ["high", "low"], copies, F.col("row"))
     alone = sketches.filter("n_shingles = 0").withColumns({"component_id": F.col("doc_id"), "label": F.lit(None).cast("long")})
     columns = [*_ROW, "n_shingles", "component_id", "label"]
     return grouped.select(columns).union(alone.select(columns))
@@ -194,7 +219,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(class, text)`` of the classes in ``wanted``, one row each."""
     names = {c: f"of_{c}" for c in _ROW}
     same = F.col("doc_id").eqNullSafe(F.col("of_doc_id")) & (F.col("text_high") == F.col("of_text_high")) & (F.col("text_low") == F.col("of_text_low"))
-    found = docs.select(*_identified(docs), docs["text"].cast("string").alias("text")).join(wanted.select("class", *_ROW).withColumnsRenamed(names), same)
+    found = docs.select(*_identified(docs), docs["text"].cast("string").alias("text")).join(sent(wanted.select("class", *_ROW).withColumnsRenamed(names), wanted.count()), same)
     return found.groupBy("class").agg(F.first("text").alias("text"))
 
 
@@ -229,7 +254,9 @@ def _long_list_links(mixed: DataFrame, star_links: DataFrame, classes: DataFrame
     )
     values = sets.select("class", F.explode("members").alias("value"))
     holders = stored(values.groupBy("value").agg(F.count("*").alias("holders")).filter("holders > 1"), "holders")
-    joint = spread_join(values, holders, ["value"], hot_keys(holders, ["value"], "holders"), F.col("class"))
+    n_holders = holders.count()
+    shared = hot_keys(holders, ["value"], "holders") if n_holders > hot.SMALL_ROWS else None
+    joint = spread_join(values, sent(holders, n_holders), ["value"], shared, F.col("class"))
     ranked = joint.groupBy("class").agg(F.array_sort(F.collect_list(F.struct("holders", "value"))).alias("rare"))
     lacking = F.col("n_shingles") - F.size("rare")
     spare = F.expr(f"{100 - PERCENT} * n_shingles div 100") - lacking
@@ -240,17 +267,19 @@ def _long_list_links(mixed: DataFrame, star_links: DataFrame, classes: DataFrame
         "exact-keys",
     )
     firsts = stored(keys.groupBy("value").agg(F.min(F.struct("lacking", "class", "n_shingles")).alias("first"), F.count("*").alias("n")), "exact-firsts")
-    frequent = hot_keys(firsts, ["value"])
+    n_firsts = firsts.count()
+    frequent = hot_keys(firsts, ["value"]) if n_firsts > hot.SMALL_ROWS else None
     stars = (
-        spread_join(keys, firsts.drop("n"), ["value"], frequent, F.col("class")).filter((F.col("first.class") != F.col("class")) & _enough(
+        spread_join(keys, sent(firsts.drop("n"), n_firsts), ["value"], frequent, F.col("class")).filter((F.col("first.class") != F.col("class")) & _enough(
             "n_shingles", "first.n_shingles", F.least(F.col("n_shingles") - F.col("lacking"), F.col("first.n_shingles") - F.col("first.lacking"))))
         .select(F.least("first.class", "class").alias("a"), F.greatest("first.class", "class").alias("b")).distinct()
     )
     links = star_links.union(_links(stars, classes, texts, "exact-stars"))
     labels = components(links).withColumnRenamed("node", "class")
-    labelled = keys.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    main = firsts.select("value", F.col("first.class").alias("class")).join(labels, "class", "left").select("value", F.coalesce("label", "class").alias("main"))
-    minor = spread_join(labelled, main, ["value"], frequent, F.col("class")).filter("label != main")
+    n_labels = labels.count()
+    labelled = keys.join(sent(labels, n_labels), "class", "left").withColumn("label", F.coalesce("label", "class"))
+    main = firsts.select("value", F.col("first.class").alias("class")).join(sent(labels, n_labels), "class", "left").select("value", F.coalesce("label", "class").alias("main"))
+    minor = spread_join(labelled, sent(main, n_firsts), ["value"], frequent, F.col("class")).filter("label != main")
     x, y = minor.alias("x"), labelled.alias("y")
     # The first common value, with enough values left after it on both sides.
     left = F.least(*[F.col(f"{s}.n_shingles") - F.col(f"{s}.lacking") - F.col(f"{s}.at") for s in "xy"])
@@ -284,6 +313,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     verdicts = stored(verdicts.filter("verdict is not null"), "verdicts")
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"), *_identified(docs))
     same = F.col("doc_id").eqNullSafe(F.col("of_doc_id")) & (F.col("text_high") == F.col("of_text_high")) & (F.col("text_low") == F.col("of_text_low"))
+    verdicts = sent(verdicts, verdicts.count())
     if verdicts.filter("verdict = 'once'").limit(1).count() == 0:
         return rows.join(verdicts, same, "left_anti").select("doc.*")
     marked = rows.join(verdicts, same, "left")

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Upper bound of rows a lookup table may have to be broadcast (about 40 bytes a row).
 BROADCAST_ROWS = 1_000_000
+TASK_ROWS = 20_000
+LEAST_TASKS = 12
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -43,13 +45,21 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def tasks_of(rows: int, each: int = TASK_ROWS) -> int:
+    """Tasks that ``rows`` narrow rows are worth, in proportion to them and never very few."""
+    return max(LEAST_TASKS, -(-rows // each))
+
+
+def stored(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a result is read more than once, so that the work is not repeated, its rows
-    cannot differ between reads, and a lost executor does not force a recomputation.
+    cannot differ between reads, and a lost executor does not force a recomputation. ``rows`` is
+    an upper bound of the rows of the last step, if known: few rows go to few tasks and files.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
+    if rows is not None:
+        df = df.coalesce(tasks_of(rows))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

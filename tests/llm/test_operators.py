@@ -15,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from pathwake import runtime
 from pathwake.llm import (
     components, decontaminate, hot, language, mixing, near_dedup, private_data, quality_rules,
     queries, repeated_passages, secret_scan, token_counts, token_store,
@@ -181,6 +182,35 @@ def test_joins_are_dealt_only_where_a_key_is_hot(spark):
     assert plain.count() == 5000 and plain.exceptAll(dealt).count() == dealt.exceptAll(plain).count() == 0
 
 
+def test_near_duplicates_with_every_table_large(spark, documents, monkeypatch):
+    """Tables that are shuffled and dealt give the rows that small ones give when sent to every task."""
+    docs = documents.filter("doc_id % 2 = 0 or doc_id < 80")
+    want = near_dedup.near_duplicates(docs).collect()
+    kept = near_dedup.drop_near_duplicates(docs).count()
+    monkeypatch.setattr(hot, "LEAST_ROWS", 1)
+    monkeypatch.setattr(hot, "SMALL_ROWS", 0)
+    same(near_dedup.near_duplicates(docs).collect(), want)
+    assert near_dedup.drop_near_duplicates(docs).count() == kept
+
+
+def test_rounds_of_a_small_graph_take_few_tasks(spark, tmp_path, monkeypatch):
+    """Labels of few nodes are written by few tasks, however many partitions a shuffle has."""
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    monkeypatch.setattr(runtime, "shared_dir", lambda _: str(tmp_path))
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = components.components(spark.range(300).selectExpr("id AS a", "id + id % 3 + 1 AS b")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(got) == len({r.node for r in got})
+    rounds = [list(p.glob("part-*")) for p in tmp_path.glob("labels-*")]
+    assert len(rounds) > 1 and max(map(len, rounds)) <= runtime.LEAST_TASKS
+    assert not list(tmp_path.glob("hooked-*"))
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 300), (5, 5)]
     got = components.components(spark.createDataFrame(links, "a long, b long")).collect()
