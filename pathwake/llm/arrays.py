@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
+SET_BYTES = 1 << 19  # for sets of shingles, which take most of a task's Python memory
 
 U64 = np.uint64
 _ODD = U64(0x9E3779B97F4A7C15)
@@ -40,13 +41,14 @@ def _radix_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if _powers is not None and len(_powers[0]) >= n:
         return _powers
-    size = max(n, SLICE_BYTES + 1)
+    size = max(1 << (n - 2).bit_length(), SET_BYTES) + 1
     found = []
     for base in (_RADIX, pow(_RADIX, -1, 1 << 64)):
         steps = np.full(size, U64(base & _MASK))
         steps[0] = 1
         found.append(np.multiply.accumulate(steps))
     if n <= SLICE_BYTES + 1:
+        # Sizes are powers of two, so they are worked out a few times only.
         _powers = (found[0], found[1])
     return found[0], found[1]
 
@@ -121,7 +123,7 @@ def shingle_sets(column: pa.Array, size: int = 5) -> Iterator[tuple[int, np.ndar
     A text of fewer words than ``size`` has its whole word sequence as the only shingle; a text
     without words, or a null, has none. Hashes are signed, as Spark's are.
     """
-    for at, to, data, bounds in text_slices(column):
+    for at, to, data, bounds in text_slices(column, SET_BYTES):
         data = ASCII_LOWER[data]
         starts, ends, first = word_spans(data, bounds, SPACES)
         words = span_hashes(data, starts, ends)

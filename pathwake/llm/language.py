@@ -56,8 +56,9 @@ def gram_counts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
         rows = to - at
         # One space before each text and one after the last.
         text_of = np.repeat(np.arange(rows), np.diff(bounds))
-        padded = np.full(len(data) + rows + 1, 32, dtype=np.int64)
-        owner = np.zeros(len(padded), dtype=np.int64)
+        # Codes and bins fit 32 bits: these arrays are most of what a task holds.
+        padded = np.full(len(data) + rows + 1, 32, dtype=np.uint32)
+        owner = np.zeros(len(padded), dtype=np.uint32)
         places = np.arange(len(data)) + text_of + 1
         padded[places] = _LETTERS[data]
         owner[places] = text_of
@@ -78,7 +79,7 @@ def gram_counts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
 
 
 def _bucket(codes: np.ndarray) -> np.ndarray:
-    return ((codes * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - DIMENSIONS.bit_length() + 1)
+    return (codes * np.uint32(0x9E3779B1)) >> np.uint32(32 - DIMENSIONS.bit_length() + 1)
 
 
 def vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:

@@ -7,17 +7,19 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 import urllib.parse
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pathwake import runtime
 from pathwake.llm import (
-    components, decontaminate, hot, language, mixing, near_dedup, private_data, quality_rules,
+    arrays, components, decontaminate, hot, language, mixing, near_dedup, private_data, quality_rules,
     queries, repeated_passages, secret_scan, token_counts, token_store,
 )
 from tests import compare
@@ -193,6 +195,19 @@ def test_near_duplicates_with_every_table_large(spark, documents, monkeypatch):
     assert near_dedup.drop_near_duplicates(docs).count() == kept
 
 
+def test_sets_of_shingles_are_made_in_little_memory():
+    """Beside the batch, a task holds arrays of a small slice of it; grams have 32-bit arrays of a slice."""
+    texts = pa.array([" ".join(f"w{i * j % 977}" for j in range(400)) for i in range(4000)])
+    arrays._powers = None
+    tracemalloc.start()
+    try:
+        assert sum(len(values) > 0 for _, values in arrays.shingle_sets(texts)) == 4000
+        sets = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sets < 40e6
+
+
 def test_rounds_of_a_small_graph_take_few_tasks(spark, tmp_path, monkeypatch):
     """Labels of few nodes are written by few tasks, however many partitions a shuffle has."""
     held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
